@@ -283,3 +283,112 @@ def sql_for(deps: list[str], select: str) -> str:
         return select.strip()
     withs = ",\n".join(f"{n} AS ({CTES[n][1].strip()})" for n in order)
     return f"WITH {withs}\n{select.strip()}"
+
+
+# gold ----------------------------------------------------------------------
+GOLD_TYPES = ["cash_in", "cash_out", "p2p_in", "p2p_out", "compra_tarjeta", "recarga_celular", "pago_servicio",
+              "remesa"]
+cte("g_cards", ["s_tarjetas"], """
+SELECT cliente_id, max(tipo = 'fisica') AS tiene_tarjeta_fisica,
+  max(coalesce(fisica_activada, FALSE)) AS fisica_activada,
+  min(CASE WHEN tipo = 'fisica' THEN fecha_emision END) AS fecha_emision_fisica,
+  min(CASE WHEN tipo = 'fisica' THEN fecha_activacion END) AS fecha_activacion_fisica
+FROM s_tarjetas GROUP BY cliente_id""")
+cte("g_txc", ["s_transacciones", "s_comercios"], """
+SELECT t.*, CASE WHEN t.comercio_codigo IS NOT NULL THEN coalesce(m.categoria, 'otros_no_catalogado') END
+  AS categoria_comercio
+FROM s_transacciones t LEFT JOIN s_comercios m ON t.comercio_codigo = m.comercio_codigo""")
+_piv = ",\n  ".join(f"count_if(tipo_transaccion = '{t}') AS n_{t}" for t in GOLD_TYPES)
+cte("g_tx", ["g_txc"], f"""
+SELECT cliente_id, count(*) AS n_transacciones_total, CAST(sum(monto) AS DOUBLE) AS monto_total,
+  round(avg(monto), 6) AS monto_promedio, min(fecha) AS primera_transaccion, max(fecha) AS ultima_transaccion,
+  count(DISTINCT categoria_comercio) AS n_categorias_comercio_distintas,
+  {_piv},
+  count_if(tipo_transaccion = 'compra_tarjeta') / count(*) AS pct_compra_tarjeta_sobre_total
+FROM g_txc GROUP BY cliente_id""")
+cte("g_pre", ["s_transacciones", "g_cards"], """
+SELECT t.cliente_id, count(*) AS n_transacciones_pre, CAST(sum(t.monto) AS DOUBLE) AS monto_pre
+FROM s_transacciones t JOIN g_cards c ON t.cliente_id = c.cliente_id
+WHERE c.fecha_activacion_fisica IS NOT NULL AND t.fecha < c.fecha_activacion_fisica GROUP BY t.cliente_id""")
+cte("g_post", ["s_transacciones", "g_cards"], """
+SELECT t.cliente_id, count(*) AS n_transacciones_post, CAST(sum(t.monto) AS DOUBLE) AS monto_post
+FROM s_transacciones t JOIN g_cards c ON t.cliente_id = c.cliente_id
+WHERE c.fecha_activacion_fisica IS NOT NULL AND t.fecha >= c.fecha_activacion_fisica GROUP BY t.cliente_id""")
+cte("g_prepost", ["g_pre", "g_post"], """
+SELECT coalesce(a.cliente_id, b.cliente_id) AS cliente_id, a.n_transacciones_pre, a.monto_pre,
+  b.n_transacciones_post, b.monto_post
+FROM g_pre a FULL OUTER JOIN g_post b ON a.cliente_id = b.cliente_id""")
+cte("g_pe", ["g_txc", "g_cards"], """
+SELECT t.cliente_id, count(*) AS n_transacciones_pre_emision, CAST(sum(t.monto) AS DOUBLE) AS monto_pre_emision,
+  CAST(sum(CASE WHEN t.tipo_transaccion = 'compra_tarjeta' THEN 1 ELSE 0 END) AS BIGINT) AS n_compra_tarjeta_pre_emision,
+  count(DISTINCT t.categoria_comercio) AS n_categorias_comercio_pre_emision
+FROM g_txc t JOIN g_cards c ON t.cliente_id = c.cliente_id
+WHERE c.fecha_emision_fisica IS NOT NULL AND t.fecha < c.fecha_emision_fisica GROUP BY t.cliente_id""")
+cte("g_mk", ["s_marketing"], """
+SELECT cliente_id, count(*) AS n_interacciones_marketing, count(DISTINCT campana) AS n_campanas_distintas,
+  avg(CAST(respondio AS INTEGER)) AS tasa_respuesta, max(fecha_contacto) AS ultima_interaccion_marketing
+FROM s_marketing GROUP BY cliente_id""")
+cte("g_mkpe", ["s_marketing", "g_cards"], """
+SELECT m.cliente_id, count(*) AS n_interacciones_pre_emision,
+  avg(CAST(m.respondio AS INTEGER)) AS tasa_respuesta_pre_emision
+FROM s_marketing m JOIN g_cards c ON m.cliente_id = c.cliente_id
+WHERE c.fecha_emision_fisica IS NOT NULL AND m.fecha_contacto < c.fecha_emision_fisica GROUP BY m.cliente_id""")
+_z = lambda c: f"coalesce({c}, 0) AS {c}"
+cte("g_join", ["s_clientes", "g_cards", "g_tx", "g_prepost", "g_pe", "g_mk", "g_mkpe"], f"""
+SELECT cl.cliente_id, cl.cedula, cl.fecha_nacimiento, cl.ciudad, cl.canal_adquisicion, cl.estado_cuenta,
+  cl.fecha_registro, cl.fecha_nacimiento_valida, cl.edad, cl.cedula_duplicada,
+  coalesce(c.tiene_tarjeta_fisica, FALSE) AS tiene_tarjeta_fisica, coalesce(c.fisica_activada, FALSE) AS fisica_activada,
+  c.fecha_emision_fisica, c.fecha_activacion_fisica, c.cliente_id IS NOT NULL AS tiene_alguna_tarjeta,
+  {_z('n_transacciones_total')}, tx.monto_total, tx.monto_promedio, tx.primera_transaccion, tx.ultima_transaccion,
+  {_z('n_categorias_comercio_distintas')}, {', '.join(_z('n_' + t) for t in GOLD_TYPES)},
+  tx.pct_compra_tarjeta_sobre_total,
+  {_z('n_transacciones_pre')}, pp.monto_pre, {_z('n_transacciones_post')}, pp.monto_post,
+  {_z('n_transacciones_pre_emision')}, pe.monto_pre_emision, {_z('n_compra_tarjeta_pre_emision')},
+  {_z('n_categorias_comercio_pre_emision')},
+  {_z('n_interacciones_marketing')}, {_z('n_campanas_distintas')}, mk.tasa_respuesta, mk.ultima_interaccion_marketing,
+  {_z('n_interacciones_pre_emision')}, mp.tasa_respuesta_pre_emision
+FROM s_clientes cl
+LEFT JOIN g_cards c ON cl.cliente_id = c.cliente_id
+LEFT JOIN g_tx tx ON cl.cliente_id = tx.cliente_id
+LEFT JOIN g_prepost pp ON cl.cliente_id = pp.cliente_id
+LEFT JOIN g_pe pe ON cl.cliente_id = pe.cliente_id
+LEFT JOIN g_mk mk ON cl.cliente_id = mk.cliente_id
+LEFT JOIN g_mkpe mp ON cl.cliente_id = mp.cliente_id""")
+_hoy = f"DATE '{P.as_of}'"
+cte("g_360a", ["g_join"], f"""
+SELECT *,
+  CASE WHEN fisica_activada THEN 'fisica_activa' WHEN tiene_tarjeta_fisica THEN 'fisica_no_activa'
+       WHEN tiene_alguna_tarjeta THEN 'solo_virtual' ELSE 'sin_tarjeta_registrada' END AS grupo_piloto,
+  {ddiff('fecha_activacion_fisica', 'fecha_emision_fisica')} AS dias_hasta_activacion,
+  {ddiff(_hoy, 'fecha_registro')} AS antiguedad_dias,
+  {ddiff(_hoy, 'ultima_transaccion')} AS dias_desde_ultima_transaccion,
+  {ddiff('fecha_activacion_fisica', 'fecha_registro')} AS dias_pre,
+  {ddiff(_hoy, 'fecha_activacion_fisica')} AS dias_post,
+  {ddiff(_hoy, 'ultima_interaccion_marketing')} AS dias_desde_ultima_interaccion_marketing,
+  {ddiff('fecha_emision_fisica', 'fecha_registro')} AS dias_pre_emision,
+  CASE WHEN n_transacciones_pre_emision > 0 THEN n_compra_tarjeta_pre_emision / n_transacciones_pre_emision END
+    AS pct_compra_tarjeta_pre_emision
+FROM g_join""")
+cte("g_360b", ["g_360a"], f"""
+SELECT *,
+  {rate('n_transacciones_total', 'antiguedad_dias')} AS frecuencia_mensual,
+  {rate('monto_total', 'antiguedad_dias')} AS monto_mensual,
+  {rate('n_transacciones_pre', 'dias_pre')} AS frecuencia_mensual_pre,
+  {rate('n_transacciones_post', 'dias_post')} AS frecuencia_mensual_post,
+  {rate('monto_pre', 'dias_pre')} AS monto_mensual_pre,
+  {rate('monto_post', 'dias_post')} AS monto_mensual_post,
+  {rate('n_transacciones_pre_emision', 'dias_pre_emision')} AS frecuencia_mensual_pre_emision,
+  {rate('monto_pre_emision', 'dias_pre_emision')} AS monto_mensual_pre_emision
+FROM g_360a""")
+_sw = lambda out, a, b: f"CASE WHEN fecha_emision_fisica IS NOT NULL THEN {a} ELSE {b} END AS {out}"
+cte("g_360", ["g_360b"], f"""
+SELECT *,
+  {_sw('feat_frecuencia_mensual', 'frecuencia_mensual_pre_emision', 'frecuencia_mensual')},
+  {_sw('feat_monto_mensual', 'monto_mensual_pre_emision', 'monto_mensual')},
+  {_sw('feat_pct_compra_tarjeta', 'pct_compra_tarjeta_pre_emision', 'pct_compra_tarjeta_sobre_total')},
+  {_sw('feat_n_categorias_comercio', 'n_categorias_comercio_pre_emision', 'n_categorias_comercio_distintas')},
+  {_sw('feat_n_interacciones_marketing', 'n_interacciones_pre_emision', 'n_interacciones_marketing')},
+  {_sw('feat_tasa_respuesta_marketing', 'tasa_respuesta_pre_emision', 'tasa_respuesta')},
+  edad AS feat_edad, CASE WHEN antiguedad_dias > 0 THEN antiguedad_dias END AS feat_antiguedad_dias,
+  ciudad AS feat_ciudad, canal_adquisicion AS feat_canal_adquisicion
+FROM g_360b""")
