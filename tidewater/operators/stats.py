@@ -47,3 +47,217 @@ def two_sided_p(z: Column) -> Column:
 
 def upper_tail_p(z: Column) -> Column:
     return F.lit(0.5) * erfc(z / F.lit(math.sqrt(2.0)))
+
+
+# --------------------------------------------------------------------- rank tests
+
+def mann_whitney(df: DataFrame, value_col: str, group1: Column, n_buckets: int | None = None) -> DataFrame:
+    """Mann-Whitney U of group 1 vs the rest, one-sided 'greater', normal approximation.
+
+    U = R1 - n1(n1+1)/2; var = n1 n2 / 12 * ((N+1) - Σ(t³-t) / (N(N-1)));
+    z = (U - n1 n2 / 2 - 0.5) / sqrt(var) (continuity correction); p = upper tail.
+    """
+    from tidewater.operators.ranks import average_ranks, tie_term
+    d = df.select(F.col(value_col), group1.cast("long").alias("_g"))
+    r = average_ranks(d, value_col, {"n1": F.col("_g")}, n_buckets)
+    a = r.agg(F.sum(F.col("n1") * F.col("avg_rank")).alias("r1"), F.sum("n1").alias("n1"),
+              F.sum("n").alias("n"), F.sum(tie_term(F.col("n"))).alias("ties"))
+    n1, n = F.col("n1").cast("double"), F.col("n").cast("double")
+    n2 = n - n1
+    u = F.col("r1") - n1 * (n1 + 1) / 2
+    var = n1 * n2 / 12 * ((n + 1) - F.col("ties") / (n * (n - 1)))
+    z = (u - n1 * n2 / 2 - 0.5) / F.sqrt(var)
+    return a.select(F.col("n1").alias("n1"), (F.col("n") - F.col("n1")).alias("n2"),
+                    u.alias("u"), z.alias("z"), upper_tail_p(z).alias("p_value"))
+
+
+def wilcoxon_signed_rank(df: DataFrame, x_col: str, y_col: str, n_buckets: int | None = None) -> DataFrame:
+    """Paired signed-rank test of x - y, zero differences dropped, two-sided normal approximation.
+
+    W = min(R+, R-); mean n(n+1)/4; var = n(n+1)(2n+1)/24 - Σ(t³-t)/48.
+    """
+    from tidewater.operators.ranks import average_ranks, tie_term
+    d = (df.select((F.col(x_col) - F.col(y_col)).alias("_d"))
+           .filter(F.col("_d").isNotNull() & (F.col("_d") != 0))
+           .select(F.abs("_d").alias("_a"), (F.col("_d") > 0).cast("long").alias("_pos")))
+    r = average_ranks(d, "_a", {"n_pos": F.col("_pos")}, n_buckets)
+    a = r.agg(F.sum(F.col("n_pos") * F.col("avg_rank")).alias("r_mas"),
+              F.sum((F.col("n") - F.col("n_pos")) * F.col("avg_rank")).alias("r_menos"),
+              F.sum("n").alias("n"), F.sum(tie_term(F.col("n"))).alias("ties"))
+    n = F.col("n").cast("double")
+    w = F.least("r_mas", "r_menos")
+    var = n * (n + 1) * (2 * n + 1) / 24 - F.col("ties") / 48
+    z = (w - n * (n + 1) / 4) / F.sqrt(var)
+    return a.select("n", "r_mas", "r_menos", w.alias("estadistico"), z.alias("z"), two_sided_p(z).alias("p_value"))
+
+
+def auc(df: DataFrame, score_col: str, label_col: str, n_buckets: int | None = None) -> DataFrame:
+    """M5: ROC AUC = U / (n_pos n_neg) from average ranks (ties count one half)."""
+    from tidewater.operators.ranks import average_ranks
+    d = df.select(F.col(score_col), F.col(label_col).cast("long").alias("_y"))
+    r = average_ranks(d, score_col, {"n_pos": F.col("_y")}, n_buckets)
+    a = r.agg(F.sum(F.col("n_pos") * F.col("avg_rank")).alias("r1"), F.sum("n_pos").alias("n_pos"),
+              F.sum("n").alias("n"))
+    npos = F.col("n_pos").cast("double")
+    nneg = F.col("n").cast("double") - npos
+    return a.select(F.col("n_pos"), (F.col("n") - F.col("n_pos")).alias("n_neg"),
+                    ((F.col("r1") - npos * (npos + 1) / 2) / (npos * nneg)).alias("auc"))
+
+
+# --------------------------------------------------------------------- balance, DiD, ATE
+
+def covariate_balance(df: DataFrame, features: Sequence[str], treat_col: str) -> DataFrame:
+    """Per feature mean by arm and SMD = (m_t - m_c) / sqrt((s²_t + s²_c) / 2) (sample variances).
+
+    The features are unpivoted so ONE aggregate (partial + final) serves all of
+    them; NULLs are dropped per feature. SMD is NULL when the pooled sd is 0.
+    """
+    t = F.col(treat_col) == 1
+    long = df.select(treat_col, F.explode(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features
+    ])).alias("p")).select(treat_col, "p.*")
+    g = long.groupBy("feature").agg(
+        F.avg(F.when(t, F.col("v"))).alias("media_tratado"),
+        F.avg(F.when(~t, F.col("v"))).alias("media_control"),
+        F.var_samp(F.when(t, F.col("v"))).alias("_vt"),
+        F.var_samp(F.when(~t, F.col("v"))).alias("_vc"))
+    pooled = F.sqrt((F.col("_vt") + F.col("_vc")) / 2)
+    return g.select("feature", "media_tratado", "media_control",
+                    F.when(pooled > 0, (F.col("media_tratado") - F.col("media_control")) / pooled).alias("smd"))
+
+
+def imbalance_levels(balance: DataFrame, alert: float = 0.25, good: float = 0.1) -> DataFrame:
+    """C3 + O4: level per feature, alert flag above ``alert``, sorted by |SMD|."""
+    a = F.abs("smd")
+    return (balance.withColumn("abs_smd", a)
+            .withColumn("nivel", F.when(a.isNull(), "indeterminado").when(a > alert, "grande")
+                        .when(a > good, "moderado").otherwise("bueno"))
+            .withColumn("alerta", F.coalesce(a > alert, F.lit(False)))
+            .orderBy(F.asc_nulls_last("abs_smd"), "feature"))
+
+
+def did_hc1(panel: DataFrame, treat_col: str, pre_col: str, post_col: str) -> DataFrame:
+    """Difference-in-differences of ``y ~ treat * post`` with HC1 robust errors.
+
+    The 2x2 saturated design makes OLS fitted values the four cell means, so
+    coef = (m11 - m10) - (m01 - m00) and the HC1 variance is
+    N / (N - 4) * Σ_cells SSR_c / n_c²; SSR_c = n_c * var_pop_c. The melt
+    (U2) doubles the rows: N = 2 x customers. One aggregate, no matrix.
+    """
+    long = panel.select(F.col(treat_col).cast("int").alias("_t"), F.explode(F.array(
+        F.struct(F.lit(0).alias("_p"), F.col(pre_col).cast("double").alias("_y")),
+        F.struct(F.lit(1).alias("_p"), F.col(post_col).cast("double").alias("_y")))).alias("s")
+    ).select("_t", "s.*")
+    cells = {}
+    for tv in (0, 1):
+        for pv in (0, 1):
+            cells[(tv, pv)] = (F.col("_t") == tv) & (F.col("_p") == pv)
+    aggs = []
+    for (tv, pv), c in cells.items():
+        aggs += [F.count_if(c).alias(f"n{tv}{pv}"), F.avg(F.when(c, F.col("_y"))).alias(f"m{tv}{pv}"),
+                 F.var_pop(F.when(c, F.col("_y"))).alias(f"v{tv}{pv}")]
+    a = long.agg(*aggs)
+    coef = (F.col("m11") - F.col("m10")) - (F.col("m01") - F.col("m00"))
+    n = sum((F.col(f"n{t}{p}") for t in (0, 1) for p in (0, 1)), F.lit(0)).cast("double")
+    hc0 = sum((F.col(f"v{t}{p}") / F.col(f"n{t}{p}") for t in (0, 1) for p in (0, 1)), F.lit(0.0))
+    se = F.sqrt(n / (n - 4) * hc0)
+    z = coef / se
+    return a.select(coef.alias("coef_did"), se.alias("se_hc1"), z.alias("z"), two_sided_p(z).alias("p_value"),
+                    n.cast("long").alias("n_obs"), "m00", "m01", "m10", "m11")
+
+
+# Fixed value: 97.5 % quantile of the standard normal (two-sided 95 % interval).
+Z_975 = 1.959963984540054
+
+
+def ate_interval(scored: DataFrame, y: str, w: str, p_t: str, p_c: str) -> DataFrame:
+    """ATE = mean(p_t - p_c) with the T-learner normal interval (population variances).
+
+    se² = (var(y - p_c | w=0) / (1 - π) + var(y - p_t | w=1) / π + var(p_t - p_c)) / n.
+    """
+    wt = F.col(w) == 1
+    a = scored.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(w)).alias("n_t"),
+                   F.avg(F.col(p_t) - F.col(p_c)).alias("ate"),
+                   F.var_pop(F.when(~wt, F.col(y) - F.col(p_c))).alias("_v0"),
+                   F.var_pop(F.when(wt, F.col(y) - F.col(p_t))).alias("_v1"),
+                   F.var_pop(F.col(p_t) - F.col(p_c)).alias("_v2"))
+    pi = F.col("n_t") / F.col("n")
+    se = F.sqrt((F.col("_v0") / (1 - pi) + F.col("_v1") / pi + F.col("_v2")) / F.col("n"))
+    return a.select("n", "ate", se.alias("se"), (F.col("ate") - Z_975 * se).alias("ate_lb"),
+                    (F.col("ate") + Z_975 * se).alias("ate_ub"))
+
+
+# --------------------------------------------------------------------- Qini, histogram, box
+
+def qini_table(scored: DataFrame, score: str, y: str, w: str, n_buckets: int | None = None) -> DataFrame:
+    """C13 core: Qini value after each distinct score (descending), normalised, plus the random line.
+
+    q = ΣyT - ΣyC * nT / nC (0 while nC = 0); normalised by |q at the end|;
+    the random line goes straight from 0 to the normalised end value. The
+    per-score table is checkpointed; its four totals come back in one row.
+    """
+    from tidewater.operators.ranks import prefix_sums
+    from tidewater.session import materialize
+    wt = F.col(w).cast("long")
+    yy = F.col(y).cast("long")
+    t = materialize(scored.filter(F.col(score).isNotNull()).groupBy(score).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(wt).alias("nt"), F.sum(yy * wt).alias("yt"),
+        F.sum(yy * (1 - wt)).alias("yc")))
+    N, NT, YT, YC = t.agg(F.sum("n"), F.sum("nt"), F.sum("yt"), F.sum("yc")).first()
+    N, NT, YT, YC = (v or 0 for v in (N, NT, YT, YC))
+    q_end = float(YT - YC * NT / (N - NT)) if N - NT > 0 else 0.0
+    scale = abs(q_end) if abs(q_end) > 0 else 1.0
+    p = prefix_sums(t, score, ["n", "nt", "yt", "yc"], descending=True, n_buckets=n_buckets, materialized=True)
+    cnc = F.col("cum_n") - F.col("cum_nt")
+    q = F.when(cnc > 0, F.col("cum_yt") - F.col("cum_yc") * F.col("cum_nt") / cnc).otherwise(F.lit(0.0))
+    return p.select(score, "n", "cum_n", (q / F.lit(scale)).alias("qini"),
+                    (F.col("cum_n") / F.lit(N) * F.lit(q_end / scale)).alias("aleatorio"),
+                    F.lit(N).cast("long").alias("n_total"))
+
+
+def qini_curve(scored: DataFrame, score: str, y: str, w: str, points: int = 100) -> DataFrame:
+    """The curve at the distinct scores where the population share crosses a 1/points grid."""
+    t = qini_table(scored, score, y, w)
+    k = F.lit(points)
+    crosses = F.floor(F.col("cum_n") * k / F.col("n_total")) > F.floor((F.col("cum_n") - F.col("n")) * k / F.col("n_total"))
+    return t.filter(crosses).select((F.col("cum_n") / F.col("n_total")).alias("fraccion"), "qini", "aleatorio")
+
+
+def qini_score(scored: DataFrame, score: str, y: str, w: str) -> DataFrame:
+    """C14: mean gap between the curve and the random line over all rows (and the origin)."""
+    t = qini_table(scored, score, y, w)
+    return t.agg(((F.sum(F.col("n") * (F.col("qini") - F.col("aleatorio")))) / (F.first("n_total") + 1))
+                 .alias("qini_score"))
+
+
+def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
+    """Fixed-width histogram between the global min and max (last bin closed).
+
+    min and max come back in one one-row action (input checkpointed first).
+    """
+    from tidewater.session import materialize
+    v = materialize(df.select(col).filter(F.col(col).isNotNull()))
+    mn, mx = v.agg(F.min(col), F.max(col)).first()
+    if mn is None:
+        return v.sparkSession.createDataFrame([], "bin int, desde double, hasta double, n bigint")
+    width = (mx - mn) / bins
+    b = F.when(F.lit(width) > 0, F.least(F.floor((F.col(col) - F.lit(mn)) / F.lit(width)), F.lit(bins - 1))) \
+        .otherwise(F.lit(0))
+    return (v.groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+            .select("bin", (F.lit(mn) + F.col("bin") * F.lit(width)).alias("desde"),
+                    (F.lit(mn) + (F.col("bin") + 1) * F.lit(width)).alias("hasta"), "n"))
+
+
+def box_summary(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
+    """Quartiles per group (approximate, sketch-based) and 1.5 IQR whiskers at data points."""
+    v = df.filter(F.col(value_col).isNotNull())
+    q = v.groupBy(group_col).agg(F.count(F.lit(1)).alias("n"),
+                                 F.percentile_approx(value_col, [0.25, 0.5, 0.75]).alias("_q"))
+    q = q.select(group_col, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("mediana"),
+                 F.col("_q")[2].alias("q3"))
+    j = v.join(q, group_col)
+    iqr = F.col("q3") - F.col("q1")
+    x = F.col(value_col)
+    return j.groupBy(group_col, "n", "q1", "mediana", "q3").agg(
+        F.min(F.when(x >= F.col("q1") - 1.5 * iqr, x)).alias("bigote_inf"),
+        F.max(F.when(x <= F.col("q3") + 1.5 * iqr, x)).alias("bigote_sup"))

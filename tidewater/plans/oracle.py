@@ -90,7 +90,7 @@ def ddiff(later: str, earlier: str) -> str:
 
 
 def rate(value: str, days: str) -> str:
-    return f"CASE WHEN {days} >= 30 THEN {value} / ({days} / 30.44) END"
+    return f"CASE WHEN {days} >= 30 THEN {value} / ({days} / CAST(30.44 AS DOUBLE)) END"
 
 
 def cat_map(key: str, default: str) -> str:

@@ -61,6 +61,9 @@ def get_session(app: str = "tidewater", master: str | None = None,
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            b = b.config("spark.driver.memory", "16g")
     b = (b.config("spark.sql.session.timeZone", "UTC")
           .config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false")
@@ -89,3 +92,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used before a small table is read more than once (cut points + final pass),
+    so the upstream plan runs once and a lost executor re-reads the files
+    instead of recomputing the lineage.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
