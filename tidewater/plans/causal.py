@@ -115,6 +115,7 @@ def class_weights(train: DataFrame, y: str = "aumento_uso", w: str = "tratado")
 
 def heuristic_scores(panel: DataFrame) -> DataFrame:
     """Deterministic, feature-derived stand-in scores in [0, 1) so metric plans have an exact SQL twin."""
-    f, m = F.col("feat_frecuencia_mensual"), F.col("feat_monto_mensual")
-    return panel.withColumns({"p_tratamiento": f / (f + F.lit(1.0)), "p_control": m / (m + F.lit(1000.0))}) \
+    f = F.coalesce(F.col("feat_frecuencia_mensual"), F.lit(0.0))
+    m = F.coalesce(F.col("feat_monto_mensual"), F.lit(0.0))
+    return panel.withColumns({"p_tratamiento": f / (f + F.lit(0.15)), "p_control": m / (m + F.lit(45000.0))}) \
                 .withColumn("score_uplift", F.col("p_tratamiento") - F.col("p_control"))

@@ -91,10 +91,10 @@ o.cte("c_cc", ["c_panel"], "SELECT * FROM c_panel WHERE " + " AND ".join(f"{f} I
 o.cte("c_split", ["c_cc"], f"""
 SELECT *, ('0x' || substr(md5('{P.seed}:' || cliente_id), 1, 8))::BIGINT % 10000 < 2500 AS en_test FROM c_cc""")
 o.cte("c_scored", ["c_split"], """
-SELECT *, feat_frecuencia_mensual / (feat_frecuencia_mensual + CAST(1.0 AS DOUBLE)) AS p_tratamiento,
-  feat_monto_mensual / (feat_monto_mensual + CAST(1000.0 AS DOUBLE)) AS p_control,
-  feat_frecuencia_mensual / (feat_frecuencia_mensual + CAST(1.0 AS DOUBLE))
-    - feat_monto_mensual / (feat_monto_mensual + CAST(1000.0 AS DOUBLE)) AS score_uplift
+SELECT *, feat_frecuencia_mensual / (feat_frecuencia_mensual + CAST(0.15 AS DOUBLE)) AS p_tratamiento,
+  feat_monto_mensual / (feat_monto_mensual + CAST(45000.0 AS DOUBLE)) AS p_control,
+  feat_frecuencia_mensual / (feat_frecuencia_mensual + CAST(0.15 AS DOUBLE))
+    - feat_monto_mensual / (feat_monto_mensual + CAST(45000.0 AS DOUBLE)) AS score_uplift
 FROM c_split""")
 o.cte("c_test", ["c_scored"], "SELECT * FROM c_scored WHERE en_test")
 o.cte("c_did", ["c_cust", "c_counts"], f"""
