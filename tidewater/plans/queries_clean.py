@@ -10,7 +10,7 @@ from tidewater.operators import quality as oq
 from tidewater.plans import clean as pc
 from tidewater.plans import oracle as o
 from tidewater.sources.bronze import bronze_tables
-from tidewater.sources.io import read_table
+from tidewater.sources.io import read_table, spread
 
 Q: dict = {}
 SQL: dict = {}
@@ -34,7 +34,7 @@ def silver(spark, sf, with_time=False):
 @register("normalize_text_docs", o.sql_for([], f"""
 SELECT doc_id, lang, {o.norm('text')} AS texto_normalizado, {o.norm('source')} AS fuente FROM documents"""))
 def normalize_text_docs(spark, sf):
-    d = read_table(spark, sf, "documents")
+    d = spread(read_table(spark, sf, "documents"))
     return d.select("doc_id", "lang", ft.normalize_text("text").alias("texto_normalizado"),
                     ft.normalize_text("source").alias("fuente"))
 

@@ -98,12 +98,14 @@ def customer_360(spark, sf):
 
 @register("pilot_summary", o.sql_for(["g_360"], """
 SELECT grupo_piloto, count(*) AS n_clientes,
-  avg(n_transacciones_total) AS avg_n_transacciones_total,
+  round(avg(n_transacciones_total), 9) AS avg_n_transacciones_total,
   quantile_disc(n_transacciones_total, 0.5) AS mediana_n_transacciones_total,
-  avg(monto_total) AS avg_monto_total, quantile_disc(monto_total, 0.5) AS mediana_monto_total,
-  avg(frecuencia_mensual_pre) AS avg_frecuencia_mensual_pre, avg(frecuencia_mensual_post) AS avg_frecuencia_mensual_post,
-  avg(monto_mensual_pre) AS avg_monto_mensual_pre, avg(monto_mensual_post) AS avg_monto_mensual_post,
-  avg(tasa_respuesta) AS avg_tasa_respuesta_marketing
+  round(avg(monto_total), 9) AS avg_monto_total, round(quantile_disc(monto_total, 0.5), 9) AS mediana_monto_total,
+  round(avg(frecuencia_mensual_pre), 9) AS avg_frecuencia_mensual_pre,
+  round(avg(frecuencia_mensual_post), 9) AS avg_frecuencia_mensual_post,
+  round(avg(monto_mensual_pre), 9) AS avg_monto_mensual_pre, round(avg(monto_mensual_post), 9) AS avg_monto_mensual_post,
+  round(avg(tasa_respuesta), 9) AS avg_tasa_respuesta_marketing
 FROM g_360 GROUP BY grupo_piloto"""))
 def pilot_summary(spark, sf):
-    return pg.pilot_summary(gold(spark, sf))
+    from tidewater.plans.queries_causal import rounded
+    return rounded(pg.pilot_summary(gold(spark, sf)))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.sources.io import read_table
+from tidewater.sources.io import read_table, spread
 
 # Spellings of the eight transaction types: [plain code, UPPER, leading blank, Title words]
 TX_TYPES = ["cash_in", "cash_out", "p2p_in", "p2p_out",
@@ -65,7 +65,7 @@ def _id(prefix: str, k: str, width: int) -> str:
 
 
 def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    c = spread(read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"))
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     # nation is a fixed 25-row dimension of the schema: broadcasting it is bounded.
     j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
@@ -97,7 +97,7 @@ def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer").select("c_custkey")
+    c = spread(read_table(spark, sf_dir, "customer").select("c_custkey"))
     k = "c_custkey"
     cid = _id("CHK-", k, 6)
     issue_v = f"date_add(DATE'1996-01-01', cast({k} % 300 as int))"
@@ -132,7 +132,7 @@ def bronze_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    o = spread(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
     k = "o_orderkey"
     cid = _id("CHK-", "o_custkey", 6)
     d = "cast(o_orderdate as date)"
@@ -163,16 +163,17 @@ def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    e = spread(read_table(spark, sf_dir, "events").select("event_id", "event_type", "props"))
     # Customer count is one scalar subquery evaluated once, not a join.
     n_cust = read_table(spark, sf_dir, "customer").agg(F.count(F.lit(1))).scalar()
     k = "event_id"
-    cust = F.col(k) % n_cust
-    cid = F.concat(F.lit("CHK-"), F.lpad(cust.cast("string"), 6, "0"))
+    # the scalar subquery is referenced once; later expressions read the column
+    e = e.withColumn("_cust", F.lpad((F.col(k) % n_cust).cast("string"), 6, "0"))
+    cid = F.concat(F.lit("CHK-"), F.col("_cust"))
     contact = f"date_add(DATE'1996-01-01', cast(({k} * 13) % 2000 as int))"
     out = e.select(
         F.expr(_id("INT-", k, 7)).alias("interaccion_id"),
-        F.when(F.col(k) % 151 == 3, F.concat(F.lit("CHK-X"), F.lpad(cust.cast("string"), 6, "0")))
+        F.when(F.col(k) % 151 == 3, F.concat(F.lit("CHK-X"), F.col("_cust")))
          .when(F.col(k) % 6 == 5, F.concat(F.lit(" "), cid))
          .otherwise(cid).alias("cliente_id"),
         F.expr(_pick(CAMPAIGNS, "cast(get_json_object(props, '$.k') as bigint) % 6")).alias("campana"),

@@ -36,6 +36,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an under-partitioned input before heavy per-row work.
+
+    A large table arrives in many splits and this is a no-op; a table held in
+    one file / row group would otherwise run all its string work in one task.
+    Planning only (no job) to read the partition count.
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def require(df: DataFrame, cols: Iterable[str], what: str = "input") -> DataFrame:
     missing = [c for c in cols if c not in df.columns]
     if missing:
