@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidewater.operators import stats as st
 from tidewater.plans import causal as pcz
 from tidewater.plans import oracle as o
-from tidewater.plans.queries_clean import silver
+from tidewater.plans.queries_clean import silver_zone
 from tidewater.plans.queries_gold import gold
 from tidewater.plans import gold as pg
 from tidewater.session import Params
@@ -58,8 +58,8 @@ SQRT2 = f"CAST({math.sqrt(2.0)!r} AS DOUBLE)"
 
 
 def data(spark, sf):
-    s = silver(spark, sf)
-    return pg.gold_from_silver(s), s["transacciones"].valid
+    """Gold and silver transactions as written zone tables."""
+    return gold(spark, sf), silver_zone(spark, sf)["transacciones"].valid
 
 
 def cc_panel(spark, sf):

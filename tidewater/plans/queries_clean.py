@@ -26,9 +26,16 @@ def register(name, sql=None):
 
 
 def silver(spark, sf, with_time=False):
+    """Silver computed from the raw tables in this plan (pipeline-step queries)."""
     return pc.silver_tables(bronze_tables(spark, sf), with_time=with_time)
 
 
+def silver_zone(spark, sf):
+    """Silver as written tables (queries that consume the zone)."""
+    from tidewater.plans.zones import silver_zone as sz
+    return sz(spark, sf)
+
+
 # ---- functions --------------------------------------------------------------
 
 @register("normalize_text_docs", o.sql_for([], f"""

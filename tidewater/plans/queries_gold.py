@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewater.plans import gold as pg
 from tidewater.plans import oracle as o
-from tidewater.plans.queries_clean import silver
+from tidewater.plans.queries_clean import silver, silver_zone
 
 Q: dict = {}
 SQL: dict = {}
@@ -22,12 +22,19 @@ def register(name, sql=None):
 
 
 def gold(spark, sf):
-    return pg.gold_from_silver(silver(spark, sf))
+    """The gold table as written once per session and input version (consumer queries)."""
+    from tidewater.plans.zones import gold_zone
+    return gold_zone(spark, sf)
+
+
+def gold_fresh(spark, sf):
+    """Gold computed in this plan from the silver zone (gold-step queries)."""
+    return pg.gold_from_silver(silver_zone(spark, sf))
 
 
 @register("card_aggregate", o.sql_for(["g_cards"], "SELECT *, TRUE AS tiene_alguna_tarjeta FROM g_cards"))
 def card_aggregate(spark, sf):
-    return pg.card_aggregate(silver(spark, sf)["tarjetas"].valid)
+    return pg.card_aggregate(silver_zone(spark, sf)["tarjetas"].valid)
 
 
 @register("pilot_group", o.sql_for(["g_360"], """
@@ -41,7 +48,7 @@ def pilot_group(spark, sf):
 @register("category_fallback", o.sql_for(["g_txc"], """
 SELECT transaccion_id, comercio_codigo, categoria_comercio FROM g_txc"""))
 def category_fallback(spark, sf):
-    s = silver(spark, sf)
+    s = silver_zone(spark, sf)
     t = s["transacciones"].valid.select("transaccion_id", "comercio_codigo")
     return pg.merchant_category(t, s["catalogo_comercios"].valid)
 
@@ -93,19 +100,22 @@ def marketing_pre_issue(spark, sf):
 
 @register("customer_360", o.sql_for(["g_360"], "SELECT " + ", ".join(pg.GOLD_COLS) + " FROM g_360"))
 def customer_360(spark, sf):
-    return gold(spark, sf)
+    """E8 end to end: raw tables -> silver -> gold in one plan (the full pipeline cost)."""
+    return pg.gold_from_silver(silver(spark, sf))
 
 
 @register("pilot_summary", o.sql_for(["g_360"], """
 SELECT grupo_piloto, count(*) AS n_clientes,
   round(avg(n_transacciones_total), 9) AS avg_n_transacciones_total,
   quantile_disc(n_transacciones_total, 0.5) AS mediana_n_transacciones_total,
-  round(avg(monto_total), 9) AS avg_monto_total, round(quantile_disc(monto_total, 0.5), 9) AS mediana_monto_total,
+  round(avg(monto_total), 4) AS avg_monto_total, round(quantile_disc(monto_total, 0.5), 4) AS mediana_monto_total,
   round(avg(frecuencia_mensual_pre), 9) AS avg_frecuencia_mensual_pre,
   round(avg(frecuencia_mensual_post), 9) AS avg_frecuencia_mensual_post,
-  round(avg(monto_mensual_pre), 9) AS avg_monto_mensual_pre, round(avg(monto_mensual_post), 9) AS avg_monto_mensual_post,
+  round(avg(monto_mensual_pre), 4) AS avg_monto_mensual_pre, round(avg(monto_mensual_post), 4) AS avg_monto_mensual_post,
   round(avg(tasa_respuesta), 9) AS avg_tasa_respuesta_marketing
 FROM g_360 GROUP BY grupo_piloto"""))
 def pilot_summary(spark, sf):
     from tidewater.plans.queries_causal import rounded
-    return rounded(pg.pilot_summary(gold(spark, sf)))
+    money = ["avg_monto_total", "mediana_monto_total", "avg_monto_mensual_pre", "avg_monto_mensual_post"]
+    s = pg.pilot_summary(gold_fresh(spark, sf))
+    return rounded(s.withColumns({c: F.round(c, 4) for c in money}))

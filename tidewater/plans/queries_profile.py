@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import quality as oq
 from tidewater.plans import gold as pg
 from tidewater.plans import oracle as o
-from tidewater.plans.queries_clean import silver
+from tidewater.plans.queries_clean import silver_zone as silver
 from tidewater.plans.queries_gold import gold
 from tidewater.sources.bronze import bronze_tables
 from tidewater.sources.io import read_table

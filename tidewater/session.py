@@ -95,11 +95,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+    """Cut lineage by writing a Parquet table in the shared checkpoint folder and reading it back.
 
-    Used before a small table is read more than once (cut points + final pass),
-    so the upstream plan runs once and a lost executor re-reads the files
-    instead of recomputing the lineage.
+    Used before a table is read more than once (cut points + final pass, or
+    several plan branches), so its upstream runs exactly once. Unlike
+    ``checkpoint(eager=True)``, which computes the plan once to count and again
+    to save Java-serialised rows, this is one columnar write. A lost executor
+    re-reads the files instead of recomputing the lineage.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

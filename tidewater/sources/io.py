@@ -41,10 +41,10 @@ def spread(df: DataFrame) -> DataFrame:
 
     A large table arrives in many splits and this is a no-op; a table held in
     one file / row group would otherwise run all its string work in one task.
-    Planning only (no job) to read the partition count.
+    Only the (cached) file listing is consulted; no job runs.
     """
     par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    return df.repartition(par) if len(df.inputFiles()) < par else df
 
 
 def require(df: DataFrame, cols: Iterable[str], what: str = "input") -> DataFrame:
