@@ -238,3 +238,25 @@ FROM (SELECT *, count(*) AS n FROM b_transacciones GROUP BY ALL)
 GROUP BY transaccion_id HAVING sum(n) > 1"""))
 def duplicate_tx_report(spark, sf):
     return oq.duplicate_key_report(bronze_tables(spark, sf)["transacciones"], ["transaccion_id"])
+
+
+@register("semi_anti_join", o.sql_for(["s_transacciones_all"], """
+SELECT CASE WHEN motivo_descarte = 'cliente_id_huerfano' THEN 'huerfano' ELSE 'con_cliente' END AS grupo,
+       transaccion_id, cliente_id FROM s_transacciones_all"""))
+def semi_anti_join(spark, sf):
+    """J1 + J2 as separate operators: transactions with a known customer (semi) and orphans (anti)."""
+    b = bronze_tables(spark, sf)
+    ids = pc.customer_keys(b["clientes"])
+    t = pc.clean_tx_columns(b["transacciones"].dropDuplicates()).select("transaccion_id", "cliente_id")
+    semi = oq.semi_join(t, ids, "cliente_id").select(F.lit("con_cliente").alias("grupo"), "transaccion_id",
+                                                     "cliente_id")
+    anti = oq.anti_join(t, ids, "cliente_id").select(F.lit("huerfano").alias("grupo"), "transaccion_id",
+                                                     "cliente_id")
+    return semi.unionByName(anti)
+
+
+@register("null_channel_rows", o.sql_for(["s_clientes"], """
+SELECT cliente_id, ciudad FROM s_clientes WHERE canal_adquisicion IS NULL"""))
+def null_channel_rows(spark, sf):
+    """SQL-string predicate on the cleaned customers."""
+    return silver_zone(spark, sf)["clientes"].valid.filter("canal_adquisicion IS NULL").select("cliente_id", "ciudad")
