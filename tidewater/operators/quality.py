@@ -18,10 +18,15 @@ NEGATIVE_AMOUNT = "monto_negativo_invalido"
 
 @dataclass
 class Split:
-    """Valid rows and rejected rows (with a reason) of one table."""
+    """Valid rows and rejected rows (with a reason) of one table.
+
+    ``tagged`` (optional) is the single plan both come from: every row with its
+    reason column, NULL for valid rows; reports count it in one pass.
+    """
 
     valid: DataFrame
     rejected: DataFrame | None
+    tagged: DataFrame | None = None
 
 
 def tag_reason(df: DataFrame, reason: str, with_time: bool = True) -> DataFrame:
@@ -54,7 +59,7 @@ def split_by_reason(marked: DataFrame, reason: Column, with_time: bool = True) -
     rejected = tagged.filter(F.col(REASON).isNotNull())
     if with_time:
         rejected = rejected.withColumn(PROCESSED_AT, F.current_timestamp())
-    return Split(valid, rejected)
+    return Split(valid, rejected, tagged.select(REASON))
 
 
 def orphan_split(child: DataFrame, parent_keys: DataFrame, key: str = "cliente_id",
@@ -62,7 +67,7 @@ def orphan_split(child: DataFrame, parent_keys: DataFrame, key: str = "cliente_i
     """J1+J2+J3: rows whose key exists in the parent vs. orphans, reason attached."""
     m = mark_orphans(child, parent_keys, key)
     s = split_by_reason(m, F.when(F.col("_parent_found").isNull(), F.lit(ORPHAN)), with_time)
-    return Split(s.valid.drop("_parent_found"), s.rejected.drop("_parent_found"))
+    return Split(s.valid.drop("_parent_found"), s.rejected.drop("_parent_found"), s.tagged)
 
 
 def semi_join(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
@@ -102,9 +107,14 @@ def run_report(raw: DataFrame, split: Split, table: str) -> DataFrame:
     """
     none = F.lit(None).cast("string")
     u = raw.select(F.lit("raw").alias("_s"), none.alias(REASON))
-    u = u.unionByName(split.valid.select(F.lit("ok").alias("_s"), none.alias(REASON)))
-    if split.rejected is not None:
-        u = u.unionByName(split.rejected.select(F.lit("rej").alias("_s"), F.col(REASON)))
+    if split.tagged is not None:
+        # one pass over the split plan: valid rows carry a NULL reason
+        u = u.unionByName(split.tagged.select(
+            F.when(F.col(REASON).isNull(), F.lit("ok")).otherwise(F.lit("rej")).alias("_s"), F.col(REASON)))
+    else:
+        u = u.unionByName(split.valid.select(F.lit("ok").alias("_s"), none.alias(REASON)))
+        if split.rejected is not None:
+            u = u.unionByName(split.rejected.select(F.lit("rej").alias("_s"), F.col(REASON)))
     per = u.groupBy("_s", REASON).agg(F.count(F.lit(1)).alias("n"))
     rej = F.col("_s") == "rej"
     return per.agg(
