@@ -163,9 +163,9 @@ def scores_by_date(spark, sf):
 
 
 def _trained(spark, sf):
-    g, tx = data(spark, sf)
-    model, metrics, balance, scored = ps.train_and_evaluate(g, tx, P)
-    return g, model, metrics, scored
+    from tidewater.plans.zones import model_zone
+    model, metrics, _, scored = model_zone(spark, sf, P)
+    return gold(spark, sf), model, metrics, scored
 
 
 @register("tlearner_train")

@@ -81,3 +81,26 @@ def gold_zone(spark: SparkSession, sf_dir: str, params: Params = Params()) -> Da
             base = f"{checkpoint_dir(spark).rstrip('/')}/zones/{uuid.uuid4().hex}/gold"
             _ZONES[k] = _write(g, f"{base}/cliente_360")
         return _ZONES[k]
+
+
+def model_zone(spark: SparkSession, sf_dir: str, params: Params = Params()):
+    """Train once per session and input version; the learner is saved (K12) and re-loaded like an artefact.
+
+    Returns (model, metrics dict, covariate balance DataFrame, scored test rows).
+    """
+    from tidewater.operators.uplift import UpliftModel
+    from tidewater.plans.scoring import train_and_evaluate
+    k = _key(spark, sf_dir, params, "model")
+    with _LOCK:
+        if k in _ZONES:
+            return _ZONES[k]
+    gold = gold_zone(spark, sf_dir, params)
+    tx = silver_zone(spark, sf_dir, params)["transacciones"].valid
+    model, metrics, balance, scored = train_and_evaluate(gold, tx, params)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/zones/{uuid.uuid4().hex}/models"
+    model.save(spark, f"{base}/modelo_uplift_tlearner")
+    out = (UpliftModel.load(spark, f"{base}/modelo_uplift_tlearner"), metrics,
+           _write(balance, f"{base}/balance_covariables"), _write(scored, f"{base}/test_scores"))
+    with _LOCK:
+        _ZONES.setdefault(k, out)
+        return _ZONES[k]
