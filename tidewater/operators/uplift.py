@@ -95,16 +95,21 @@ class UpliftModel:
 
 
 def _forest(params: Params, y: str, suffix: str) -> RandomForestClassifier:
+    # maxMemoryInMB / cacheNodeIds only change how many nodes are split per data pass
+    # and whether node ids are cached (checkpointed every 10 iterations): same model, fewer passes.
     return RandomForestClassifier(
         featuresCol="features", labelCol=y, weightCol="peso", numTrees=params.n_trees, maxDepth=params.max_depth,
         featureSubsetStrategy="sqrt", seed=params.seed, probabilityCol=f"_prob_{suffix}",
-        rawPredictionCol=f"_raw_{suffix}", predictionCol=f"_pred_{suffix}")
+        rawPredictionCol=f"_raw_{suffix}", predictionCol=f"_pred_{suffix}",
+        maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
 
 
 def fit_tlearner(train: DataFrame, params: Params = Params(), y: str = "aumento_uso",
                  w: str = "tratado") -> UpliftModel:
     """M4: preprocessing fitted on all training rows, then one weighted forest per arm."""
     num, cat = list(params.numeric_features), list(params.categorical_features)
+    from tidewater.session import checkpoint_dir
+    checkpoint_dir(train.sparkSession)  # node-id cache checkpoints go to the shared folder
     prep = preprocessor(num, cat).fit(train)
     x = with_class_weights(prep.transform(train).select("features", y, w), y, w) \
         .withColumn(y, F.col(y).cast("double"))
