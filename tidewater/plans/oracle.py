@@ -11,6 +11,7 @@ from __future__ import annotations
 from tidewater.sources.bronze import (BOOL_SPELLINGS, BRANDS, CAMPAIGNS, GENERIC_CATEGORIES, N_MERCHANTS,
                                       PHYSICAL_SPELLINGS, TX_SPELLINGS, VIRTUAL_SPELLINGS)
 from tidewater.plans.clean import MERCHANT_CATEGORY_FIX
+from tidewater.functions.text import ACCENTED, FALSE_WORDS, NULL_WORDS, PLAIN, TRUE_WORDS
 from tidewater.session import Params
 
 P = Params()
@@ -41,7 +42,7 @@ def idp(prefix: str, k: str, w: int) -> str:
 
 def norm(x: str) -> str:
     return (f"translate(lower(regexp_replace(trim({x}), '\\s+', ' ', 'g')), "
-            f"'áéíóúÁÉÍÓÚ', 'aeiouaeiou')")
+            f"'{ACCENTED}', '{PLAIN}')")
 
 
 def code(x: str) -> str:
@@ -53,13 +54,13 @@ def title(x: str) -> str:
 
 
 def null_word(x: str) -> str:
-    return f"CASE WHEN {norm(x)} IN ('', 'none', 'n/a', 'null', 'nan') THEN NULL ELSE {x} END"
+    return f"CASE WHEN {norm(x)} IN ({', '.join(q(w) for w in NULL_WORDS)}) THEN NULL ELSE {x} END"
 
 
 def boolean(x: str) -> str:
     n = norm(x)
-    return (f"CASE WHEN {n} IN ('nan', '') THEN NULL WHEN {n} IN ('true', '1', 's', 'si') THEN TRUE "
-            f"WHEN {n} IN ('false', '0', 'n', 'no') THEN FALSE ELSE NULL END")
+    return (f"CASE WHEN {n} IN ('nan', '') THEN NULL WHEN {n} IN ({', '.join(q(w) for w in TRUE_WORDS)}) THEN TRUE "
+            f"WHEN {n} IN ({', '.join(q(w) for w in FALSE_WORDS)}) THEN FALSE ELSE NULL END")
 
 
 def digits(x: str) -> str:

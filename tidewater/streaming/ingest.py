@@ -39,12 +39,17 @@ def clean_transactions_stream(spark: SparkSession, raw_dir: str, raw_schema, cus
     keys = customer_ids.select("cliente_id").distinct()
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        m = mark_orphans(pc.clean_tx_columns(batch), keys, "cliente_id")
-        reason = (F.when(F.col("_parent_found").isNull(), F.lit(ORPHAN))
-                   .when(F.col("monto") < 0, F.lit(NEGATIVE_AMOUNT)))
-        s = split_by_reason(m, reason, with_time=True)
-        _write_batch(s.valid.drop("_parent_found"), f"{out_dir}/valid", batch_id)
-        _write_batch(s.rejected.drop("_parent_found"), f"{out_dir}/quarantine", batch_id)
+        # the micro-batch feeds two sinks: keep it once instead of re-reading the source
+        batch = batch.persist()
+        try:
+            m = mark_orphans(pc.clean_tx_columns(batch), keys, "cliente_id")
+            reason = (F.when(F.col("_parent_found").isNull(), F.lit(ORPHAN))
+                       .when(F.col("monto") < 0, F.lit(NEGATIVE_AMOUNT)))
+            s = split_by_reason(m, reason, with_time=True)
+            _write_batch(s.valid.drop("_parent_found"), f"{out_dir}/valid", batch_id)
+            _write_batch(s.rejected.drop("_parent_found"), f"{out_dir}/quarantine", batch_id)
+        finally:
+            batch.unpersist()
 
     q = (dedup.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint)
