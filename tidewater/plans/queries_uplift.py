@@ -190,3 +190,17 @@ def effect_importance(spark, sf):
     panel = pcz.split_flag(cc_panel(spark, sf)).filter(F.col("en_test")).drop("score_uplift")
     s = model.transform(panel)
     return ei(model, s, P)
+
+
+@register("tlearner_score_calibrated")
+def tlearner_score_calibrated(spark, sf):
+    """M6b + M7: scores with the per-arm class weights undone (true-probability scale)."""
+    g, model, _, _ = _trained(spark, sf)
+    return ps.score_population(model, g, P, calibrated=True)
+
+
+@register("quadrant_table")
+def quadrant_table(spark, sf):
+    """M9: customers per uplift quadrant of the forest scores, fixed order, with shares."""
+    g, model, _, _ = _trained(spark, sf)
+    return ps.segment_distribution(ps.score_population(model, g, P))
