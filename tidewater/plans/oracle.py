@@ -268,6 +268,23 @@ SELECT trim(comercio_codigo) AS comercio_codigo, nombre_comercio, {cat_map('nomb
 FROM (SELECT DISTINCT * FROM b_comercios)""")
 
 
+def _bigint_count_if(sql: str) -> str:
+    """``count_if(x)`` is HUGEINT in DuckDB; ``count(*) FILTER (WHERE x)`` is BIGINT like Spark's count_if."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = _bigint_count_if(sql[j + len(key):k - 1])
+        out.append(sql[i:j] + f"count(*) FILTER (WHERE {inner})")
+        i = k
+
+
 def sql_for(deps: list[str], select: str) -> str:
     order: list[str] = []
 
@@ -281,9 +298,9 @@ def sql_for(deps: list[str], select: str) -> str:
     for d in deps:
         visit(d)
     if not order:
-        return select.strip()
+        return _bigint_count_if(select.strip())
     withs = ",\n".join(f"{n} AS ({CTES[n][1].strip()})" for n in order)
-    return f"WITH {withs}\n{select.strip()}"
+    return _bigint_count_if(f"WITH {withs}\n{select.strip()}")
 
 
 # gold ----------------------------------------------------------------------

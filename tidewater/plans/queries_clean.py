@@ -224,7 +224,7 @@ def duplicate_id_flag(spark, sf):
 
 
 @register("duplicate_key_report", o.sql_for([], """
-SELECT l_orderkey, l_linenumber, sum(n) AS n_apariciones, count(*) AS n_versiones
+SELECT l_orderkey, l_linenumber, CAST(sum(n) AS BIGINT) AS n_apariciones, count(*) AS n_versiones
 FROM (SELECT *, count(*) AS n FROM lineitem GROUP BY ALL)
 GROUP BY l_orderkey, l_linenumber HAVING sum(n) > 1"""))
 def duplicate_key_report(spark, sf):
@@ -233,7 +233,7 @@ def duplicate_key_report(spark, sf):
 
 
 @register("duplicate_tx_report", o.sql_for(["b_transacciones"], """
-SELECT transaccion_id, sum(n) AS n_apariciones, count(*) AS n_versiones
+SELECT transaccion_id, CAST(sum(n) AS BIGINT) AS n_apariciones, count(*) AS n_versiones
 FROM (SELECT *, count(*) AS n FROM b_transacciones GROUP BY ALL)
 GROUP BY transaccion_id HAVING sum(n) > 1"""))
 def duplicate_tx_report(spark, sf):

@@ -67,7 +67,7 @@ def length_profile(spark, sf):
 
 
 @register("doc_length_profile", o.sql_for([], """
-SELECT lang AS valor, count(*) AS n, sum(length(text)) AS n_caracteres FROM documents GROUP BY 1"""))
+SELECT lang AS valor, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS n_caracteres FROM documents GROUP BY 1"""))
 def doc_length_profile(spark, sf):
     d = read_table(spark, sf, "documents")
     return d.groupBy(F.col("lang").alias("valor")).agg(F.count(F.lit(1)).alias("n"),
