@@ -211,5 +211,36 @@ BRONZE = {
 }
 
 
+class LazyTables(dict):
+    """Mapping whose values are built on first access (unused tables cost no planning)."""
+
+    def __init__(self, factories: dict):
+        super().__init__()
+        self._factories = factories
+
+    def __missing__(self, key):
+        value = self._factories[key]()
+        self[key] = value
+        return value
+
+    def keys(self):
+        return self._factories.keys()
+
+    def items(self):
+        return [(k, self[k]) for k in self._factories]
+
+    def values(self):
+        return [self[k] for k in self._factories]
+
+    def __iter__(self):
+        return iter(self._factories)
+
+    def __len__(self):
+        return len(self._factories)
+
+    def __contains__(self, key):
+        return key in self._factories
+
+
 def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: fn(spark, sf_dir) for name, fn in BRONZE.items()}
+    return LazyTables({name: (lambda fn=fn: fn(spark, sf_dir)) for name, fn in BRONZE.items()})
