@@ -94,3 +94,14 @@ def test_crude_uplift_and_funnel(spark):
     df = spark.createDataFrame([(1, 1), (1, 0), (0, 0), (0, 0), (0, 1)], "tratado int, aumento_uso int")
     r = pcz.crude_uplift(df).first()
     assert abs(r.tasa_tratado - 0.5) < 1e-12 and abs(r.tasa_control - 1 / 3) < 1e-12
+
+
+def test_quota_split_takes_exact_share_per_stratum(spark):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("cliente_id"),
+                                  (F.col("id") % 2).cast("int").alias("tratado"),
+                                  (F.col("id") % 7 < 2).cast("int").alias("aumento_uso"))
+    got = pcz.split_flag_quota(df, ["tratado", "aumento_uso"]).groupBy("tratado", "aumento_uso").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("en_test").alias("t")).collect()
+    assert len(got) == 4
+    for r in got:
+        assert r.t == math.ceil(0.25 * r.n)

@@ -286,6 +286,17 @@ def stratified_split(spark, sf):
     return pcz.split_flag(cc_panel(spark, sf)).select("cliente_id", "tratado", "aumento_uso", "en_test")
 
 
+@register("stratified_split_quota", o.sql_for(["c_cc"], """
+SELECT c.cliente_id, c.tratado, c.aumento_uso, c._h <= t.thr AS en_test
+FROM (SELECT *, ('0x' || substr(md5('42:' || cliente_id), 1, 8))::BIGINT AS _h FROM c_cc) c
+JOIN (SELECT tratado, aumento_uso, quantile_disc(('0x' || substr(md5('42:' || cliente_id), 1, 8))::BIGINT, 0.25) AS thr
+      FROM c_cc GROUP BY 1, 2) t ON c.tratado = t.tratado AND c.aumento_uso = t.aumento_uso"""))
+def stratified_split_quota(spark, sf):
+    """U3 exact-quota variant: 25 % test inside each arm x outcome stratum."""
+    p = pcz.split_flag_quota(cc_panel(spark, sf), ["tratado", "aumento_uso"])
+    return p.select("cliente_id", "tratado", "aumento_uso", "en_test")
+
+
 @register("class_weights", o.sql_for(["c_split"], f"""
 SELECT c.tratado, c.aumento_uso, c.n, t.n_brazo, {r('t.n_brazo / (2.0 * c.n)', 'peso')}
 FROM (SELECT tratado, aumento_uso, count(*) AS n FROM c_split WHERE NOT en_test GROUP BY 1, 2) c
