@@ -67,8 +67,11 @@ def cc_panel(spark, sf):
     return pcz.complete_cases(pcz.model_panel(g, tx), NUM)
 
 
+STRATA = ["tratado", "aumento_uso"]
+
+
 def scored_test(spark, sf):
-    p = pcz.heuristic_scores(pcz.split_flag(cc_panel(spark, sf)))
+    p = pcz.heuristic_scores(pcz.split_flag_quota(cc_panel(spark, sf), STRATA))
     return p.filter(F.col("en_test"))
 
 
@@ -88,8 +91,14 @@ SELECT c.*, coalesce(k.pre, 0) AS pre, coalesce(k.post, 0) AS post,
   CAST(coalesce(k.post, 0) > coalesce(k.pre, 0) AS INTEGER) AS aumento_uso
 FROM c_cust c LEFT JOIN c_counts k ON c.cliente_id = k.cliente_id""")
 o.cte("c_cc", ["c_panel"], "SELECT * FROM c_panel WHERE " + " AND ".join(f"{f} IS NOT NULL" for f in NUM))
-o.cte("c_split", ["c_cc"], f"""
+o.cte("c_split_hash", ["c_cc"], f"""
 SELECT *, ('0x' || substr(md5('{P.seed}:' || cliente_id), 1, 8))::BIGINT % 10000 < 2500 AS en_test FROM c_cc""")
+o.cte("c_split", ["c_cc"], f"""
+SELECT c.* EXCLUDE (_h), c._h <= t.thr AS en_test
+FROM (SELECT *, ('0x' || substr(md5('{P.seed}:' || cliente_id), 1, 8))::BIGINT AS _h FROM c_cc) c
+JOIN (SELECT tratado, aumento_uso,
+             quantile_disc(('0x' || substr(md5('{P.seed}:' || cliente_id), 1, 8))::BIGINT, {P.test_fraction}) AS thr
+      FROM c_cc GROUP BY 1, 2) t ON c.tratado = t.tratado AND c.aumento_uso = t.aumento_uso""")
 o.cte("c_scored", ["c_split"], """
 SELECT *, feat_frecuencia_mensual / (feat_frecuencia_mensual + CAST(0.15 AS DOUBLE)) AS p_tratamiento,
   feat_monto_mensual / (feat_monto_mensual + CAST(45000.0 AS DOUBLE)) AS p_control,
@@ -280,17 +289,14 @@ def crude_uplift(spark, sf):
     return rounded(pcz.crude_uplift(cc_panel(spark, sf)))
 
 
-@register("stratified_split", o.sql_for(["c_split"], """
-SELECT cliente_id, tratado, aumento_uso, en_test FROM c_split"""))
+@register("stratified_split", o.sql_for(["c_split_hash"], """
+SELECT cliente_id, tratado, aumento_uso, en_test FROM c_split_hash"""))
 def stratified_split(spark, sf):
     return pcz.split_flag(cc_panel(spark, sf)).select("cliente_id", "tratado", "aumento_uso", "en_test")
 
 
-@register("stratified_split_quota", o.sql_for(["c_cc"], """
-SELECT c.cliente_id, c.tratado, c.aumento_uso, c._h <= t.thr AS en_test
-FROM (SELECT *, ('0x' || substr(md5('42:' || cliente_id), 1, 8))::BIGINT AS _h FROM c_cc) c
-JOIN (SELECT tratado, aumento_uso, quantile_disc(('0x' || substr(md5('42:' || cliente_id), 1, 8))::BIGINT, 0.25) AS thr
-      FROM c_cc GROUP BY 1, 2) t ON c.tratado = t.tratado AND c.aumento_uso = t.aumento_uso"""))
+@register("stratified_split_quota", o.sql_for(["c_split"], """
+SELECT cliente_id, tratado, aumento_uso, en_test FROM c_split"""))
 def stratified_split_quota(spark, sf):
     """U3 exact-quota variant: 25 % test inside each arm x outcome stratum."""
     p = pcz.split_flag_quota(cc_panel(spark, sf), ["tratado", "aumento_uso"])
@@ -302,7 +308,7 @@ SELECT c.tratado, c.aumento_uso, c.n, t.n_brazo, {r('t.n_brazo / (2.0 * c.n)', '
 FROM (SELECT tratado, aumento_uso, count(*) AS n FROM c_split WHERE NOT en_test GROUP BY 1, 2) c
 JOIN (SELECT tratado, count(*) AS n_brazo FROM c_split WHERE NOT en_test GROUP BY 1) t ON c.tratado = t.tratado"""))
 def class_weights(spark, sf):
-    train = pcz.split_flag(cc_panel(spark, sf)).filter(~F.col("en_test"))
+    train = pcz.split_flag_quota(cc_panel(spark, sf), STRATA).filter(~F.col("en_test"))
     return rounded(pcz.class_weights(train))
 
 

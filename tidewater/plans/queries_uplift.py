@@ -187,7 +187,7 @@ def effect_importance(spark, sf):
     """M8: importance of encoded features for the individual effect (surrogate forest)."""
     from tidewater.operators.uplift import effect_importance as ei
     g, model, _, scored = _trained(spark, sf)
-    panel = pcz.split_flag(cc_panel(spark, sf)).filter(F.col("en_test")).drop("score_uplift")
+    panel = pcz.split_flag_quota(cc_panel(spark, sf), ["tratado", "aumento_uso"]).filter(F.col("en_test"))
     s = model.transform(panel)
     return ei(model, s, P)
 

@@ -29,7 +29,8 @@ def with_segments(scored: DataFrame, params: Params = Params(), version: str | N
 def train_and_evaluate(gold: DataFrame, tx: DataFrame, params: Params = Params()):
     """C1 -> P11 -> U3 -> M1-M4 -> M5, C12, C14 on the test rows. Returns (model, metrics row, balance)."""
     panel = pcz.complete_cases(pcz.model_panel(gold, tx, params), params.numeric_features)
-    panel = materialize(pcz.split_flag(panel, params=params))
+    # stratified by arm x outcome with exact quotas, as the reference's split
+    panel = materialize(pcz.split_flag_quota(panel, ["tratado", "aumento_uso"], params=params))
     train, test = panel.filter(~F.col("en_test")), panel.filter(F.col("en_test"))
     model = fit_tlearner(train, params)
     scored = materialize(model.transform(test, calibrated=True).select(
