@@ -112,16 +112,15 @@ def split_flag_quota(df: DataFrame, strata: list[str], key: str = "cliente_id",
 
     The per-stratum threshold is the discrete ``share`` quantile of the md5
     hash (a bounded quantile sketch, exact up to ~10^6 rows per stratum); the
-    threshold table has one row per stratum and is broadcast. No window over a
+    threshold table has one row per stratum (AQE broadcasts it once measured). No window over a
     stratum, so no stratum is ever gathered into one task.
     """
     h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{params.seed}:"), F.col(key).cast("string"))), 1, 8),
                16, 10).cast("bigint")
     x = df.withColumn("_h", h)
     thr = x.groupBy(*strata).agg(F.percentile_approx("_h", params.test_fraction, accuracy).alias("_thr"))
-    # one row per stratum value combination: bounded by the strata, not the data
-    return x.join(F.broadcast(thr), strata, "left").withColumn("en_test", F.col("_h") <= F.col("_thr")) \
-            .drop("_h", "_thr")
+    # one row per stratum: no hint; AQE broadcasts it after measuring its real (tiny) size
+    return x.join(thr, strata, "left").withColumn("en_test", F.col("_h") <= F.col("_thr")).drop("_h", "_thr")
 
 
 def class_weights(train: DataFrame, y: str = "aumento_uso", w: str = "tratado") -> DataFrame:

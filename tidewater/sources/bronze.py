@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.operators.joins import lookup_join
 from tidewater.sources.io import read_table, spread
 
 # Spellings of the eight transaction types: [plain code, UPPER, leading blank, Title words]
@@ -66,9 +67,9 @@ def _id(prefix: str, k: str, width: int) -> str:
 
 def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = spread(read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"))
-    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # nation is a fixed 25-row dimension of the schema: broadcasting it is bounded.
-    j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
+    n = read_table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    # dimension lookup: broadcast only after its row count is proven small
+    j = lookup_join(c, n, "c_nationkey")
     k = "c_custkey"
     cid = _id("CHK-", k, 6)
     ced_k = f"CASE WHEN {k} % 97 = 0 AND {k} > 0 THEN {k} - 1 ELSE {k} END"
