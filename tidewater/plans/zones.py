@@ -49,7 +49,7 @@ def _write(df: DataFrame, path: str) -> DataFrame:
 
 
 def silver_zone(spark: SparkSession, sf_dir: str, params: Params = Params()) -> dict[str, Split]:
-    """Silver tables (valid + quarantine, without the processing time) written once per input version."""
+    """Silver valid tables written once per input version (quarantine kept as a lazy plan)."""
     from tidewater.plans.clean import silver_tables
     from tidewater.sources.bronze import bronze_tables
     k = _key(spark, sf_dir, params, "silver")
@@ -58,12 +58,8 @@ def silver_zone(spark: SparkSession, sf_dir: str, params: Params = Params()) ->
             base = f"{checkpoint_dir(spark).rstrip('/')}/zones/{uuid.uuid4().hex}/silver"
             out = {}
             for name, sp in silver_tables(bronze_tables(spark, sf_dir), params, with_time=False).items():
-                valid = _write(sp.valid, f"{base}/{name}")
-                rej = None
-                if sp.rejected is not None:
-                    sp.rejected.write.mode("overwrite").parquet(f"{base}/{name}__cuarentena")
-                    rej = spark.read.schema(sp.rejected.schema).parquet(f"{base}/{name}__cuarentena")
-                out[name] = Split(valid, rej)
+                # consumers read the valid rows; rejected rows stay a lazy plan (jobs.standardize writes them)
+                out[name] = Split(_write(sp.valid, f"{base}/{name}"), sp.rejected)
             _ZONES[k] = out
         return _ZONES[k]
 
