@@ -27,6 +27,7 @@ class Split:
     valid: DataFrame
     rejected: DataFrame | None
     tagged: DataFrame | None = None
+    frame: DataFrame | None = None  # every row with all columns and the reason (before the two filters)
 
 
 def tag_reason(df: DataFrame, reason: str, with_time: bool = True) -> DataFrame:
@@ -59,7 +60,7 @@ def split_by_reason(marked: DataFrame, reason: Column, with_time: bool = True) -
     rejected = tagged.filter(F.col(REASON).isNotNull())
     if with_time:
         rejected = rejected.withColumn(PROCESSED_AT, F.current_timestamp())
-    return Split(valid, rejected, tagged.select(REASON))
+    return Split(valid, rejected, tagged.select(REASON), tagged)
 
 
 def orphan_split(child: DataFrame, parent_keys: DataFrame, key: str = "cliente_id",
@@ -67,7 +68,7 @@ def orphan_split(child: DataFrame, parent_keys: DataFrame, key: str = "cliente_i
     """J1+J2+J3: rows whose key exists in the parent vs. orphans, reason attached."""
     m = mark_orphans(child, parent_keys, key)
     s = split_by_reason(m, F.when(F.col("_parent_found").isNull(), F.lit(ORPHAN)), with_time)
-    return Split(s.valid.drop("_parent_found"), s.rejected.drop("_parent_found"), s.tagged)
+    return Split(s.valid.drop("_parent_found"), s.rejected.drop("_parent_found"), s.tagged, s.frame)
 
 
 def semi_join(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
