@@ -50,11 +50,13 @@ def prefix_sums(t: DataFrame, order_col: str, sum_cols: Sequence[str], descendin
     cuts: list[float] = []
     if nb > 1 and (n_buckets or n_rows > SMALL_TABLE_ROWS):
         cuts = sorted({float(c) for c in (got or []) if c is not None})
-    if cuts:
-        splits = [float("-inf"), *cuts, float("inf")]
-        b = Bucketizer(splits=splits, inputCol="_key", outputCol="_b").transform(t)
-    else:
-        b = t.withColumn("_b", F.lit(0.0))
+    if not cuts:
+        # small distinct-value table (<= SMALL_TABLE_ROWS rows): one ordered window, no offsets needed
+        w_all = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = t.withColumns({f"{prefix}{c}": F.sum(c).over(w_all) for c in sum_cols})
+        return out.drop("_key")
+    splits = [float("-inf"), *cuts, float("inf")]
+    b = Bucketizer(splits=splits, inputCol="_key", outputCol="_b").transform(t)
     w_in = Window.partitionBy("_b").orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     within = b.withColumns({f"_in_{c}": F.sum(c).over(w_in) for c in sum_cols})
     totals = b.groupBy("_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
