@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, decontam, urls
+from tidewater.llm import attribution, chat, decontam, frames, urls
 from tidewater.llm.common import stage, table
 
 Q, SQL = {}, {}
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def add(f):
         Q[name] = f
@@ -49,6 +54,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copies")
 
 
+@query("op2_token_counts")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.section_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op5_token_files")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = frames.scratch(spark)
+    frames.write(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), path)
+    return frames.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"),
          ("com/de/", "block")]
 
