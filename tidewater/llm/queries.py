@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import attribution, chat, decontam, frames, urls
+from tidewater.llm import attribution, chat, decontam, frames, toxicity, urls
 from tidewater.llm.common import stage, table
 
 Q, SQL = {}, {}
@@ -66,6 +66,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = toxicity.toxic_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return s.select("doc_id", toxicity.held_out_column(F.col("doc_id")).alias("held_out"), "score",
+                    (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"),
          ("com/de/", "block")]
 
