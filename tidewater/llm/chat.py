@@ -75,10 +75,11 @@ def best_paths(messages: DataFrame) -> DataFrame:
         jumps.append(jump.select("key", "node", "up"))
         above = jump.select("key", F.col("node").alias("up"), F.col("up").alias("up2"),
                             F.col("depth").alias("depth2"), F.col("sum").alias("sum2"))
-        jump = stage(jump.join(above, ["key", "up"], "left")
-                     .select("key", "node", F.col("up2").alias("up"),
-                             (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
-                             (F.col("sum") + F.coalesce("sum2", F.lit(0.0))).alias("sum")))
+        rooted, going = jump.where(F.col("up").isNull()), jump.where(F.col("up").isNotNull())
+        going = going.join(above, ["key", "up"]).select(
+            "key", "node", F.col("up2").alias("up"), (F.col("depth") + F.col("depth2")).alias("depth"),
+            (F.col("sum") + F.col("sum2")).alias("sum"))
+        jump = stage(rooted.unionByName(going))
         span *= 2
     done = jump.where(F.col("up").isNull())
     first = jumps[0] if jumps else jump
