@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import attribution, chat, decontam, frames, toxicity, urls
+from tidewater.llm import attribution, bpe, chat, decontam, frames, toxicity, urls
 from tidewater.llm.common import stage, table
 
 Q, SQL = {}, {}
@@ -73,6 +73,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query("op7_byte_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
+    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"),
          ("com/de/", "block")]
 
