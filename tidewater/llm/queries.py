@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import attribution, bpe, chat, decontam, frames, toxicity, urls
+from tidewater.llm import attribution, bpe, chat, decontam, frames, jaccard, toxicity, urls
 from tidewater.llm.common import stage, table
 
 Q, SQL = {}, {}
@@ -128,3 +128,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
                       F.length("under").cast("long").alias("loss_chars"), F.sha2("under", 256).alias("loss_sha256"),
                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op10_jaccard_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard.link(table(spark, sf_dir, "documents"))
+    out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
+    return out.select("doc_id", "class_id", "n_links", "component_id", "kept")
