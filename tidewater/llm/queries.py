@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import attribution, bpe, chat, decontam, frames, jaccard, toxicity, urls
+from tidewater.llm import attribution, bpe, chat, decontam, embeddings, frames, jaccard, toxicity, urls
 from tidewater.llm.common import stage, table
 
 Q, SQL = {}, {}
@@ -59,6 +59,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attribution.section_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query("op3_embedding_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.link(table(spark, sf_dir, "embeddings"))
+
+
 @query("op5_token_files")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = frames.scratch(spark)
