@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import attribution, bpe, chat, decontam, embeddings, frames, jaccard, toxicity, urls
+from tidewater.llm import attribution, bpe, chat, decontam, embeddings, frames, jaccard, suffixes, toxicity, urls
 from tidewater.llm.common import stage, table
 
 Q, SQL = {}, {}
@@ -64,6 +64,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.link(table(spark, sf_dir, "embeddings"))
 
 
+@query("op4_suffix_array_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.cut_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op5_token_files")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = frames.scratch(spark)
