@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import stage
 from tidewater.llm.linkage import across, components, roots, spans, tiles
 from tidewater.llm.textarrays import Words, mix
-from tidewater.llm.tokens import runs
+from tidewater.llm.tokens import text_runs
 
 N, THRESHOLD, RECALL, ROWS = 5, 0.8, 1 - 1e-6, 5
 BLOCK_ROWS, PACK_ROWS = 400, 1_500
@@ -83,9 +83,8 @@ def band_hashes(grams: np.ndarray, first: np.ndarray, bands: int, rows: int) ->
 
 def _signatures(batches, n: int, bands: int, rows: int):
     for batch in batches:
-        texts = [(x or "").encode() for x in batch.column(2).to_pylist()]
-        for lo, hi in runs([len(t) for t in texts], 1 << 20):
-            g, first = gram_sets(texts[lo:hi], n)
+        for lo, hi, texts in text_runs(batch.column(2), 1 << 20):
+            g, first = gram_sets([t.encode() for t in texts], n)
             some = np.diff(first) > 0
             hashes = band_hashes(g, first, bands, rows).view(np.int64) if some.any() else np.zeros((0, bands), np.int64)
             keys = [hashlib.md5(g[i:j].tobytes()).digest() if j > i else None

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import parts_for, stage
 from tidewater.llm.linkage import spans
 from tidewater.llm.textarrays import mix, prefix_hash, span_hash
-from tidewater.llm.tokens import runs
+from tidewater.llm.tokens import runs, text_runs
 
 LENGTH, GRAM = 200, 64
 PIECE = 2 << 20  # bytes of windows that are hashed at once
@@ -85,19 +85,19 @@ def _pieces(texts: list[bytes], length: int):
 
 def _runs(batches, length: int, gram: int):
     for b in batches:
-        texts = [(x or "").encode() for x in b.column(2).to_pylist()]
-        parts = [p for p in _pieces(texts, length) if len(p[2]) >= length]
-        for i, j in runs([len(p[2]) for p in parts], PIECE):
-            ends = np.cumsum([len(p[2]) for p in parts[i:j]])
-            buf = np.frombuffer(b"".join(p[2] for p in parts[i:j]), np.uint8)
-            lo, hi, anchor, h, c = windows_by_anchor(buf, ends, length, gram)
-            piece = np.searchsorted(ends, lo, "right")
-            shift = np.array([p[1] for p in parts[i:j]])[piece] - np.concatenate([[0], ends[:-1]])[piece]
-            who = pa.array(np.array([p[0] for p in parts[i:j]])[piece])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(who), b.column(1).take(who), pa.array(h), pa.array(c), pa.array(lo + shift),
-                 pa.array((hi - lo).astype(np.int32)), pa.array((anchor - lo).astype(np.int32))],
-                ["d", "t", "h", "c", "lo", "n", "place"])
+        for at, _, texts in text_runs(b.column(2), 4 << 20):
+            parts = [(at + k, o, x) for k, o, x in _pieces([t.encode() for t in texts], length) if len(x) >= length]
+            for i, j in runs([len(p[2]) for p in parts], PIECE):
+                ends = np.cumsum([len(p[2]) for p in parts[i:j]])
+                buf = np.frombuffer(b"".join(p[2] for p in parts[i:j]), np.uint8)
+                lo, hi, anchor, h, c = windows_by_anchor(buf, ends, length, gram)
+                piece = np.searchsorted(ends, lo, "right")
+                shift = np.array([p[1] for p in parts[i:j]])[piece] - np.concatenate([[0], ends[:-1]])[piece]
+                who = pa.array(np.array([p[0] for p in parts[i:j]])[piece])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(who), b.column(1).take(who), pa.array(h), pa.array(c), pa.array(lo + shift),
+                     pa.array((hi - lo).astype(np.int32)), pa.array((anchor - lo).astype(np.int32))],
+                    ["d", "t", "h", "c", "lo", "n", "place"])
 
 
 def sample_ranks(text: np.ndarray, length: int) -> np.ndarray:

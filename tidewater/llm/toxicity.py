@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.textarrays import Words, mix, prefix_hash, span_hash
-from tidewater.llm.tokens import runs
+from tidewater.llm.tokens import text_runs
 
 BUCKETS, DIM, GAIN = 1 << 17, 8, 20.0
 SIZES = (3, 4, 5)
@@ -126,9 +126,8 @@ def log_odds(texts: list[bytes], scalar: np.ndarray, bias: float) -> np.ndarray:
 
 def _bags(batches):
     for b in batches:
-        texts = [(x or "").encode() for x in b.column(1).to_pylist()]
-        for lo, hi in runs([len(x) for x in texts], 2 << 20):
-            got = bags(texts[lo:hi])
+        for lo, hi, texts in text_runs(b.column(1), 1 << 20):
+            got = bags([t.encode() for t in texts])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).slice(lo, hi - lo), pa.array([x[0] for x in got], pa.list_(pa.int32())),
                  pa.array([x[1] for x in got], pa.list_(pa.float32()))], ["y", "buckets", "shares"])
@@ -168,8 +167,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "tex
     def run(batches):
         scalar, bias = held.value
         for b in batches:
-            texts = [(x or "").encode() for x in b.column(text_at).to_pylist()]
-            z = [log_odds(texts[lo:hi], scalar, bias) for lo, hi in runs([len(x) for x in texts], 1 << 20)]
+            z = [log_odds([t.encode() for t in texts], scalar, bias)
+                 for _, _, texts in text_runs(b.column(text_at), 1 << 20)]
             z = np.clip(np.concatenate(z) if z else np.zeros(0), -500, 500)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-z)))], [*columns, out])
 
