@@ -87,3 +87,22 @@ def test_histogram_edges_and_counts(spark):
     df = spark.createDataFrame([(float(v),) for v in range(11)], "x double")
     h = {r.bin: r.n for r in st.histogram(df, "x", 5).collect()}
     assert sum(h.values()) == 11 and h[4] == 3  # last bin closed: 8, 9, 10
+
+
+def test_ranks_are_exact_beyond_doubles_and_keep_nan_last(spark):
+    big = 1 << 53
+    t = spark.createDataFrame([(big + i, 1) for i in range(6)], "x long, n long")
+    got = {r.x: r.cum_n for r in rk.prefix_sums(t, "x", ["n"], n_buckets=3).collect()}
+    assert got == {big + i: i + 1 for i in range(6)}
+    t = spark.createDataFrame([(1.0, 1), (float("nan"), 1), (-2.0, 1)], "x double, n long")
+    got = sorted((r.cum_n, r.x) for r in rk.prefix_sums(t, "x", ["n"], n_buckets=2).collect())
+    assert [x for _, x in got[:2]] == [-2.0, 1.0] and math.isnan(got[2][1])
+
+
+def test_exact_quantiles_match_numpy(spark):
+    rng = np.random.default_rng(9)
+    vals, groups = rng.integers(0, 200, 3000), rng.integers(0, 4, 3000)
+    df = spark.createDataFrame(list(zip(groups.tolist(), vals.tolist())), "g long, x long")
+    for r in rk.exact_quantiles(df, ["g"], "x", [0.25, 0.5, 0.9]).collect():
+        v = vals[groups == r.g]
+        assert r.n == len(v) and r.q == [int(np.quantile(v, p, method="inverted_cdf")) for p in (0.25, 0.5, 0.9)]

@@ -1,72 +1,78 @@
 """Global ranks and running sums without a single-partition window.
 
 ``Window.orderBy(x)`` with no partition key moves every row to one task. The
-recipe here keeps the work distributed:
+recipe here keeps the work distributed, with one algorithm at all sizes:
 
 1. pre-aggregate by the ordering value (ties collapse to one row, with counts);
-2. cut the distinct values into ``n_buckets`` ranges by approximate quantiles
-   (one small driver round trip: ``n_buckets - 1`` numbers); the bucket is a
-   pure function of the value, so ties never straddle buckets and a recompute
-   after executor loss gives the same buckets;
+2. range-partition the distinct values into buckets of about ``BUCKET_ROWS``
+   rows (the number follows the measured row count, without a ceiling) and
+   write them with their bucket number, so a recompute after executor loss
+   reads the same buckets. The order is Spark's own order of the column:
+   exact for longs and decimals, NaN after all numbers;
 3. running sums inside ``Window.partitionBy(bucket).orderBy(value)``; bucket
-   totals (one row per bucket) get an exclusive running sum and are broadcast
-   back (size bounded by ``n_buckets``) and added.
+   totals (one row per bucket) get an exclusive running sum and are joined back.
 
 Average rank with ties = rows before the value + (n + 1) / 2.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 4096
-# Distinct-value tables up to this many rows run the running sum in one window partition.
-SMALL_TABLE_ROWS = 200_000
+from tidewater.session import materialize
 
-
-def default_buckets(df: DataFrame) -> int:
-    return max(1, min(MAX_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))))
+BUCKET_ROWS = 100_000
 
 
 def prefix_sums(t: DataFrame, order_col: str, sum_cols: Sequence[str], descending: bool = False,
-                n_buckets: int | None = None, prefix: str = "cum_", materialized: bool = False) -> DataFrame:
-    """Inclusive running sums of ``sum_cols`` over distinct ``order_col`` values.
+                n_buckets: int | None = None, prefix: str = "cum_", materialized: bool = False,
+                by: Sequence[str] = ()) -> DataFrame:
+    """Inclusive running sums of ``sum_cols`` over distinct ``order_col`` values, within each ``by`` group.
 
-    ``t`` is checkpointed first (unless ``materialized``) so its upstream runs
-    once; one action then returns its row count and the bucket cut points.
+    ``t`` is written first (unless ``materialized``) so its upstream runs once.
     """
-    from tidewater.session import materialize
+    by = list(by)
     if not materialized:
         t = materialize(t)
-    key = -F.col(order_col) if descending else F.col(order_col)
-    t = t.withColumn("_key", key.cast("double"))
-    nb = n_buckets or default_buckets(t)
-    probs = [i / nb for i in range(1, nb)] if nb > 1 else [0.5]
-    n_rows, got = t.agg(F.count(F.lit(1)), F.percentile_approx("_key", probs, 10000)).first()
-    cuts: list[float] = []
-    if nb > 1 and (n_buckets or n_rows > SMALL_TABLE_ROWS):
-        cuts = sorted({float(c) for c in (got or []) if c is not None})
-    if not cuts:
-        # small distinct-value table (<= SMALL_TABLE_ROWS rows): one ordered window, no offsets needed
-        w_all = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = t.withColumns({f"{prefix}{c}": F.sum(c).over(w_all) for c in sum_cols})
-        return out.drop("_key")
-    splits = [float("-inf"), *cuts, float("inf")]
-    b = Bucketizer(splits=splits, inputCol="_key", outputCol="_b").transform(t)
-    w_in = Window.partitionBy("_b").orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    key = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    nb = n_buckets or max(1, math.ceil(t.count() / BUCKET_ROWS))
+    b = materialize(t.repartitionByRange(nb, *by, key).withColumn("_b", F.spark_partition_id()))
+    w_in = Window.partitionBy("_b", *by).orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     within = b.withColumns({f"_in_{c}": F.sum(c).over(w_in) for c in sum_cols})
-    totals = b.groupBy("_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    # one row per bucket: this window is bounded by n_buckets, not by the data
-    w_tot = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_b", *[F.coalesce(F.sum(f"_t_{c}").over(w_tot), F.lit(0)).alias(f"_o_{c}")
-                                    for c in sum_cols])
-    out = within.join(F.broadcast(offsets), "_b")
+    totals = b.groupBy("_b", *by).agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    # one row per bucket and group: bounded by the number of buckets plus that of groups
+    w_tot = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col("_b").alias("_ob"), *[F.col(c).alias(f"_by_{c}") for c in by],
+                            *[F.coalesce(F.sum(f"_t_{c}").over(w_tot), F.lit(0)).alias(f"_o_{c}") for c in sum_cols])
+    on = F.col("_b") == F.col("_ob")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    out = within.join(offsets, on)
     out = out.withColumns({f"{prefix}{c}": F.col(f"_in_{c}") + F.col(f"_o_{c}") for c in sum_cols})
-    return out.drop("_b", "_key", *[f"_in_{c}" for c in sum_cols], *[f"_o_{c}" for c in sum_cols])
+    return out.drop("_b", "_ob", *[f"_by_{c}" for c in by], *[f"_in_{c}" for c in sum_cols],
+                    *[f"_o_{c}" for c in sum_cols])
+
+
+def exact_quantiles(df: DataFrame, by: Sequence[str], value_col: str, probs: Sequence[float]) -> DataFrame:
+    """One row per group of ``by`` (one column at least): ``n`` and ``q`` (the discrete quantiles: least value with at least p * n rows up to it).
+
+    Rows are counted by distinct value and the counts summed in order: exact at any size, with no sketch and
+    no group gathered in one task. NULL values are left out.
+    """
+    by = list(by)
+    t = df.where(F.col(value_col).isNotNull()).groupBy(*by, value_col).agg(F.count(F.lit(1)).alias("n"))
+    p = materialize(prefix_sums(t, value_col, ["n"], by=by))
+    total = p.groupBy(*by).agg(F.sum("n").alias("_total")).select(*[F.col(c).alias(f"_by_{c}") for c in by], "_total")
+    on = F.lit(True)
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    j = p.join(total, on)
+    least = [F.min(F.when(F.col("cum_n") >= F.lit(x) * F.col("_total"), F.col(value_col))) for x in probs]
+    return j.groupBy(*by).agg(F.first("_total").alias("n"), F.array(*least).alias("q"))
 
 
 def average_ranks(df: DataFrame, value_col: str, counts: Mapping[str, Column] | None = None,

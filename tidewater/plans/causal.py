@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.parse import DAYS_PER_MONTH, pct_change
 from tidewater.operators.pointintime import within
+from tidewater.operators.ranks import exact_quantiles
 from tidewater.session import Params
 
 
@@ -107,19 +108,17 @@ def split_flag(df: DataFrame, key: str = "cliente_id", params: Params = Params()
 
 
 def split_flag_quota(df: DataFrame, strata: list[str], key: str = "cliente_id",
-                     params: Params = Params(), accuracy: int = 1_000_000) -> DataFrame:
+                     params: Params = Params()) -> DataFrame:
     """U3 exact-quota variant: inside every stratum the test rows are the ceil(share * n) smallest hashes.
 
-    The per-stratum threshold is the discrete ``share`` quantile of the md5
-    hash (a bounded quantile sketch, exact up to ~10^6 rows per stratum); the
-    threshold table has one row per stratum (AQE broadcasts it once measured). No window over a
-    stratum, so no stratum is ever gathered into one task.
+    The threshold of a stratum is the discrete ``share`` quantile of the md5
+    hash, counted exactly; its table has one row per stratum (AQE broadcasts
+    it once measured). No window over a stratum gathers it in one task.
     """
     h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{params.seed}:"), F.col(key).cast("string"))), 1, 8),
                16, 10).cast("bigint")
     x = df.withColumn("_h", h)
-    thr = x.groupBy(*strata).agg(F.percentile_approx("_h", params.test_fraction, accuracy).alias("_thr"))
-    # one row per stratum: no hint; AQE broadcasts it after measuring its real (tiny) size
+    thr = exact_quantiles(x, strata, "_h", [params.test_fraction]).select(*strata, F.col("q")[0].alias("_thr"))
     return x.join(thr, strata, "left").withColumn("en_test", F.col("_h") <= F.col("_thr")).drop("_h", "_thr")
 
 
