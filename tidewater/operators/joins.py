@@ -1,30 +1,27 @@
-"""Join helpers with an explicit size bound for broadcasting."""
+"""Lookup join with a dimension table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension rows above this are never broadcast; Spark/AQE then choose a shuffle join.
-BROADCAST_MAX_ROWS = 200_000
+from tidewater.session import materialize
 
+#: A missing key matches nothing; it is spread over this many keys that no dimension holds.
+MISSING_KEYS = 997
 
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """Proven size bound: reads at most ``n + 1`` rows (a LIMIT job, not a full count)."""
-    return df.limit(n + 1).count() <= n
 
+def lookup_join(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Fact left join dim on ``key`` (a string).
 
-def lookup_join(fact: DataFrame, dim: DataFrame, key: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Fact ⟕ dim on ``key`` (dim unique on key).
-
-    Broadcast only after proving the dimension has at most ``max_rows`` rows.
-    Beyond that, rows with a NULL key skip the shuffle join altogether (they
-    can never match; otherwise they would all hash to one reducer) and the
-    rest use a sort-merge join that AQE may still convert or de-skew.
+    The dimension is reduced to one row per key (of rows that repeat a key the
+    least one, so a repeated key cannot multiply facts), written once and
+    joined plainly: adaptive execution broadcasts it by its measured bytes or
+    splits hot keys. Facts without a key would all meet in one task of a
+    shuffle join; they get one of ``MISSING_KEYS`` stand-ins instead.
     """
-    if has_at_most(dim, max_rows):
-        return fact.join(F.broadcast(dim), on=key, how="left")
-    extra = [c for c in dim.columns if c != key]
-    null_part = fact.filter(F.col(key).isNull()).select(
-        *fact.columns, *[F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in extra])
-    return fact.filter(F.col(key).isNotNull()).join(dim, on=key, how="left").unionByName(null_part)
+    others = [c for c in dim.columns if c != key]
+    one = dim.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*others)).alias("_d"))
+    one = materialize(one.select(F.col(key).alias("_key"), *[F.col(f"_d.{c}").alias(c) for c in others]))
+    stand_in = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*fact.columns), F.lit(MISSING_KEYS)).cast("string"))
+    return fact.withColumn("_key", F.coalesce(F.col(key), stand_in)).join(one, "_key", "left").drop("_key")

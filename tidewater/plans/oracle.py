@@ -8,7 +8,7 @@ dependency order, followed by the final SELECT.
 
 from __future__ import annotations
 
-from tidewater.sources.bronze import (BOOL_SPELLINGS, BRANDS, CAMPAIGNS, GENERIC_CATEGORIES, N_MERCHANTS,
+from tidewater.sources.bronze import (BOOL_SPELLINGS, BRANDS, CAMPAIGNS, CODE_WIDTH, GENERIC_CATEGORIES,
                                       PHYSICAL_SPELLINGS, TX_SPELLINGS, VIRTUAL_SPELLINGS)
 from tidewater.plans.clean import MERCHANT_CATEGORY_FIX
 from tidewater.functions.text import ACCENTED, FALSE_WORDS, NULL_WORDS, PLAIN, TRUE_WORDS
@@ -180,7 +180,7 @@ SELECT {_o} AS _k,
   CASE WHEN {_o} % 211 = 5 THEN 'nan' WHEN {_o} % 301 = 11 THEN NULL
        WHEN {_o} % 100 = 3 THEN '-' || {_body} WHEN {_o} % 2 = 0 THEN '$' || {_body} ELSE {_body} END AS monto,
   CASE WHEN {_o} % 8 = 4 AND {_o} % 97 <> 13 THEN (CASE WHEN {_o} % 7 = 0 THEN ' ' ELSE '' END) ||
-       'COM-' || lpad(CAST(({_o} // 8) % 45 AS VARCHAR), 3, '0') END AS comercio_codigo,
+       'COM-' || lpad(CAST(({_o} // 8) % (SELECT count(*) + count(*) // 10 + 3 FROM supplier) AS VARCHAR), {CODE_WIDTH}, '0') END AS comercio_codigo,
   {pick(BOOL_SPELLINGS, f'{_o} % 14')} AS es_devolucion
 FROM orders o""")
 cte("b_transacciones", ["b_transacciones0"], """
@@ -208,14 +208,14 @@ UNION ALL
 SELECT interaccion_id, cliente_id, campana, fecha_contacto, canal, respondio FROM b_marketing0 WHERE _k % 97 = 2""")
 
 _s = "s.s_suppkey"
-_code = f"('COM-' || lpad(CAST({_s} AS VARCHAR), 3, '0'))"
+_code = f"('COM-' || lpad(CAST({_s} AS VARCHAR), {CODE_WIDTH}, '0'))"
 cte("b_comercios0", [], f"""
 SELECT {_s} AS _k,
   CASE WHEN {_s} % 5 = 0 THEN ' ' || {_code} || ' ' ELSE {_code} END AS comercio_codigo,
   CASE WHEN {_s} < 15 THEN {pick(BRANDS, _s)} ELSE 'Comercio ' || CAST({_s} AS VARCHAR) END AS nombre_comercio,
   CASE WHEN {_s} < 15 THEN (CASE WHEN {_s} IN (6, 7, 8) THEN 'servicios_publicos' ELSE 'otros' END)
        ELSE {pick(GENERIC_CATEGORIES, f'{_s} % 6')} END AS categoria
-FROM supplier s WHERE {_s} < {N_MERCHANTS}""")
+FROM supplier s""")
 cte("b_comercios", ["b_comercios0"], """
 SELECT comercio_codigo, nombre_comercio, categoria FROM b_comercios0
 UNION ALL SELECT comercio_codigo, nombre_comercio, categoria FROM b_comercios0 WHERE _k = 20""")

@@ -11,7 +11,6 @@ a lost executor re-reads files instead of recomputing the pipeline.
 
 from __future__ import annotations
 
-import os
 import threading
 import uuid
 
@@ -19,28 +18,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.operators.quality import Split
 from tidewater.session import Params, checkpoint_dir
+from tidewater.sources.io import list_folder
 
 _LOCK = threading.Lock()
 _ZONES: dict = {}
 
 
-def _fingerprint(sf_dir: str) -> tuple:
-    try:
-        names = sorted(os.listdir(sf_dir))
-    except OSError:
-        return (sf_dir,)
+def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and modification times of all input files (tables may be files or folders of them)."""
     out = []
-    for n in names:
-        try:
-            st = os.stat(os.path.join(sf_dir, n))
-            out.append((n, st.st_size, int(st.st_mtime)))
-        except OSError:
-            pass
+    for entry in list_folder(spark, sf_dir):
+        out.append(entry)
+        if entry[0].endswith(".parquet"):
+            out += list_folder(spark, f"{sf_dir.rstrip('/')}/{entry[0]}")
+    if not out:
+        raise FileNotFoundError(f"no input tables in {sf_dir}")
     return tuple(out)
 
 
 def _key(spark: SparkSession, sf_dir: str, params: Params, what: str) -> tuple:
-    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _fingerprint(sf_dir), repr(params), what)
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _fingerprint(spark, sf_dir), repr(params), what)
 
 
 def _write(df: DataFrame, path: str) -> DataFrame:

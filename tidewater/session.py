@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as _dt
 import os
 import tempfile
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -44,7 +44,6 @@ class Params:
         "feat_antiguedad_dias",
     )
     categorical_features: tuple = ("feat_ciudad", "feat_canal_adquisicion")
-    extra: dict = field(default_factory=dict)
 
     def days(self, a: str, b: str) -> int:
         return (_dt.date.fromisoformat(b) - _dt.date.fromisoformat(a)).days
@@ -71,7 +70,6 @@ def get_session(app: str = "tidewater", master: str | None = None,
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
-          .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -81,13 +79,17 @@ def get_session(app: str = "tidewater", master: str | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and staging tables.
+    """Shared folder for lineage cuts and staging tables, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; only when it is
-    unset (tests, local runs) a fresh scratch folder is created and recorded.
+    Only in local mode, where driver and executors are one process, a scratch
+    folder is made when it is unset; on a cluster that would scatter the files
+    over the executors' own disks, so it is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tidewater-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

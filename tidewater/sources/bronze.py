@@ -7,7 +7,7 @@ here, row for row, from the TPC-H-like test tables:
     tarjetas                <- customer (0..3 cards per customer)
     transacciones           <- orders
     interacciones_marketing <- events
-    catalogo_comercios      <- supplier (first 42 keys)
+    catalogo_comercios      <- supplier
 
 Each dirty spelling is chosen by ``key % m`` so that the DuckDB twin in
 ``tidewater.plans.oracle`` derives byte-identical text. All rules are
@@ -20,8 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.joins import lookup_join
-from tidewater.sources.io import read_table, spread
+from tidewater.plans.clean import MERCHANT_CATEGORY_FIX
+from tidewater.sources.io import read_table
 
 # Spellings of the eight transaction types: [plain code, UPPER, leading blank, Title words]
 TX_TYPES = ["cash_in", "cash_out", "p2p_in", "p2p_out",
@@ -38,11 +38,9 @@ VIRTUAL_SPELLINGS = ["V", "virtual", "Virtual", " VIRTUAL", "v", "Virtual "]
 PHYSICAL_SPELLINGS = ["F", "física", "FISICA", "Fisica", " fisica", "f"]
 CAMPAIGNS = ["Bienvenida", "verano  plus", "BLACK FRIDAY", "Referidos ", "cashback", " Navidad Feliz"]
 GENERIC_CATEGORIES = ["supermercado", "restaurante", "retail", "salud", "transporte", "entretenimiento"]
-# Brand merchants of the catalogue (the fixed names whose category the cleaning repairs).
-BRANDS = ["Uber", "Cabify", "Mi Comisariato", "Supermaxi", "Spotify", "Netflix", "CNT",
-          "Movistar", "Claro", "Farmacias Cruz Azul", "De Prati", "KFC", "Pizza Hut",
-          "McDonalds", "Cinemark"]
-N_MERCHANTS = 42
+# Brand merchants of the catalogue: the fixed names whose category the cleaning repairs.
+BRANDS = list(MERCHANT_CATEGORY_FIX)
+CODE_WIDTH = 9
 
 
 def _lit_array(values) -> str:
@@ -66,10 +64,9 @@ def _id(prefix: str, k: str, width: int) -> str:
 
 
 def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = spread(read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"))
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = read_table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    # dimension lookup: broadcast only after its row count is proven small
-    j = lookup_join(c, n, "c_nationkey")
+    j = c.join(n, "c_nationkey", "left")
     k = "c_custkey"
     cid = _id("CHK-", k, 6)
     ced_k = f"CASE WHEN {k} % 97 = 0 AND {k} > 0 THEN {k} - 1 ELSE {k} END"
@@ -98,7 +95,7 @@ def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = spread(read_table(spark, sf_dir, "customer").select("c_custkey"))
+    c = read_table(spark, sf_dir, "customer").select("c_custkey")
     k = "c_custkey"
     cid = _id("CHK-", k, 6)
     issue_v = f"date_add(DATE'1996-01-01', cast({k} % 300 as int))"
@@ -133,8 +130,11 @@ def bronze_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spread(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     k = "o_orderkey"
+    # card purchases range over all suppliers and, for about a tenth, over codes that no supplier has
+    n_sup = read_table(spark, sf_dir, "supplier").agg(F.expr("count(*) + count(*) div 10 + 3")).scalar()
+    o = o.withColumn("_merchant", F.expr(f"{k} div 8") % n_sup)
     cid = _id("CHK-", "o_custkey", 6)
     d = "cast(o_orderdate as date)"
     cents = "cast(round(o_totalprice * 100) as bigint)"
@@ -156,7 +156,7 @@ def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                f"WHEN {k} % 100 = 3 THEN concat('-', {body}) "
                f"WHEN {k} % 2 = 0 THEN concat('$', {body}) ELSE {body} END").alias("monto"),
         F.expr(f"CASE WHEN {k} % 8 = 4 AND {k} % 97 <> 13 THEN concat(CASE WHEN {k} % 7 = 0 THEN ' ' ELSE '' END, "
-               f"'COM-', lpad(cast(({k} div 8) % 45 as string), 3, '0')) END").alias("comercio_codigo"),
+               f"'COM-', lpad(cast(_merchant as string), {CODE_WIDTH}, '0')) END").alias("comercio_codigo"),
         F.expr(_pick(BOOL_SPELLINGS, f"{k} % 14")).alias("es_devolucion"),
         F.expr(f"CASE WHEN {k} % 83 = 1 THEN 2 ELSE 1 END").alias("_copies"),
     )
@@ -164,7 +164,7 @@ def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = spread(read_table(spark, sf_dir, "events").select("event_id", "event_type", "props"))
+    e = read_table(spark, sf_dir, "events").select("event_id", "event_type", "props")
     # Customer count is one scalar subquery evaluated once, not a join.
     n_cust = read_table(spark, sf_dir, "customer").agg(F.count(F.lit(1))).scalar()
     k = "event_id"
@@ -189,9 +189,9 @@ def bronze_marketing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = read_table(spark, sf_dir, "supplier").select("s_suppkey").filter(F.col("s_suppkey") < N_MERCHANTS)
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey")
     k = "s_suppkey"
-    code = f"concat('COM-', lpad(cast({k} as string), 3, '0'))"
+    code = _id("COM-", k, CODE_WIDTH)
     out = s.select(
         F.expr(f"CASE WHEN {k} % 5 = 0 THEN concat(' ', {code}, ' ') ELSE {code} END").alias("comercio_codigo"),
         F.expr(f"CASE WHEN {k} < 15 THEN {_pick(BRANDS, k)} ELSE concat('Comercio ', cast({k} as string)) END")

@@ -7,7 +7,6 @@ filters and prune columns into the Parquet scan of whatever plan uses it.
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +18,8 @@ class MissingColumns(ValueError):
 
 
 def table_path(sf_dir: str, name: str) -> str:
-    p = os.path.join(sf_dir, f"{name}.parquet")
-    return p if os.path.exists(p) or "://" in sf_dir else os.path.join(sf_dir, name)
+    """Where a table lies: ``<folder>/<name>.parquet`` (a file or a folder), in any store Spark reads."""
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
@@ -36,17 +35,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread an under-partitioned input before heavy per-row work.
-
-    A large table arrives in many splits and this is a no-op; a table held in
-    one file / row group would otherwise run all its string work in one task.
-    Only the (cached) file listing is consulted; no job runs.
-    """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if len(df.inputFiles()) < par else df
-
-
 def require(df: DataFrame, cols: Iterable[str], what: str = "input") -> DataFrame:
     missing = [c for c in cols if c not in df.columns]
     if missing:
@@ -60,8 +48,13 @@ def write_full(df: DataFrame, path: str) -> None:
 
 
 def write_quarantine(rejected: DataFrame, path: str, reason_col: str = "motivo_descarte") -> None:
-    """K3: rejected rows, one sub-folder per reason; always rewritten (no stale rejects)."""
-    rejected.write.mode("overwrite").partitionBy(reason_col).parquet(path)
+    """K3: rejected rows, one sub-folder per reason; always rewritten as a whole.
+
+    The overwrite is static whatever the session says: a reason that no longer
+    occurs must not leave its old folder behind.
+    """
+    (rejected.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(reason_col).parquet(path))
 
 
 def write_by_date(df: DataFrame, path: str, date_col: str = "dt") -> None:
@@ -132,22 +125,26 @@ def schema_report(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
 
 
-def read_json_metrics(path: str) -> dict:
-    files = [f for f in os.listdir(path) if f.endswith(".json")]
-    with open(os.path.join(path, files[0]), encoding="utf-8") as fh:
-        return json.loads(fh.readline())
+def read_json_metrics(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(path).first()[0])
+
+
+def _folder(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def lit_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A literal table of fixed, code-defined size (order lists, descriptions)."""
-    return spark.createDataFrame(rows, schema)
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, in any store that Spark reaches."""
+    fs, p = _folder(spark, path)
+    return fs.exists(p)
 
 
-def nonempty(df: DataFrame) -> bool:
-    """O3: reads at most one row."""
-    return not df.isEmpty()
+def list_folder(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, modification time in ms) of a folder's entries, [] if there is none."""
+    fs, p = _folder(spark, path)
+    return sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p)) if fs.exists(p) else []
 
 
 __all__ = ["read_table", "require", "write_full", "write_quarantine", "write_by_date",
-           "register_scores_table", "register_zone", "write_metrics", "write_table_csv",
-           "schema_report", "lit_table", "nonempty", "F"]
+           "register_scores_table", "register_zone", "write_metrics", "write_table_csv", "schema_report", "F"]
