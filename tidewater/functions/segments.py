@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewater.functions.text import _c
+from tidewater.functions.text import _c, literal_lookup
 
 # ---------------------------------------------------------------------------
 # These must equal the reference's for identical results.
@@ -74,8 +74,7 @@ def reason_text(seg, p_t, p_c) -> Column:
 
 def describe_segment(seg) -> Column:
     """fixed description; unknown segment -> empty text."""
-    m = F.create_map(*[F.lit(x) for kv in DESCRIPTIONS.items() for x in kv])
-    return F.coalesce(m[_c(seg)], F.lit(""))
+    return F.coalesce(literal_lookup(seg, DESCRIPTIONS), F.lit(""))
 
 
 def calibrate(p, base_rate) -> Column:
