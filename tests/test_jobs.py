@@ -28,7 +28,7 @@ def test_pipeline_end_to_end(spark):
     p = Params(n_trees=5, max_depth=3)
     metrics = jobs.train(spark, f"{base}/gold", f"{base}/silver", f"{base}/models", p)
     assert metrics["n_train"] > 0 and metrics["n_test"] > 0
-    assert read_json_metrics(f"{base}/models/metricas_uplift")["n_test"] == metrics["n_test"]
+    assert read_json_metrics(spark, f"{base}/models/metricas_uplift")["n_test"] == metrics["n_test"]
     assert spark.read.option("header", "true").csv(f"{base}/models/balance_covariables").count() == 8
 
     for day in ("2001-09-01", "2001-10-01", "2001-09-01"):  # re-run of a date replaces it
@@ -44,3 +44,59 @@ def test_pipeline_end_to_end(spark):
     assert t.filter(F.col("dt") == "2001-10-01").count() == per_day["2001-10-01"]
     made = register_zone(spark, "silver_test", {"clientes": f"{base}/silver/clientes"})
     assert spark.table(made[0]).count() == sum(dist.values())
+
+
+def test_quarantine_keeps_no_stale_reason_whatever_the_session_says(spark):
+    from tidewater.sources.io import write_quarantine
+    path = tempfile.mkdtemp(prefix="tw-quarantine-") + "/q"
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "motivo_descarte string, x int")
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for n in (2, 1, 0):
+            write_quarantine(rows.limit(n), path)
+            assert spark.read.schema(rows.schema).parquet(path).count() == n
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
+def test_no_local_checkpoint_folder_on_a_cluster(spark, monkeypatch):
+    import pytest
+
+    from tidewater import session
+
+    class Other:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(Other)
+
+
+def test_changed_inputs_give_new_zones(spark):
+    from tidewater.plans import zones
+    base = tempfile.mkdtemp(prefix="tw-zone-")
+    spark.range(3).write.parquet(f"{base}/t.parquet")
+    first = zones._fingerprint(spark, base)
+    assert first == zones._fingerprint(spark, f"file://{base}/")
+    spark.range(3).write.mode("append").parquet(f"{base}/t.parquet")
+    assert zones._fingerprint(spark, base) != first
+
+
+def test_ingest_and_training_flags(spark, monkeypatch, capsys):
+    base = tempfile.mkdtemp(prefix="tw-ingest-")
+    b = bronze_tables(spark, SF)
+    b["transacciones"].write.parquet(f"{base}/raw")
+    jobs.standardize(spark, b, f"{base}/silver", f"{base}/quarantine")
+    monkeypatch.setattr(jobs, "get_session", lambda *a, **k: spark)
+    jobs.main(["ingest", "--raw", f"{base}/raw", "--silver", f"{base}/silver", "--work", f"{base}/work"])
+    got = spark.read.parquet(f"{base}/work/valid").drop("batch", "_fila")
+    want = spark.read.parquet(f"{base}/silver/transacciones")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    seen = {}
+    monkeypatch.setattr(jobs, "train", lambda s, g, v, m, params: seen.update(p=params) or {})
+    jobs.main(["train", "--gold", "g", "--silver", "s", "--model-dir", "m", "--pre-start", "2025-01-01", "--cut", "2026-05-01"])
+    assert (seen["p"].pre_start, seen["p"].cut, seen["p"].post_end) == ("2025-01-01", "2026-05-01", Params.post_end)

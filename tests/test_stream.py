@@ -1,45 +1,70 @@
 import tempfile
 
+from pyspark.sql import functions as F
+
 from tidewater.plans import clean as pc
 from tidewater.sources.bronze import bronze_tables
-from tidewater.streaming.ingest import clean_transactions_stream, read_stream_output
+from tidewater.streaming.ingest import clean_transactions_stream, read_stream_output, retest_orphans
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_stream_equals_batch(spark):
+def same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def agrees(spark, base, raw, keys):
+    want = pc.clean_transactions(raw, keys, with_time=False)
+    rejected = read_stream_output(spark, f"{base}/out", "quarantine").drop("fecha_proceso")
+    return same(read_stream_output(spark, f"{base}/out"), want.valid) and same(rejected, want.rejected)
+
+
+def inputs(spark):
     base = tempfile.mkdtemp(prefix="tw-stream-")
     b = bronze_tables(spark, SF)
-    raw = b["transacciones"]
-    # duplicates may land in different files: the stream must still drop them
-    raw.repartition(3).write.parquet(f"{base}/raw")
-    ids = pc.clean_customers(b["clientes"]).select("cliente_id")
-    clean_transactions_stream(spark, f"{base}/raw", raw.schema, ids, f"{base}/out", f"{base}/ck",
-                              max_files_per_trigger=1)
-    got = read_stream_output(spark, f"{base}/out", "valid")
-    want = pc.clean_transactions(raw, ids, with_time=False).valid
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    q = read_stream_output(spark, f"{base}/out", "quarantine").drop("fecha_proceso")
-    wq = pc.clean_transactions(raw, ids, with_time=False).rejected
-    assert q.exceptAll(wq).count() == 0 and wq.exceptAll(q).count() == 0
+    return base, b["transacciones"], pc.customer_keys(b["clientes"])
+
+
+def run(spark, base, raw, **options):
+    return clean_transactions_stream(spark, f"{base}/raw", raw.schema, f"{base}/clientes", f"{base}/out", f"{base}/ck", **options)
+
+
+def test_stream_equals_batch(spark):
+    base, raw, keys = inputs(spark)
+    keys.write.parquet(f"{base}/clientes")
+    raw.repartition(3).write.parquet(f"{base}/raw")  # duplicates may land in different files
+    run(spark, base, raw, max_files_per_trigger=1)
+    assert agrees(spark, base, raw, keys)
 
 
 def test_stream_is_incremental_across_runs(spark):
     """New raw files after a run: the restart processes only them, and the total still equals the batch."""
-    from pyspark.sql import functions as F
-    base = tempfile.mkdtemp(prefix="tw-stream2-")
-    b = bronze_tables(spark, SF)
-    raw = b["transacciones"]
-    first = raw.filter(F.crc32("transaccion_id") % 2 == 0)
-    second = raw.filter(F.crc32("transaccion_id") % 2 == 1)
-    ids = pc.clean_customers(b["clientes"]).select("cliente_id")
-    first.write.parquet(f"{base}/raw")
-    clean_transactions_stream(spark, f"{base}/raw", raw.schema, ids, f"{base}/out", f"{base}/ck")
-    n1 = read_stream_output(spark, f"{base}/out", "valid").count()
-    second.write.mode("append").parquet(f"{base}/raw")
-    q = clean_transactions_stream(spark, f"{base}/raw", raw.schema, ids, f"{base}/out", f"{base}/ck")
-    got = read_stream_output(spark, f"{base}/out", "valid")
-    want = pc.clean_transactions(raw, ids, with_time=False).valid
-    assert 0 < n1 < got.count()
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    assert q.lastProgress is None or q.lastProgress["numInputRows"] <= second.count()
+    base, raw, keys = inputs(spark)
+    keys.write.parquet(f"{base}/clientes")
+    even = F.crc32("transaccion_id") % 2 == 0
+    raw.filter(even).write.parquet(f"{base}/raw")
+    run(spark, base, raw)
+    n1 = read_stream_output(spark, f"{base}/out").count()
+    raw.filter(~even).union(raw.limit(20)).write.mode("append").parquet(f"{base}/raw")
+    q = run(spark, base, raw)
+    assert 0 < n1 < read_stream_output(spark, f"{base}/out").count()
+    assert agrees(spark, base, raw, keys)
+    assert q.lastProgress is None or q.lastProgress["numInputRows"] <= raw.count()
+
+
+def test_orphans_are_taken_up_when_their_customer_arrives(spark):
+    base, raw, keys = inputs(spark)
+    early = F.crc32("cliente_id") % 3 != 0
+    keys.where(early).write.parquet(f"{base}/clientes")
+    half = F.crc32("transaccion_id") % 2 == 0
+    raw.filter(half).write.parquet(f"{base}/raw")
+    run(spark, base, raw)
+    assert agrees(spark, base, raw.filter(half), keys.where(early))
+    keys.where(~early).write.mode("append").parquet(f"{base}/clientes")
+    retest_orphans(spark, f"{base}/clientes", f"{base}/out")  # no new files: by itself
+    assert agrees(spark, base, raw.filter(half), keys)
+    retest_orphans(spark, f"{base}/clientes", f"{base}/out")
+    assert agrees(spark, base, raw.filter(half), keys)
+    raw.filter(~half).write.mode("append").parquet(f"{base}/raw")
+    run(spark, base, raw)
+    assert agrees(spark, base, raw, keys)

@@ -4,6 +4,7 @@
     python -m tidewater.plans.jobs enrich      --input SILVER --output GOLD
     python -m tidewater.plans.jobs train       --gold GOLD --silver SILVER --model-dir DIR
     python -m tidewater.plans.jobs score       --gold GOLD --model-dir DIR --output SCORES --fecha YYYY-MM-DD
+    python -m tidewater.plans.jobs ingest      --raw DIR --silver SILVER --work DIR
 
 Raw inputs of ``standardize`` are the five raw tables; ``--from-test-tables``
 derives them from the driver's test tables (``tidewater.sources.bronze``).
@@ -62,15 +63,28 @@ def score(spark: SparkSession, gold_dir: str, model_dir: str, output: str, fecha
           params: Params = Params(), calibrated: bool = False) -> DataFrame:
     """Job 4: score the untreated population, publish under ``dt=fecha`` (K5), refresh latest-per-key (K4)."""
     from tidewater.operators.uplift import UpliftModel
-    from tidewater.plans.scoring import latest_per_key, score_population, segment_distribution
-    from tidewater.sources.io import write_by_date, write_full
+    from tidewater.plans.scoring import merge_latest, score_population, segment_distribution
+    from tidewater.session import materialize
+    from tidewater.sources.io import folder_exists, write_by_date, write_full
     model = UpliftModel.load(spark, f"{model_dir}/modelo_uplift_tlearner")
     gold = spark.read.parquet(f"{gold_dir}/cliente_360")
     scores = score_population(model, gold, params, calibrated=calibrated).withColumn("dt", F.lit(fecha))
     write_by_date(scores, f"{output}/uplift_scores")
-    published = spark.read.parquet(f"{output}/uplift_scores").withColumn("dt", F.col("dt").cast("string"))
-    write_full(latest_per_key(published), f"{output}/uplift_scores_latest")
-    return segment_distribution(published.filter(F.col("dt") == fecha))
+    # the run's partition alone is read back; earlier dates stay untouched
+    run = spark.read.parquet(f"{output}/uplift_scores").withColumn("dt", F.col("dt").cast("string")).filter(F.col("dt") == fecha)
+    latest = f"{output}/uplift_scores_latest"
+    before = spark.read.parquet(latest) if folder_exists(spark, latest) else run.limit(0)
+    write_full(materialize(merge_latest(before, run)), latest)
+    return segment_distribution(run)
+
+
+def ingest(spark: SparkSession, raw: str, silver: str, work: str) -> DataFrame:
+    """New raw transaction files into the silver zone: cleaned once each, late customers' orphans taken up."""
+    from tidewater.streaming.ingest import clean_transactions_stream, retest_orphans
+    schema = spark.read.parquet(raw).schema
+    clean_transactions_stream(spark, raw, schema, f"{silver}/clientes", work, f"{work}/checkpoint")
+    retest_orphans(spark, f"{silver}/clientes", work)
+    return spark.read.parquet(f"{work}/valid").groupBy("batch").agg(F.count(F.lit(1)).alias("filas"))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -92,6 +106,12 @@ def main(argv: list[str] | None = None) -> None:
     s3.add_argument("--max-depth", type=int, default=Params.max_depth)
     s3.add_argument("--test-size", type=float, default=Params.test_fraction)
     s3.add_argument("--random-state", type=int, default=Params.seed)
+    for flag in ("pre-start", "cut", "post-end", "treated-group", "control-group"):
+        s3.add_argument(f"--{flag}", default=getattr(Params, flag.replace("-", "_")))
+    s3.add_argument("--smd-alert", type=float, default=Params.smd_alert)
+    s5 = sub.add_parser("ingest")
+    for flag in ("raw", "silver", "work"):
+        s5.add_argument(f"--{flag}", required=True)
     s4 = sub.add_parser("score")
     s4.add_argument("--gold", required=True)
     s4.add_argument("--model-dir", required=True)
@@ -99,7 +119,7 @@ def main(argv: list[str] | None = None) -> None:
     s4.add_argument("--fecha", default=dt.date.today().isoformat())
     s4.add_argument("--version-modelo", default=Params.model_version)
     s4.add_argument("--calibrated", action="store_true")
-    for sp in (s1, s2, s3, s4):
+    for sp in (s1, s2, s3, s4, s5):
         sp.add_argument("--as-of", default=Params.as_of)
         sp.add_argument("--master", default=None)
     a = p.parse_args(argv)
@@ -118,8 +138,12 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps({r["grupo_piloto"]: r["n_clientes"] for r in out.collect()}, indent=2))
     elif a.job == "train":
         params = Params(as_of=a.as_of, n_trees=a.n_estimators, max_depth=a.max_depth,
-                        test_fraction=a.test_size, seed=a.random_state)
+                        test_fraction=a.test_size, seed=a.random_state, pre_start=a.pre_start, cut=a.cut,
+                        post_end=a.post_end, treated_group=a.treated_group, control_group=a.control_group,
+                        smd_alert=a.smd_alert)
         print(json.dumps(train(spark, a.gold, a.silver, a.model_dir, params), indent=2))
+    elif a.job == "ingest":
+        print(json.dumps({r["batch"]: r["filas"] for r in ingest(spark, a.raw, a.silver, a.work).collect()}, indent=2))
     else:
         params = Params(as_of=a.as_of, model_version=a.version_modelo)
         out = score(spark, a.gold, a.model_dir, a.output, a.fecha, params, a.calibrated)

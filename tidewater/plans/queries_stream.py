@@ -30,7 +30,7 @@ def stream_clean_transactions(spark, sf):
     b = bronze_tables(spark, sf)
     raw = b["transacciones"]
     raw.repartition(4, "transaccion_id").write.mode("overwrite").parquet(f"{base}/raw")
-    ids = pc.clean_customers(b["clientes"]).select("cliente_id")
-    clean_transactions_stream(spark, f"{base}/raw", raw.schema, ids, f"{base}/out", f"{base}/ckpt",
+    pc.customer_keys(b["clientes"]).write.parquet(f"{base}/clientes")
+    clean_transactions_stream(spark, f"{base}/raw", raw.schema, f"{base}/clientes", f"{base}/out", f"{base}/ckpt",
                               max_files_per_trigger=1)
     return read_stream_output(spark, f"{base}/out", "valid")

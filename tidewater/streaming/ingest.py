@@ -1,13 +1,17 @@
 """Incremental ingest of new raw files with the batch cleaning plan (K9).
 
 ``readStream`` over the raw folder (explicit schema, no inference) ->
-stateful whole-row de-duplication across all files seen so far ->
-``foreachBatch``: the same column cleaning and the stream-static orphan /
-negative-amount split as the batch job -> append valid rows and quarantine.
-``trigger(availableNow=True)`` processes everything present and stops, which
-replaces the "new object -> re-run" event chain; the checkpoint makes a
-restart resume after the last committed micro-batch (exactly-once sink by
-batch id: a replayed batch overwrites its own ``batch=<id>`` folder).
+``foreachBatch``: the batch job's column cleaning and splits. There is no
+state store: a row is new if its hash is in no written table, so what the
+stream remembers is the silver data itself. Rows without a customer wait in
+``pending`` and are tested again with every batch, and by ``retest_orphans``
+when customers arrive without new files, as a full recompute would.
+
+Layout of the output folder: ``valid`` and ``quarantine`` grow by one
+``batch=<step>`` folder a step; ``pending`` holds one snapshot of the waiting
+rows per step, of which the last counts. A step is written under its own name
+(``<micro-batch>.0000``, retests after it ``.0001`` ...), so a replayed
+micro-batch overwrites what it wrote before.
 """
 
 from __future__ import annotations
@@ -15,48 +19,84 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.quality import ORPHAN, NEGATIVE_AMOUNT, mark_orphans, split_by_reason
+from tidewater.operators.quality import NEGATIVE_AMOUNT, PROCESSED_AT, REASON, key_set, mark_orphans
 from tidewater.plans import clean as pc
+from tidewater.session import materialize
+from tidewater.sources.io import list_folder
+
+ROW = "_fila"  # 128-bit hash of the raw row
+TABLE = "transacciones"
+
+
+def with_row_hash(raw: DataFrame) -> DataFrame:
+    cells = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in raw.columns]
+    return raw.withColumn(ROW, F.md5(F.to_json(F.array(*cells))))
+
+
+def steps(spark: SparkSession, out_dir: str, before: str | None = None) -> list[str]:
+    names = [n.removeprefix("batch=") for n, _, _ in list_folder(spark, f"{out_dir}/pending") if n.startswith("batch=")]
+    return [n for n in names if before is None or n < before]
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+def _read(spark: SparkSession, out_dir: str, kind: str, step: str) -> DataFrame:
+    return spark.read.parquet(f"{out_dir}/{kind}/batch={step}")
 
 
-def clean_transactions_stream(spark: SparkSession, raw_dir: str, raw_schema, customer_ids: DataFrame,
-                              out_dir: str, checkpoint: str, max_files_per_trigger: int | None = None):
-    """Run the transactions cleaning over every raw file present, then stop.
+def _step(new_rows: DataFrame, waiting: DataFrame | None, customers: str, out_dir: str, step: str) -> None:
+    """Split cleaned new rows and the rows that wait for a customer; write the step's three folders."""
+    spark = new_rows.sparkSession
+    keys = key_set(spark.read.parquet(customers), "cliente_id")
+    rows = new_rows if waiting is None else new_rows.unionByName(waiting.select(*new_rows.columns))
+    tagged = mark_orphans(rows, keys, "cliente_id").withColumn(REASON, pc.reject_reason(TABLE)).drop("_parent_found")
+    tagged = materialize(tagged)
+    negative = tagged.where(F.col(REASON) == NEGATIVE_AMOUNT).withColumn(PROCESSED_AT, F.current_timestamp())
+    orphans = tagged.where(F.col(REASON).isNotNull() & (F.col(REASON) != NEGATIVE_AMOUNT))
+    for kind, part in (("valid", tagged.where(F.col(REASON).isNull()).drop(REASON)), ("quarantine", negative),
+                       ("pending", orphans.withColumn(PROCESSED_AT, F.current_timestamp()))):
+        part.write.mode("overwrite").parquet(f"{out_dir}/{kind}/batch={step}")  # pending last: it names the step
 
-    Returns the finished ``StreamingQuery``; valid rows land in
-    ``out_dir/valid``, rejected rows (with reason) in ``out_dir/quarantine``.
+
+def clean_transactions_stream(spark: SparkSession, raw_dir: str, raw_schema, customers: str, out_dir: str,
+                              checkpoint: str, max_files_per_trigger: int | None = None):
+    """Run the transactions cleaning over every raw file present, then stop; ``customers`` is a written table.
+
+    Returns the finished ``StreamingQuery``.
     """
     reader = spark.readStream.schema(raw_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.parquet(raw_dir)
-    # stateful, across micro-batches: equals the batch job's dropDuplicates()
-    dedup = raw.dropDuplicates()
-    keys = customer_ids.select("cliente_id").distinct()
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        # the micro-batch feeds two sinks: keep it once instead of re-reading the source
-        batch = batch.persist()
-        try:
-            m = mark_orphans(pc.clean_tx_columns(batch), keys, "cliente_id")
-            reason = (F.when(F.col("_parent_found").isNull(), F.lit(ORPHAN))
-                       .when(F.col("monto") < 0, F.lit(NEGATIVE_AMOUNT)))
-            s = split_by_reason(m, reason, with_time=True)
-            _write_batch(s.valid.drop("_parent_found"), f"{out_dir}/valid", batch_id)
-            _write_batch(s.rejected.drop("_parent_found"), f"{out_dir}/quarantine", batch_id)
-        finally:
-            batch.unpersist()
-
-    q = (dedup.writeStream.foreachBatch(per_batch)
+        session, step = batch.sparkSession, f"{batch_id:09d}.0000"
+        rows = with_row_hash(batch).dropDuplicates([ROW])
+        done = steps(session, out_dir, step)
+        if done:
+            for kind in ("valid", "quarantine"):
+                seen = session.read.parquet(*[f"{out_dir}/{kind}/batch={s}" for s in done]).select(ROW)
+                rows = rows.join(seen, ROW, "left_anti")
+            rows = rows.join(_read(session, out_dir, "pending", done[-1]).select(ROW), ROW, "left_anti")
+        waiting = _read(session, out_dir, "pending", done[-1]) if done else None
+        _step(pc.clean_tx_columns(rows), waiting, customers, out_dir, step)
+
+    q = (reader.parquet(raw_dir).writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
+def retest_orphans(spark: SparkSession, customers: str, out_dir: str) -> None:
+    """Take up waiting rows whose customer has arrived since; a repeated call changes nothing."""
+    done = steps(spark, out_dir)
+    if done:
+        batch, again = done[-1].split(".")
+        waiting = _read(spark, out_dir, "pending", done[-1]).drop(REASON, PROCESSED_AT)
+        _step(waiting, None, customers, out_dir, f"{batch}.{int(again) + 1:04d}")
+
+
 def read_stream_output(spark: SparkSession, out_dir: str, kind: str = "valid") -> DataFrame:
-    return spark.read.parquet(f"{out_dir}/{kind}").drop("batch")
+    """All valid rows, or all rejected rows: the quarantine and the rows that wait for a customer now."""
+    if kind == "valid":
+        return spark.read.parquet(f"{out_dir}/valid").drop("batch", ROW)
+    rejected = spark.read.parquet(f"{out_dir}/quarantine").drop("batch")
+    return rejected.unionByName(_read(spark, out_dir, "pending", steps(spark, out_dir)[-1])).drop(ROW)
