@@ -55,14 +55,38 @@ def test_pre_plus_post_equals_dated_transactions_of_activated(spark):
 
 def test_report_counts(spark):
     b = bronze_tables(spark, SF)
-    s = pc.silver_tables(b, with_time=False)
-    r = oq.run_report(b["transacciones"], s["transacciones"], "transacciones").first()
-    assert r.filas_crudas == b["transacciones"].count()
-    assert r.filas_procesadas + r.filas_cuarentena == b["transacciones"].dropDuplicates().count()
-    assert oq.ORPHAN in r.motivos
+    s = pc.silver_tables(b, with_time=False)["transacciones"]
+    rows = {r.tabla: r for r in pc.report_all(b, pc.customer_keys(b["clientes"])).collect()}
+    r = rows["transacciones"]
+    assert len(rows) == 5 and r.filas_crudas == b["transacciones"].count()
+    assert (r.filas_procesadas, r.filas_cuarentena) == (s.valid.count(), s.rejected.count())
+    assert rows["catalogo_comercios"].motivos == "{}"
 
 
 def test_profiles_type_aware(spark):
     df = spark.createDataFrame([("nan", float("nan"), None), ("a", 1.0, 2)], "s string, d double, i int")
     got = oq.null_profile(df).first().asDict()
     assert got == {"s": 1, "d": 1, "i": 1}
+
+
+def test_a_repeated_merchant_code_does_not_multiply_transactions(spark):
+    from tidewater.operators.joins import lookup_join
+    tx = spark.createDataFrame([(1, "A"), (2, "B"), (3, None), (4, None)], "id long, comercio_codigo string")
+    dim = spark.createDataFrame([("A", "x"), ("A", "a"), (None, "z")], "comercio_codigo string, categoria string")
+    got = {r.id: (r.comercio_codigo, r.categoria) for r in lookup_join(tx, dim, "comercio_codigo").collect()}
+    assert got == {1: ("A", "a"), 2: ("B", None), 3: (None, None), 4: (None, None)}
+
+
+def test_hot_customer_in_the_raw_rows(spark):
+    """A third of all raw transactions on one customer: same rows as the plain semi / anti join."""
+    n = 6000
+    raw = spark.range(n).select(
+        F.concat(F.lit("TX-"), "id").alias("transaccion_id"),
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("C"), F.col("id") % 50)).alias("cliente_id"),
+        F.lit("2000-01-01").alias("fecha"), F.lit("remesa").alias("tipo_transaccion"), F.lit("1.00").alias("monto"),
+        F.lit(None).cast("string").alias("comercio_codigo"), F.lit("no").alias("es_devolucion"))
+    keys = spark.createDataFrame([("HOT",), ("C1",)], "cliente_id string")
+    s = pc.clean_transactions(raw, oq.key_set(keys, "cliente_id"), with_time=False)
+    kinds = {r.cliente_id: r["count"] for r in s.valid.groupBy("cliente_id").count().collect()}
+    assert kinds["HOT"] == n // 3 and set(kinds) == {"HOT", "C1"}
+    assert s.rejected.count() == n - sum(kinds.values())

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.session import materialize
+
 REASON = "motivo_descarte"
 PROCESSED_AT = "fecha_proceso"
 # Quarantine reasons of the reference.
@@ -20,34 +22,32 @@ NEGATIVE_AMOUNT = "monto_negativo_invalido"
 class Split:
     """Valid rows and rejected rows (with a reason) of one table.
 
-    ``tagged`` (optional) is the single plan both come from: every row with its
-    reason column, NULL for valid rows; reports count it in one pass.
+    ``frame`` (optional) is the single plan both come from: every row with its
+    reason, NULL for valid rows.
     """
 
     valid: DataFrame
     rejected: DataFrame | None
-    tagged: DataFrame | None = None
-    frame: DataFrame | None = None  # every row with all columns and the reason (before the two filters)
+    frame: DataFrame | None = None
 
 
-def tag_reason(df: DataFrame, reason: str, with_time: bool = True) -> DataFrame:
-    """Attach a literal reason (and the processing time)."""
-    cols = {REASON: F.lit(reason)}
-    if with_time:
-        cols[PROCESSED_AT] = F.current_timestamp()
-    return df.withColumns(cols)
+def key_set(parent: DataFrame, key: str) -> DataFrame:
+    """The distinct non-NULL keys of a parent table, written once.
 
+    Children join the written table, so no ``distinct`` stands between the two
+    sides of that join and adaptive execution can split a hot key's partition.
+    """
+    return materialize(parent.select(key).where(F.col(key).isNotNull()).distinct())
 
-def mark_orphans(child: DataFrame, parent_keys: DataFrame, key: str, marker: str = "_parent_found") -> DataFrame:
-    """J3 core: one left join to the *distinct* parent keys adds a found-marker.
+
+def mark_orphans(child: DataFrame, keys: DataFrame, key: str, marker: str = "_parent_found") -> DataFrame:
+    """J3 core: one left join to unique parent ``keys`` (see ``key_set``) adds a found-marker.
 
     One join (one shuffle of the child, or none when Spark broadcasts the key
     set after measuring it) replaces the semi + anti pair, which would read and
     shuffle the child twice. NULL keys never match, so they count as orphans.
-    The key set is distinct, so the join cannot multiply child rows.
     """
-    keys = parent_keys.select(key).distinct().withColumn(marker, F.lit(True))
-    return child.join(keys, on=key, how="left")
+    return child.join(keys.select(key, F.lit(True).alias(marker)), on=key, how="left")
 
 
 def split_by_reason(marked: DataFrame, reason: Column, with_time: bool = True) -> Split:
@@ -60,15 +60,15 @@ def split_by_reason(marked: DataFrame, reason: Column, with_time: bool = True) -
     rejected = tagged.filter(F.col(REASON).isNotNull())
     if with_time:
         rejected = rejected.withColumn(PROCESSED_AT, F.current_timestamp())
-    return Split(valid, rejected, tagged.select(REASON), tagged)
+    return Split(valid, rejected, tagged)
 
 
 def orphan_split(child: DataFrame, parent_keys: DataFrame, key: str = "cliente_id",
                  with_time: bool = True) -> Split:
     """J1+J2+J3: rows whose key exists in the parent vs. orphans, reason attached."""
-    m = mark_orphans(child, parent_keys, key)
+    m = mark_orphans(child, key_set(parent_keys, key), key)
     s = split_by_reason(m, F.when(F.col("_parent_found").isNull(), F.lit(ORPHAN)), with_time)
-    return Split(s.valid.drop("_parent_found"), s.rejected.drop("_parent_found"), s.tagged, s.frame)
+    return Split(s.valid.drop("_parent_found"), s.rejected.drop("_parent_found"), s.frame.drop("_parent_found"))
 
 
 def semi_join(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
@@ -81,11 +81,6 @@ def anti_join(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return child.join(parent.select(key), on=key, how="left_anti")
 
 
-def nonnegative_or_null(col: str) -> Column:
-    """Keep ``x >= 0 OR x IS NULL``."""
-    return (F.col(col) >= 0) | F.col(col).isNull()
-
-
 def flag_duplicated(df: DataFrame, key: str, flag: str) -> DataFrame:
     """``count(*) over (partition by key) > 1`` without a window buffer.
 
@@ -99,32 +94,30 @@ def flag_duplicated(df: DataFrame, key: str, flag: str) -> DataFrame:
     return df.join(c, df[key].eqNullSafe(c["_k"]), "left").drop("_k")
 
 
-def run_report(raw: DataFrame, split: Split, table: str) -> DataFrame:
+COPIES = "_copias"
+
+
+def count_copies(raw: DataFrame) -> DataFrame:
+    """De-duplicated rows with the number of raw rows each stands for."""
+    return raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias(COPIES))
+
+
+def run_report(tagged: DataFrame, table: str) -> DataFrame:
     """Raw rows, processed rows, quarantined rows and rows per reason, as one row.
 
-    The three inputs are tagged and unioned, then counted by (source, reason)
-    with partial aggregation: one job, no driver loop. The reason map is
-    bounded by the number of reasons.
+    ``tagged`` holds each distinct raw row once, with its number of copies
+    (``count_copies``) and its reason (NULL for valid rows), so one pass over
+    the raw table gives all counts. The reason map is bounded by the reasons.
     """
-    none = F.lit(None).cast("string")
-    u = raw.select(F.lit("raw").alias("_s"), none.alias(REASON))
-    if split.tagged is not None:
-        # one pass over the split plan: valid rows carry a NULL reason
-        u = u.unionByName(split.tagged.select(
-            F.when(F.col(REASON).isNull(), F.lit("ok")).otherwise(F.lit("rej")).alias("_s"), F.col(REASON)))
-    else:
-        u = u.unionByName(split.valid.select(F.lit("ok").alias("_s"), none.alias(REASON)))
-        if split.rejected is not None:
-            u = u.unionByName(split.rejected.select(F.lit("rej").alias("_s"), F.col(REASON)))
-    per = u.groupBy("_s", REASON).agg(F.count(F.lit(1)).alias("n"))
-    rej = F.col("_s") == "rej"
+    per = tagged.groupBy(REASON).agg(F.sum(COPIES).alias("_raw"), F.count(F.lit(1)).alias("n"))
+    rejected = F.col(REASON).isNotNull()
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
     return per.agg(
-        F.lit(table).alias("tabla"),
-        F.coalesce(F.sum(F.when(F.col("_s") == "raw", F.col("n"))), F.lit(0)).cast("bigint").alias("filas_crudas"),
-        F.coalesce(F.sum(F.when(F.col("_s") == "ok", F.col("n"))), F.lit(0)).cast("bigint").alias("filas_procesadas"),
-        F.coalesce(F.sum(F.when(rej, F.col("n"))), F.lit(0)).cast("bigint").alias("filas_cuarentena"),
+        F.lit(table).alias("tabla"), total(F.col("_raw")).alias("filas_crudas"),
+        total(F.when(~rejected, F.col("n"))).alias("filas_procesadas"),
+        total(F.when(rejected, F.col("n"))).alias("filas_cuarentena"),
         F.to_json(F.map_from_entries(F.array_sort(F.collect_list(
-            F.when(rej, F.struct(REASON, "n")))))).alias("motivos"))
+            F.when(rejected, F.struct(REASON, "n")))))).alias("motivos"))
 
 
 # ----------------------------------------------------------------------------- profiles
@@ -198,26 +191,19 @@ def duplicate_key_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             .filter(F.col("n_apariciones") > 1))
 
 
-def cooccurrence(df: DataFrame, group_col: str, present_col: str) -> DataFrame:
-    """Q10: per value of ``group_col``: rows with and without ``present_col``."""
+def cooccurrence(df: DataFrame, group_col: str, present_col: str, *more: Column) -> DataFrame:
+    """Q10: per value of ``group_col``: rows with and without ``present_col``, and ``more`` aggregates."""
     return df.groupBy(group_col).agg(
         F.count_if(F.col(present_col).isNotNull()).alias("n_con"),
-        F.count_if(F.col(present_col).isNull()).alias("n_sin"))
+        F.count_if(F.col(present_col).isNull()).alias("n_sin"), *more)
 
 
-def entity_trace(tables: dict[str, DataFrame], key: str, value: str,
-                 date_cols: dict[str, str]) -> DataFrame:
-    """Q12: every row of one key across tables as (tabla, fecha, fila-json), by date."""
-    parts = []
+def entity_trace(tables: dict[str, DataFrame], key: str, value: str) -> DataFrame:
+    """Q12: every whole row of one key across tables, with the table's name; columns a table lacks are NULL."""
+    out = None
     for name, df in tables.items():
-        dc = date_cols.get(name)
-        parts.append(df.filter(F.col(key) == value).select(
-            F.lit(name).alias("tabla"),
-            (F.col(dc).cast("string") if dc else F.lit(None).cast("string")).alias("fecha"),
-            F.to_json(F.struct(*df.columns)).alias("fila")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        part = df.filter(F.col(key) == value).select(F.lit(name).alias("tabla"), "*")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 

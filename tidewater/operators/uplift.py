@@ -65,15 +65,16 @@ class UpliftModel:
     meta: dict = field(default_factory=dict)
 
     def transform(self, df: DataFrame, calibrated: bool = False) -> DataFrame:
-        """M6: ``p_tratamiento``, ``p_control`` and ``score_uplift`` for every row."""
-        x = self.prep.transform(df)
-        x = self.treated.transform(x)
-        x = self.control.transform(x)
-        pt = vector_to_array(F.col("_prob_t"))[1]
-        pc = vector_to_array(F.col("_prob_c"))[1]
-        if calibrated:
-            pt, pc = calibrate(pt, self.meta["pi_t"]), calibrate(pc, self.meta["pi_c"])
-        x = x.withColumns({"p_tratamiento": pt, "p_control": pc})
+        """M6: ``p_tratamiento``, ``p_control`` and ``score_uplift`` for every row.
+
+        One pass of each forest gives both scales: the columns hold the raw probabilities, or with
+        ``calibrated`` those with the class weights undone, and the ``*_otra`` columns the other scale.
+        """
+        x = self.control.transform(self.treated.transform(self.prep.transform(df)))
+        raw = [vector_to_array(F.col(c))[1] for c in ("_prob_t", "_prob_c")]
+        fair = [calibrate(raw[0], self.meta["pi_t"]), calibrate(raw[1], self.meta["pi_c"])]
+        (pt, pc), (qt, qc) = (fair, raw) if calibrated else (raw, fair)
+        x = x.withColumns({"p_tratamiento": pt, "p_control": pc, "p_tratamiento_otra": qt, "p_control_otra": qc})
         x = x.withColumn("score_uplift", F.col("p_tratamiento") - F.col("p_control"))
         drop = [c for c in x.columns if c.startswith("_") or c in ("features",)]
         return x.drop(*drop)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidewater.functions import parse as fp
@@ -10,7 +12,7 @@ from tidewater.operators import quality as oq
 from tidewater.plans import clean as pc
 from tidewater.plans import oracle as o
 from tidewater.sources.bronze import bronze_tables
-from tidewater.sources.io import read_table, spread
+from tidewater.sources.io import read_table
 
 Q: dict = {}
 SQL: dict = {}
@@ -41,7 +43,7 @@ def silver_zone(spark, sf):
 @register("normalize_text_docs", o.sql_for([], f"""
 SELECT doc_id, lang, {o.norm('text')} AS texto_normalizado, {o.norm('source')} AS fuente FROM documents"""))
 def normalize_text_docs(spark, sf):
-    d = spread(read_table(spark, sf, "documents"))
+    d = read_table(spark, sf, "documents")
     return d.select("doc_id", "lang", ft.normalize_text("text").alias("texto_normalizado"),
                     ft.normalize_text("source").alias("fuente"))
 
@@ -209,12 +211,21 @@ for _t, _b, _v, _r in [("clientes", "b_clientes", "s_clientes", None),
     "\nUNION ALL\n".join(_report_sql)))
 def quarantine_report(spark, sf):
     b = bronze_tables(spark, sf)
-    s = pc.silver_tables(b, with_time=False)
-    out = None
-    for name, sp in s.items():
-        r = oq.run_report(b[name], sp, name)
-        out = r if out is None else out.unionByName(r)
-    return out
+    return pc.report_all(b, pc.customer_keys(b["clientes"]))
+
+
+@register("quarantine_roundtrip", o.sql_for(["s_tarjetas_all"], """
+SELECT motivo_descarte, count(*) AS n FROM s_tarjetas_all WHERE motivo_descarte IS NOT NULL GROUP BY 1"""))
+def quarantine_roundtrip(spark, sf):
+    """K3: rejects of transactions (two reasons), then of cards (one), to one folder; only the last run is there."""
+    from tidewater.session import checkpoint_dir
+    from tidewater.sources.io import write_quarantine
+    path = f"{checkpoint_dir(spark).rstrip('/')}/quarantine_{uuid.uuid4().hex}"
+    s = silver(spark, sf)
+    for name in ("transacciones", "tarjetas"):
+        write_quarantine(s[name].rejected, path)
+    return spark.read.parquet(path).groupBy(F.col(oq.REASON).cast("string").alias(oq.REASON)).agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 @register("duplicate_id_flag", o.sql_for(["s_clientes"], """

@@ -88,10 +88,8 @@ SELECT tipo_transaccion, count_if(comercio_codigo IS NOT NULL) AS n_con, count_i
 FROM s_transacciones GROUP BY 1"""))
 def type_merchant_cooccurrence(spark, sf):
     t = silver(spark, sf)["transacciones"].valid
-    return t.groupBy("tipo_transaccion").agg(
-        F.count_if(F.col("comercio_codigo").isNotNull()).alias("n_con"),
-        F.count_if(F.col("comercio_codigo").isNull()).alias("n_sin"),
-        F.min("fecha").alias("fecha_min"), F.max("fecha").alias("fecha_max"))
+    return oq.cooccurrence(t, "tipo_transaccion", "comercio_codigo", F.min("fecha").alias("fecha_min"),
+                           F.max("fecha").alias("fecha_max"))
 
 
 @register("distinct_channels", o.sql_for(["s_clientes"], """
@@ -114,28 +112,24 @@ def group_distribution(spark, sf):
     return ordered_distribution(gold(spark, sf), "grupo_piloto", pg.GROUPS)
 
 
-@register("entity_trace", o.sql_for(["s_clientes", "s_tarjetas", "s_transacciones", "s_marketing"], """
-SELECT 'clientes' AS tabla, cliente_id AS id, fecha_registro AS fecha FROM s_clientes WHERE cliente_id = 'CHK-000010'
-UNION ALL SELECT 'tarjetas', tarjeta_id, fecha_emision FROM s_tarjetas WHERE cliente_id = 'CHK-000010'
-UNION ALL SELECT 'transacciones', transaccion_id, fecha FROM s_transacciones WHERE cliente_id = 'CHK-000010'
-UNION ALL SELECT 'interacciones_marketing', interaccion_id, fecha_contacto FROM s_marketing
-WHERE cliente_id = 'CHK-000010'"""))
+_traced = {"clientes": "s_clientes", "tarjetas": "s_tarjetas", "transacciones": "s_transacciones",
+           "interacciones_marketing": "s_marketing"}
+
+
+@register("entity_trace", o.sql_for(list(_traced.values()), " UNION ALL BY NAME ".join(
+    f"SELECT '{t}' AS tabla, * FROM {c} WHERE cliente_id = 'CHK-000010'" for t, c in _traced.items())))
 def entity_trace(spark, sf):
-    """Q12: every row of one customer in the four silver tables (the feature is a single-key trace)."""
+    """Q12: every whole row of one customer in the four silver tables (the feature is a single-key trace)."""
     s = silver(spark, sf)
-    parts = [("clientes", s["clientes"].valid, "cliente_id", "fecha_registro"),
-             ("tarjetas", s["tarjetas"].valid, "tarjeta_id", "fecha_emision"),
-             ("transacciones", s["transacciones"].valid, "transaccion_id", "fecha"),
-             ("interacciones_marketing", s["interacciones_marketing"].valid, "interaccion_id", "fecha_contacto")]
-    out = None
-    for name, df, idc, dc in parts:
-        p = df.filter(F.col("cliente_id") == "CHK-000010").select(
-            F.lit(name).alias("tabla"), F.col(idc).alias("id"), F.col(dc).alias("fecha"))
-        out = p if out is None else out.unionByName(p)
-    return out.orderBy("fecha", "tabla", "id")
-
-
-@register("schema_report")
+    return oq.entity_trace({t: s[t].valid for t in _traced}, "cliente_id", "CHK-000010")
+
+
+_KIND = ("replace(replace(replace(lower(column_type), 'varchar', 'string'), 'integer', 'int'), "
+         "'timestamp with time zone', 'timestamp')")
+
+
+@register("schema_report", "SELECT column_name AS columna, " + _KIND + " AS tipo FROM (DESCRIBE "
+          + o.sql_for(["g_360"], "SELECT " + ", ".join(pg.GOLD_COLS) + " FROM g_360") + ")")
 def schema_report(spark, sf):
     """Q11: (column, type) of the gold table - metadata only, no data job."""
     g = gold(spark, sf)

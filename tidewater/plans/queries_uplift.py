@@ -17,7 +17,7 @@ from tidewater.session import Params, checkpoint_dir
 Q: dict = {}
 SQL: dict = {}
 P = Params()
-DATES = ["2001-09-01", "2001-10-01", "2001-11-01"]
+DATES = ["2000-09-01", "2001-04-01", "2001-09-01"]  # the last transactions fall around these
 
 
 def register(name, sql=None):
@@ -67,7 +67,7 @@ SELECT *, p_tratamiento - p_control AS score_uplift, {seg_sql('p_tratamiento', '
 FROM u_heur0""")
 _dated = " UNION ALL ".join(
     f"SELECT cliente_id, {hash_sql('cliente_id', 't' + d)} AS p_tratamiento, {hash_sql('cliente_id', 'c' + d)} AS p_control, "
-    f"'{d}' AS dt FROM g_360 WHERE grupo_piloto = '{P.scoring_group}' AND {hash_sql('cliente_id', 'pob' + d)} < 0.8"
+    f"'{d}' AS dt FROM g_360 WHERE grupo_piloto = '{P.scoring_group}' AND (ultima_transaccion IS NULL OR ultima_transaccion < DATE '{d}')"
     for d in DATES)
 o.cte("u_dated0", ["g_360"], _dated)
 o.cte("u_dated", ["u_dated0"], f"""
@@ -86,11 +86,21 @@ def heuristic_population(spark, sf):
     return ps.with_segments(pcz.heuristic_scores(pop), P)
 
 
+def stand_in_scores(gold_table, dt):
+    """Hash-made scores of one date for the customers whose last transaction lies before it (or who have none)."""
+    last = F.col("ultima_transaccion")
+    pop = gold_table.filter((F.col("grupo_piloto") == P.scoring_group) & (last.isNull() | (last < F.lit(dt).cast("date"))))
+    s = pop.select("cliente_id", pcz.hash_unit(F.col("cliente_id"), f"t{dt}").alias("p_tratamiento"),
+                   pcz.hash_unit(F.col("cliente_id"), f"c{dt}").alias("p_control"))
+    s = s.withColumn("score_uplift", F.col("p_tratamiento") - F.col("p_control"))
+    return ps.with_segments(s, P, "referencia_v1").select(*ps.SCORE_COLS).withColumn("dt", F.lit(dt))
+
+
 def dated_scores(spark, sf):
     g = gold(spark, sf)
     out = None
     for d in DATES:
-        s = ps.reference_scores_at(g, d)
+        s = stand_in_scores(g, d)
         out = s if out is None else out.unionByName(s)
     return out
 
@@ -135,7 +145,13 @@ def budget_topk(spark, sf):
 
 @register("latest_scores", o.sql_for(["u_latest"], "SELECT * FROM u_latest"))
 def latest_scores(spark, sf):
-    return ps.latest_per_key(dated_scores(spark, sf))
+    """K4: one upsert per date into the latest table, as the daily job does."""
+    g = gold(spark, sf)
+    runs = [stand_in_scores(g, d) for d in DATES]
+    latest = runs[0].limit(0)
+    for run in runs:
+        latest = ps.merge_latest(latest, run)
+    return latest
 
 
 _desc = " ".join(f"WHEN '{k}' THEN '{v.replace(chr(39), chr(39) * 2)}'" for k, v in DESCRIPTIONS.items())
@@ -152,13 +168,13 @@ def score_lookup(spark, sf):
     return ps.lookup(gold(spark, sf).select("cliente_id"), ps.latest_per_key(dated_scores(spark, sf)))
 
 
-@register("scores_by_date", o.sql_for(["u_dated"], "SELECT * FROM u_dated WHERE dt = '2001-10-01'"))
+@register("scores_by_date", o.sql_for(["u_dated"], "SELECT * FROM u_dated WHERE dt = '2001-04-01'"))
 def scores_by_date(spark, sf):
     """K5 + K7: write scores partitioned by ``dt`` to the shared folder, read back one date (pruned)."""
     from tidewater.sources.io import write_by_date
     path = f"{checkpoint_dir(spark)}/uplift_scores_{uuid.uuid4().hex[:8]}"
     write_by_date(dated_scores(spark, sf), path)
-    return spark.read.parquet(path).filter(F.col("dt") == "2001-10-01") \
+    return spark.read.parquet(path).filter(F.col("dt") == "2001-04-01") \
         .withColumn("dt", F.col("dt").cast("string"))
 
 
@@ -186,10 +202,9 @@ def tlearner_score(spark, sf):
 def effect_importance(spark, sf):
     """M8: importance of encoded features for the individual effect (surrogate forest)."""
     from tidewater.operators.uplift import effect_importance as ei
-    g, model, _, scored = _trained(spark, sf)
+    _, model, _, _ = _trained(spark, sf)
     panel = pcz.split_flag_quota(cc_panel(spark, sf), ["tratado", "aumento_uso"]).filter(F.col("en_test"))
-    s = model.transform(panel)
-    return ei(model, s, P)
+    return ei(model, model.transform(panel), P)
 
 
 @register("tlearner_score_calibrated")
@@ -204,3 +219,41 @@ def quadrant_table(spark, sf):
     """M9: customers per uplift quadrant of the forest scores, fixed order, with shares."""
     g, model, _, _ = _trained(spark, sf)
     return ps.segment_distribution(ps.score_population(model, g, P))
+
+
+_cc = "(SELECT count(*) FROM c_cc)"
+_pop = f"(SELECT count(*) FROM g_360 WHERE grupo_piloto = '{P.scoring_group}')"
+
+
+@register("model_invariants", o.sql_for(["g_360", "c_cc", "c_split"], f"""
+SELECT 'filas_entrenamiento' AS medida, (SELECT count(*) FROM c_split WHERE NOT en_test) AS n UNION ALL
+SELECT 'filas_prueba', (SELECT count(*) FROM c_split WHERE en_test) UNION ALL
+SELECT 'metricas_en_rango', 1 UNION ALL
+SELECT 'clientes_puntuados', {_pop} UNION ALL SELECT 'diferencia_exacta', {_pop} UNION ALL
+SELECT 'probabilidades_en_rango', {_pop} UNION ALL SELECT 'segmento_coincide', {_pop} UNION ALL
+SELECT 'calibracion_coincide', {_pop} UNION ALL SELECT 'clientes_en_cuadrantes', {_pop} UNION ALL
+SELECT 'cuadrantes', 4 UNION ALL SELECT 'importancias_suman_uno', 1"""))
+def model_invariants(spark, sf):
+    """M1-M9: what must hold of the trained learner's metrics, scores, calibration, quadrants and importances."""
+    g, model, metrics, _ = _trained(spark, sf)
+    spark_rows = [("filas_entrenamiento", metrics["n_train"]), ("filas_prueba", metrics["n_test"]),
+                  ("metricas_en_rango", int(0 <= metrics["auc_control"] <= 1 and 0 <= metrics["auc_tratamiento"] <= 1
+                                            and metrics["ate_lb"] <= metrics["ate"] <= metrics["ate_ub"]))]
+    pop = g.filter(F.col("grupo_piloto") == P.scoring_group)
+    s = ps.with_segments(model.transform(pop), P)
+    pt, pc = F.col("p_tratamiento"), F.col("p_control")
+    fair = F.try_divide(pt * model.meta["pi_t"], pt * model.meta["pi_t"] + (1 - pt) * (1 - model.meta["pi_t"]))
+    named = F.concat(F.when(pt >= P.segment_threshold, "t").otherwise("-"), F.when(pc >= P.segment_threshold, "c").otherwise("-"))
+    names = {"t-": "persuadible", "tc": "sure_thing", "--": "lost_cause", "-c": "sleeping_dog"}
+    right = F.coalesce(*[F.when(named == k, F.col("segmento_uplift") == v) for k, v in names.items()])
+    counted = s.agg(F.count(F.lit(1)).alias("clientes_puntuados"),
+                    F.count_if(F.abs(F.col("score_uplift") - (pt - pc)) < 1e-12).alias("diferencia_exacta"),
+                    F.count_if(pt.between(0, 1) & pc.between(0, 1)).alias("probabilidades_en_rango"),
+                    F.count_if(right).alias("segmento_coincide"),
+                    F.count_if(F.abs(F.col("p_tratamiento_otra") - fair) < 1e-12).alias("calibracion_coincide"))
+    counted = counted.unpivot([], counted.columns, "medida", "n")
+    quadrants = ps.segment_distribution(s).agg(F.sum("n").alias("clientes_en_cuadrantes"), F.count(F.lit(1)).alias("cuadrantes"))
+    quadrants = quadrants.unpivot([], quadrants.columns, "medida", "n")
+    shares = Q["effect_importance"](spark, sf).agg(F.lit("importancias_suman_uno").alias("medida"), (
+        F.abs(F.sum("importancia") - 1) < 1e-9).cast("long").alias("n"))
+    return spark.createDataFrame(spark_rows, "medida string, n long").unionByName(counted).unionByName(quadrants).unionByName(shares)

@@ -26,27 +26,29 @@ def with_segments(scored: DataFrame, params: Params = Params(), version: str | N
     })
 
 
-def train_and_evaluate(gold: DataFrame, tx: DataFrame, params: Params = Params()):
+def train_and_evaluate(gold: DataFrame, tx: DataFrame, params: Params = Params(), calibrated: bool = False):
     """C1 -> P11 -> U3 -> M1-M4 -> M5, C12, C14 on the test rows. Returns (model, metrics row, balance)."""
     panel = pcz.complete_cases(pcz.model_panel(gold, tx, params), params.numeric_features)
     # stratified by arm x outcome with exact quotas, as the reference's split
     panel = materialize(pcz.split_flag_quota(panel, ["tratado", "aumento_uso"], params=params))
     train, test = panel.filter(~F.col("en_test")), panel.filter(F.col("en_test"))
     model = fit_tlearner(train, params)
-    scored = materialize(model.transform(test, calibrated=True).select(
-        "cliente_id", "tratado", "aumento_uso", "p_tratamiento", "p_control", "score_uplift"))
-    raw = model.transform(test).select("tratado", "aumento_uso", F.col("p_tratamiento").alias("pt_raw"),
-                                       F.col("p_control").alias("pc_raw"))
-    auc_t = st.auc(raw.filter(F.col("tratado") == 1), "pt_raw", "aumento_uso").first()["auc"]
-    auc_c = st.auc(raw.filter(F.col("tratado") == 0), "pc_raw", "aumento_uso").first()["auc"]
+    # The forests pass over the test rows once. Metrics are those of the scores that get published (raw by
+    # default); the same on the calibrated scale go by their own names.
+    scored = materialize(model.transform(test, calibrated).select(
+        "cliente_id", "tratado", "aumento_uso", "p_tratamiento", "p_control", "score_uplift", "p_tratamiento_otra",
+        "p_control_otra"))
+    auc_t = st.auc(scored.filter(F.col("tratado") == 1), "p_tratamiento", "aumento_uso").first()["auc"]
+    auc_c = st.auc(scored.filter(F.col("tratado") == 0), "p_control", "aumento_uso").first()["auc"]
     ate = st.ate_interval(scored, "aumento_uso", "tratado", "p_tratamiento", "p_control").first()
+    other = st.ate_interval(scored, "aumento_uso", "tratado", "p_tratamiento_otra", "p_control_otra").first()
     qini = st.qini_score(scored, "score_uplift", "aumento_uso", "tratado").first()["qini_score"]
     rates = pcz.crude_uplift(scored).first()
     counts = panel.groupBy("en_test").count().collect()
     n = {r["en_test"]: r["count"] for r in counts}
     metrics = {"n_train": n.get(False, 0), "n_test": n.get(True, 0), "auc_control": auc_c,
                "auc_tratamiento": auc_t, "ate": ate["ate"], "ate_lb": ate["ate_lb"], "ate_ub": ate["ate_ub"],
-               "qini_score": qini, "tasa_aumento_control": rates["tasa_control"],
+               "escala": "calibrada" if calibrated else "cruda", "ate_otra_escala": other["ate"], "qini_score": qini, "tasa_aumento_control": rates["tasa_control"],
                "tasa_aumento_tratamiento": rates["tasa_tratado"], "version_modelo": params.model_version}
     balance = st.covariate_balance(panel, list(params.numeric_features), "tratado")
     return model, metrics, balance, scored
@@ -72,6 +74,22 @@ def latest_per_key(scores: DataFrame, key: str = "cliente_id", order: str = "dt"
                              if c in best.columns})
 
 
+def merge_latest(latest: DataFrame, run: DataFrame, key: str = "cliente_id", order: str = "dt") -> DataFrame:
+    """K4 as an upsert: the latest table with one run's rows put in, a full join of two tables unique by key.
+
+    Of two rows of a key the one with the greater ``order`` stays (the run's of equals); the history of earlier
+    runs is not read. Numbers are rounded to 6 places as on the serving copy.
+    """
+    run = run.withColumns({c: F.round(c, 6) for c in ("score_uplift", "p_tratamiento", "p_control") if c in run.columns})
+    others = [c for c in run.columns if c != key]
+    a = latest.select(F.col(key).alias("_ka"), F.struct(*others).alias("_a"))
+    b = run.select(F.col(key).alias("_kb"), F.struct(*others).alias("_b"))
+    newer = F.col("_a").isNull() | (F.col(f"_b.{order}") >= F.col(f"_a.{order}"))
+    row = F.when(F.col("_b").isNotNull() & newer, F.col("_b")).otherwise(F.col("_a"))
+    return (a.join(b, F.col("_ka") == F.col("_kb"), "full")
+            .select(F.coalesce("_ka", "_kb").alias(key), row.alias("_s")).select(key, "_s.*"))
+
+
 def lookup(requests: DataFrame, latest: DataFrame, key: str = "cliente_id") -> DataFrame:
     """Batch lookup of requested keys with a found flag and the segment description."""
     j = requests.select(key).distinct().join(latest, key, "left")
@@ -93,13 +111,3 @@ def budget_topk(scores: DataFrame, k: int) -> DataFrame:
 def segment_distribution(scores: DataFrame) -> DataFrame:
     """Customers per segment in the fixed order, zero-filled, with shares."""
     return st.ordered_distribution(scores, "segmento_uplift", SEGMENTS)
-
-
-def reference_scores_at(gold: DataFrame, dt: str, params: Params = Params()) -> DataFrame:
-    """Deterministic per-date scores of the scoring population (hash-derived, SQL-reproducible)."""
-    pop = gold.filter(F.col("grupo_piloto") == params.scoring_group).select("cliente_id")
-    pop = pop.filter(pcz.hash_unit(F.col("cliente_id"), f"pob{dt}") < 0.8)
-    s = pop.withColumns({"p_tratamiento": pcz.hash_unit(F.col("cliente_id"), f"t{dt}"),
-                         "p_control": pcz.hash_unit(F.col("cliente_id"), f"c{dt}")})
-    s = s.withColumn("score_uplift", F.col("p_tratamiento") - F.col("p_control"))
-    return with_segments(s, params, "referencia_v1").select(*SCORE_COLS).withColumn("dt", F.lit(dt))
