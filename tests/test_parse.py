@@ -7,24 +7,38 @@ from pyspark.sql import functions as F
 from tidewater.functions import parse as fp
 
 
-def test_dates_three_formats_and_unknown(spark):
-    inputs = ["2023-01-21", "20/09/2024", "1694044800000", "455889600000", "31 de marzo", None,
-              " 2023-01-21 ", "2023-02-30", "99999999999999999999999"]
-    out = values(spark, fp.parse_date_multi, inputs)
-    assert out == [dt.date(2023, 1, 21), dt.date(2024, 9, 20), dt.date(2023, 9, 7), dt.date(1984, 6, 12),
-                   None, None, dt.date(2023, 1, 21), None, None]
+DAYS = [dt.date(1899, 12, 31), dt.date(1969, 12, 31), dt.date(1970, 1, 2), dt.date(1985, 2, 28), dt.date(2004, 2, 29),
+        dt.date(2031, 11, 5)]
 
 
-def test_parse_is_idempotent_on_text_of_parsed_dates(spark):
-    inputs = ["2023-01-21", "20/09/2024", "1694044800000"]
-    once = values(spark, fp.parse_date_multi, inputs)
-    twice = values(spark, lambda c: fp.parse_date_multi(fp.parse_date_multi(c).cast("string")), inputs)
-    assert once == twice
+def spellings(day):
+    """ISO, day/month/year and, for days whose milliseconds have 12 or 13 digits, the epoch."""
+    ms = (day - dt.date(1970, 1, 1)).days * 86_400_000
+    return [day.isoformat(), day.strftime("%d/%m/%Y"), f" {day.isoformat()} "] + ([str(ms)] if len(str(ms)) in (12, 13) else [])
 
 
-def test_money(spark):
-    out = values(spark, fp.parse_money, ["$12.50", "1,200.00", "nan", "", "-5.005", None, " $1,234.5 "])
-    assert out == [Decimal("12.50"), Decimal("1200.00"), None, None, Decimal("-5.01"), None, Decimal("1234.50")]
+def test_a_day_is_read_from_each_of_its_spellings(spark):
+    pairs = [(text, day) for day in DAYS for text in spellings(day)]
+    assert values(spark, fp.parse_date_multi, [t for t, _ in pairs]) == [d for _, d in pairs]
+
+
+def test_what_is_no_day_is_null(spark):
+    texts = ["primero de mayo", "", None, "2001-02-29", "31/04/2010", "12-05-2010", "9" * 25]
+    assert values(spark, fp.parse_date_multi, texts) == [None] * len(texts)
+
+
+def test_reading_a_read_day_again_changes_nothing(spark):
+    texts = [t for day in DAYS for t in spellings(day)]
+    again = lambda c: fp.parse_date_multi(fp.parse_date_multi(c).cast("string"))
+    assert values(spark, again, texts) == values(spark, fp.parse_date_multi, texts)
+
+
+def test_money_in_every_spelling_of_an_amount(spark):
+    amounts = [Decimal("0.00"), Decimal("7.25"), Decimal("98765.40"), Decimal("-310.99")]
+    texts = [f(a) for a in amounts for f in (str, lambda a: f"${a}" if a >= 0 else str(a), lambda a: f" {a:,} ")]
+    assert values(spark, fp.parse_money, texts) == [a for a in amounts for _ in range(3)]
+    assert values(spark, fp.parse_money, ["", "NaN", "abc", None]) == [None] * 4
+    assert values(spark, fp.parse_money, ["0.125", "-0.125"]) == [Decimal("0.13"), Decimal("-0.13")]
 
 
 def test_age_and_validity(spark):

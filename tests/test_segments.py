@@ -3,47 +3,32 @@ from pyspark.sql import functions as F
 from tidewater.functions import segments as fs
 
 
-def seg(spark, pt, pc):
-    df = spark.createDataFrame([(pt, pc)], "pt double, pc double")
-    return df.select(fs.segment("pt", "pc")).first()[0]
+def test_segment_follows_the_two_sides_of_the_threshold(spark):
+    names = {(True, False): "persuadible", (True, True): "sure_thing", (False, False): "lost_cause", (False, True): "sleeping_dog"}
+    grid = [i / 8 for i in range(9)]
+    df = spark.createDataFrame([(t, c) for t in grid for c in grid], "t double, c double")
+    for r in df.select("t", "c", fs.segment("t", "c").alias("s")).collect():
+        assert r.s == names[r.t >= fs.THRESHOLD, r.c >= fs.THRESHOLD]
 
 
-def reason(spark, s, pt, pc):
-    df = spark.createDataFrame([(s, pt, pc)], "s string, pt double, pc double")
-    return df.select(fs.reason_text("s", "pt", "pc")).first()[0]
-
-
-def test_quadrants(spark):
-    assert seg(spark, 0.8, 0.2) == "persuadible"
-    assert seg(spark, 0.8, 0.7) == "sure_thing"
-    assert seg(spark, 0.2, 0.1) == "lost_cause"
-    assert seg(spark, 0.2, 0.8) == "sleeping_dog"
-
-
-def test_threshold_inclusive(spark):
-    assert seg(spark, 0.5, 0.5) == "sure_thing"
-
-
-def test_reason_mentions_both_percentages(spark):
-    r = reason(spark, "persuadible", 0.9, 0.3)
-    assert "30%" in r and "90%" in r
-
-
-def test_reason_sleeping_dog_warns(spark):
-    r = reason(spark, "sleeping_dog", 0.2, 0.8)
-    assert "REDUCIR" in r and "gap=-60%" in r
+def test_each_sentence_tells_the_probabilities_it_names(spark):
+    rows = [(s, 0.06 + 0.11 * k, 0.93 - 0.17 * k) for k in range(5) for s in fs.SEGMENTS]
+    df = spark.createDataFrame(rows, "s string, t double, c double")
+    for r in df.select("s", "t", "c", fs.reason_text("s", "t", "c").alias("text")).collect():
+        gap = f"{r.t - r.c:+.0%}"
+        assert r.text == fs.REASONS[r.s].replace("{t}", f"{r.t:.0%}").replace("{c}", f"{r.c:.0%}").replace("{g}", gap)
 
 
 def test_percent_rounds_half_even_like_python(spark):
-    df = spark.createDataFrame([(0.125,), (0.135,), (0.285,), (0.5,)], "p double")
+    df = spark.createDataFrame([(k / 400,) for k in range(401)], "p double")
     got = [r[0] for r in df.select(fs.pct_text("p")).collect()]
-    assert got == [f"{p:.0%}" for p in (0.125, 0.135, 0.285, 0.5)]
+    assert got == [f"{k / 400:.0%}" for k in range(401)]
 
 
-def test_description_and_unknown(spark):
-    df = spark.createDataFrame([("persuadible",), ("otro",)], "s string")
+def test_every_segment_has_its_description_and_others_none(spark):
+    df = spark.createDataFrame([(x,) for x in [*fs.SEGMENTS, "", "unheard of", None]], "s string")
     got = [r[0] for r in df.select(fs.describe_segment("s")).collect()]
-    assert got[0].startswith("Alta prioridad") and got[1] == ""
+    assert got == [fs.DESCRIPTIONS[x] for x in fs.SEGMENTS] + [""] * 3
 
 
 def test_calibration_undoes_balanced_weights(spark):
