@@ -33,6 +33,10 @@ def within(ts: str, start: str, end: str) -> Column:
     return (F.col(ts) >= F.lit(start).cast("date")) & (F.col(ts) < F.lit(end).cast("date"))
 
 
-def switch_source(df: DataFrame, condition: Column, mapping: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """``out = when(condition, a).otherwise(b)`` for each ``out -> (a, b)`` of a mapping."""
-    return df.withColumns({out: F.when(condition, F.col(a)).otherwise(F.col(b)) for out, (a, b) in mapping.items()})
+def switch_source(df: DataFrame, condition: Column, mapping: Mapping[str, tuple[str, str]],
+                  neither: Column | None = None) -> DataFrame:
+    """``out = when(condition, a).otherwise(b)`` for each ``out -> (a, b)``; NULL where ``neither`` holds."""
+    pick = {out: F.when(condition, F.col(a)).otherwise(F.col(b)) for out, (a, b) in mapping.items()}
+    if neither is not None:
+        pick = {out: F.when(~F.coalesce(neither, F.lit(False)), c) for out, c in pick.items()}
+    return df.withColumns(pick)

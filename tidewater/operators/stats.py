@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+ALTERNATIVES = ("two-sided", "greater", "less")
 SPLIT, SERIES_TERMS, FRACTION_TERMS = 1.5, 34, 60
 
 
@@ -58,8 +59,23 @@ def upper_tail_p(z: Column) -> Column:
 
 # --------------------------------------------------------------------- rank tests
 
-def mann_whitney(df: DataFrame, value_col: str, group1: Column, n_buckets: int | None = None) -> DataFrame:
-    """Mann-Whitney U of group 1 vs the rest, one-sided 'greater', normal approximation.
+def tail_p(center: Column, sd: Column, correction: float, alternative: str) -> tuple[Column, Column]:
+    """(z, p) of a statistic's distance from its mean, with a continuity correction towards it."""
+    if alternative not in ALTERNATIVES:
+        raise ValueError(f"alternative must be one of {ALTERNATIVES}")
+    if alternative == "greater":
+        z = (center - correction) / sd
+        return z, upper_tail_p(z)
+    if alternative == "less":
+        z = (center + correction) / sd
+        return z, upper_tail_p(-z)
+    z = (center - F.signum(center) * correction) / sd
+    return z, two_sided_p(z)
+
+
+def mann_whitney(df: DataFrame, value_col: str, group1: Column, n_buckets: int | None = None,
+                 alternative: str = "greater") -> DataFrame:
+    """Mann-Whitney U of group 1 vs the rest, normal approximation, by default one-sided 'greater'.
 
     U = R1 - n1(n1+1)/2; var = n1 n2 / 12 * ((N+1) - Σ(t³-t) / (N(N-1)));
     z = (U - n1 n2 / 2 - 0.5) / sqrt(var) (continuity correction); p = upper tail.
@@ -73,15 +89,16 @@ def mann_whitney(df: DataFrame, value_col: str, group1: Column, n_buckets: int |
     n2 = n - n1
     u = F.col("r1") - n1 * (n1 + 1) / 2
     var = n1 * n2 / 12 * ((n + 1) - F.col("ties") / (n * (n - 1)))
-    z = (u - n1 * n2 / 2 - 0.5) / F.sqrt(var)
-    return a.select(F.col("n1").alias("n1"), (F.col("n") - F.col("n1")).alias("n2"),
-                    u.alias("u"), z.alias("z"), upper_tail_p(z).alias("p_value"))
+    z, p = tail_p(u - n1 * n2 / 2, F.sqrt(var), 0.5, alternative)
+    return a.select(F.col("n1").alias("n1"), (F.col("n") - F.col("n1")).alias("n2"), u.alias("u"), z.alias("z"),
+                    p.alias("p_value"))
 
 
-def wilcoxon_signed_rank(df: DataFrame, x_col: str, y_col: str, n_buckets: int | None = None) -> DataFrame:
-    """Paired signed-rank test of x - y, zero differences dropped, two-sided normal approximation.
+def wilcoxon_signed_rank(df: DataFrame, x_col: str, y_col: str, n_buckets: int | None = None,
+                         alternative: str = "two-sided") -> DataFrame:
+    """Paired signed-rank test of x - y, zero differences dropped, normal approximation, by default two-sided.
 
-    W = min(R+, R-); mean n(n+1)/4; var = n(n+1)(2n+1)/24 - Σ(t³-t)/48.
+    W = min(R+, R-), or R+ for a one-sided alternative; mean n(n+1)/4; var = n(n+1)(2n+1)/24 - Σ(t³-t)/48.
     """
     from tidewater.operators.ranks import average_ranks, tie_term
     d = (df.select((F.col(x_col) - F.col(y_col)).alias("_d"))
@@ -92,10 +109,10 @@ def wilcoxon_signed_rank(df: DataFrame, x_col: str, y_col: str, n_buckets: int |
               F.sum((F.col("n") - F.col("n_pos")) * F.col("avg_rank")).alias("r_menos"),
               F.sum("n").alias("n"), F.sum(tie_term(F.col("n"))).alias("ties"))
     n = F.col("n").cast("double")
-    w = F.least("r_mas", "r_menos")
+    w = F.least("r_mas", "r_menos") if alternative == "two-sided" else F.col("r_mas")
     var = n * (n + 1) * (2 * n + 1) / 24 - F.col("ties") / 48
-    z = (w - n * (n + 1) / 4) / F.sqrt(var)
-    return a.select("n", "r_mas", "r_menos", w.alias("estadistico"), z.alias("z"), two_sided_p(z).alias("p_value"))
+    z, p = tail_p(w - n * (n + 1) / 4, F.sqrt(var), 0.0, alternative)
+    return a.select("n", "r_mas", "r_menos", w.alias("estadistico"), z.alias("z"), p.alias("p_value"))
 
 
 def auc(df: DataFrame, score_col: str, label_col: str, n_buckets: int | None = None) -> DataFrame:
@@ -116,18 +133,15 @@ def auc(df: DataFrame, score_col: str, label_col: str, n_buckets: int | None = N
 def covariate_balance(df: DataFrame, features: Sequence[str], treat_col: str) -> DataFrame:
     """Per feature mean by arm and SMD = (m_t - m_c) / sqrt((s²_t + s²_c) / 2) (sample variances).
 
-    The features are unpivoted so ONE aggregate (partial + final) serves all of
-    them; NULLs are dropped per feature. SMD is NULL when the pooled sd is 0.
+    One wide aggregate over the table's rows; its single row is then unpivoted. NULLs are left out per feature.
+    SMD is NULL when the pooled deviation is 0.
     """
     t = F.col(treat_col) == 1
-    long = df.select(treat_col, F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features
-    ])).alias("p")).select(treat_col, "p.*")
-    g = long.groupBy("feature").agg(
-        F.avg(F.when(t, F.col("v"))).alias("media_tratado"),
-        F.avg(F.when(~t, F.col("v"))).alias("media_control"),
-        F.var_samp(F.when(t, F.col("v"))).alias("_vt"),
-        F.var_samp(F.when(~t, F.col("v"))).alias("_vc"))
+    parts = {"media_tratado": (F.avg, t), "media_control": (F.avg, ~t), "_vt": (F.var_samp, t), "_vc": (F.var_samp, ~t)}
+    wide = df.agg(*[F.struct(*[agg(F.when(arm, F.col(f).cast("double"))).alias(name) for name, (agg, arm) in parts.items()])
+                    .alias(f"f{i}") for i, f in enumerate(features)])
+    g = wide.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), *[F.col(f"f{i}")[n].alias(n) for n in parts])
+                                        for i, f in enumerate(features)])).alias("p")).select("p.*")
     pooled = F.sqrt((F.col("_vt") + F.col("_vc")) / 2)
     return g.select("feature", "media_tratado", "media_control",
                     F.when(pooled > 0, (F.col("media_tratado") - F.col("media_control")) / pooled).alias("smd"))
@@ -148,22 +162,17 @@ def did_hc1(panel: DataFrame, treat_col: str, pre_col: str, post_col: str) -> Da
 
     The 2x2 saturated design makes OLS fitted values the four cell means, so
     coef = (m11 - m10) - (m01 - m00) and the HC1 variance is
-    N / (N - 4) * Σ_cells SSR_c / n_c²; SSR_c = n_c * var_pop_c. The melt
-    (U2) doubles the rows: N = 2 x customers. One aggregate, no matrix.
+    N / (N - 4) * Σ_cells SSR_c / n_c²; SSR_c = n_c * var_pop_c. Melting (U2)
+    would double the rows to N = 2 x customers; the cells are read off the
+    wide rows instead. One aggregate, no matrix.
     """
-    long = panel.select(F.col(treat_col).cast("int").alias("_t"), F.explode(F.array(
-        F.struct(F.lit(0).alias("_p"), F.col(pre_col).cast("double").alias("_y")),
-        F.struct(F.lit(1).alias("_p"), F.col(post_col).cast("double").alias("_y")))).alias("s")
-    ).select("_t", "s.*")
-    cells = {}
-    for tv in (0, 1):
-        for pv in (0, 1):
-            cells[(tv, pv)] = (F.col("_t") == tv) & (F.col("_p") == pv)
     aggs = []
-    for (tv, pv), c in cells.items():
-        aggs += [F.count_if(c).alias(f"n{tv}{pv}"), F.avg(F.when(c, F.col("_y"))).alias(f"m{tv}{pv}"),
-                 F.var_pop(F.when(c, F.col("_y"))).alias(f"v{tv}{pv}")]
-    a = long.agg(*aggs)
+    for tv in (0, 1):
+        for pv, col in ((0, pre_col), (1, post_col)):
+            y = F.when(F.col(treat_col).cast("int") == tv, F.col(col).cast("double"))
+            in_cell = F.when(F.col(treat_col).cast("int") == tv, F.lit(1))
+            aggs += [F.count(in_cell).alias(f"n{tv}{pv}"), F.avg(y).alias(f"m{tv}{pv}"), F.var_pop(y).alias(f"v{tv}{pv}")]
+    a = panel.agg(*aggs)
     coef = (F.col("m11") - F.col("m10")) - (F.col("m01") - F.col("m00"))
     n = sum((F.col(f"n{t}{p}") for t in (0, 1) for p in (0, 1)), F.lit(0)).cast("double")
     hc0 = sum((F.col(f"v{t}{p}") / F.col(f"n{t}{p}") for t in (0, 1) for p in (0, 1)), F.lit(0.0))

@@ -63,13 +63,16 @@ def score(spark: SparkSession, gold_dir: str, model_dir: str, output: str, fecha
           params: Params = Params(), calibrated: bool = False) -> DataFrame:
     """Job 4: score the untreated population, publish under ``dt=fecha`` (K5), refresh latest-per-key (K4)."""
     from tidewater.operators.uplift import UpliftModel
-    from tidewater.plans.scoring import merge_latest, score_population, segment_distribution
+    from tidewater.plans.scoring import imputed_share, merge_latest, score_population, segment_distribution
+    from tidewater.sources.io import write_metrics
     from tidewater.session import materialize
     from tidewater.sources.io import folder_exists, write_by_date, write_full
     model = UpliftModel.load(spark, f"{model_dir}/modelo_uplift_tlearner")
     gold = spark.read.parquet(f"{gold_dir}/cliente_360")
     scores = score_population(model, gold, params, calibrated=calibrated).withColumn("dt", F.lit(fecha))
     write_by_date(scores, f"{output}/uplift_scores")
+    population = gold.filter(F.col("grupo_piloto") == params.scoring_group)
+    write_metrics(spark, imputed_share(population, params.numeric_features).first().asDict(), f"{output}/uplift_imputados")
     # the run's partition alone is read back; earlier dates stay untouched
     run = spark.read.parquet(f"{output}/uplift_scores").withColumn("dt", F.col("dt").cast("string")).filter(F.col("dt") == fecha)
     latest = f"{output}/uplift_scores_latest"

@@ -18,6 +18,7 @@ Q: dict = {}
 SQL: dict = {}
 P = Params()
 DATES = ["2000-09-01", "2001-04-01", "2001-09-01"]  # the last transactions fall around these
+ACTIVE_DAYS = 360
 
 
 def register(name, sql=None):
@@ -67,7 +68,7 @@ SELECT *, p_tratamiento - p_control AS score_uplift, {seg_sql('p_tratamiento', '
 FROM u_heur0""")
 _dated = " UNION ALL ".join(
     f"SELECT cliente_id, {hash_sql('cliente_id', 't' + d)} AS p_tratamiento, {hash_sql('cliente_id', 'c' + d)} AS p_control, "
-    f"'{d}' AS dt FROM g_360 WHERE grupo_piloto = '{P.scoring_group}' AND (ultima_transaccion IS NULL OR ultima_transaccion < DATE '{d}')"
+    f"'{d}' AS dt FROM g_360 WHERE grupo_piloto = '{P.scoring_group}' AND (ultima_transaccion IS NULL OR (ultima_transaccion < DATE '{d}' AND ultima_transaccion >= DATE '{d}' - {ACTIVE_DAYS}))"
     for d in DATES)
 o.cte("u_dated0", ["g_360"], _dated)
 o.cte("u_dated", ["u_dated0"], f"""
@@ -87,9 +88,13 @@ def heuristic_population(spark, sf):
 
 
 def stand_in_scores(gold_table, dt):
-    """Hash-made scores of one date for the customers whose last transaction lies before it (or who have none)."""
-    last = F.col("ultima_transaccion")
-    pop = gold_table.filter((F.col("grupo_piloto") == P.scoring_group) & (last.isNull() | (last < F.lit(dt).cast("date"))))
+    """Hash-made scores of one date for the customers whose last transaction lies in the ``ACTIVE_DAYS`` before it.
+
+    Customers without a transaction are in at each date; others come and go, as their own data say.
+    """
+    last, day = F.col("ultima_transaccion"), F.lit(dt).cast("date")
+    active = last.isNull() | ((last < day) & (last >= F.date_sub(day, ACTIVE_DAYS)))
+    pop = gold_table.filter((F.col("grupo_piloto") == P.scoring_group) & active)
     s = pop.select("cliente_id", pcz.hash_unit(F.col("cliente_id"), f"t{dt}").alias("p_tratamiento"),
                    pcz.hash_unit(F.col("cliente_id"), f"c{dt}").alias("p_control"))
     s = s.withColumn("score_uplift", F.col("p_tratamiento") - F.col("p_control"))
@@ -257,3 +262,71 @@ def model_invariants(spark, sf):
     shares = Q["effect_importance"](spark, sf).agg(F.lit("importancias_suman_uno").alias("medida"), (
         F.abs(F.sum("importancia") - 1) < 1e-9).cast("long").alias("n"))
     return spark.createDataFrame(spark_rows, "medida string, n long").unionByName(counted).unionByName(quadrants).unionByName(shares)
+
+
+def _folder(spark):
+    return f"{checkpoint_dir(spark).rstrip('/')}/roundtrip_{uuid.uuid4().hex}"
+
+
+@register("imputed_share", o.sql_for(["g_360"], f"""
+SELECT count(*) AS n, CAST(sum(m) AS BIGINT) AS n_imputados, {r('avg(m)', 'proporcion_imputada')} FROM (
+  SELECT CASE WHEN {' OR '.join(f'{f} IS NULL' for f in P.numeric_features)} THEN 1 ELSE 0 END AS m
+  FROM g_360 WHERE grupo_piloto = '{P.scoring_group}')"""))
+def imputed_share(spark, sf):
+    """V7: the share of scored customers with an imputed feature."""
+    pop = gold(spark, sf).filter(F.col("grupo_piloto") == P.scoring_group)
+    return rounded(ps.imputed_share(pop, P.numeric_features))
+
+
+@register("current_run_scores", o.sql_for(["u_latest"], f"SELECT * FROM u_latest WHERE dt = '{DATES[2]}'"))
+def current_run_scores(spark, sf):
+    """The latest table without customers that the run of one date did not score."""
+    return ps.current_run(latest_scores(spark, sf), DATES[2])
+
+
+@register("zone_roundtrip", o.sql_for(["g_360"], "SELECT cliente_id, grupo_piloto, monto_total FROM g_360"))
+def zone_roundtrip(spark, sf):
+    """K2 + K8: the gold table written twice to one folder, registered in a zone and read back by SQL."""
+    from tidewater.sources.io import register_zone, write_full
+    path, zone = _folder(spark), f"zona_{uuid.uuid4().hex[:12]}"
+    for _ in range(2):
+        write_full(gold(spark, sf).select("cliente_id", "grupo_piloto", "monto_total"), path)
+    (table,) = register_zone(spark, zone, {"cliente_360": path})
+    return spark.sql(f"SELECT cliente_id, grupo_piloto, monto_total FROM {table}")
+
+
+@register("scores_table_roundtrip", o.sql_for(["u_dated"], "SELECT dt, count(*) AS n FROM u_dated GROUP BY dt"))
+def scores_table_roundtrip(spark, sf):
+    """K5 + K6: every date written, one date again, then read through the registered table."""
+    from tidewater.sources.io import register_scores_table, write_by_date
+    path = _folder(spark)
+    write_by_date(dated_scores(spark, sf), path)
+    write_by_date(stand_in_scores(gold(spark, sf), DATES[1]), path)
+    t = register_scores_table(spark, f"puntajes_{uuid.uuid4().hex[:12]}", path)
+    return t.groupBy(F.col("dt").cast("string").alias("dt")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("metrics_roundtrip", o.sql_for(["g_360"], """
+SELECT grupo_piloto, count(*) AS n FROM g_360 GROUP BY 1 UNION ALL SELECT 'total', count(*) FROM g_360"""))
+def metrics_roundtrip(spark, sf):
+    """A metrics document (JSON) and a small table (CSV) written and read back."""
+    from tidewater.sources.io import read_json_metrics, write_metrics, write_table_csv
+    base, g = _folder(spark), gold(spark, sf)
+    write_table_csv(g.groupBy("grupo_piloto").agg(F.count(F.lit(1)).alias("n")), f"{base}/tabla")
+    write_metrics(spark, {"n": g.count()}, f"{base}/metricas")
+    back = spark.read.option("header", "true").schema("grupo_piloto string, n long").csv(f"{base}/tabla")
+    n = read_json_metrics(spark, f"{base}/metricas")["n"]
+    return back.unionByName(spark.createDataFrame([("total", n)], "grupo_piloto string, n long"))
+
+
+@register("model_roundtrip", o.sql_for(["g_360"], f"SELECT cliente_id FROM g_360 WHERE grupo_piloto = '{P.scoring_group}'"))
+def model_roundtrip(spark, sf):
+    """Customers whose score is the same by the learner and by its saved and loaded copy (all of them)."""
+    from tidewater.operators.uplift import UpliftModel
+    g, model, _, _ = _trained(spark, sf)
+    path = _folder(spark)
+    model.save(spark, path)
+    pop = g.filter(F.col("grupo_piloto") == P.scoring_group)
+    a = model.transform(pop).select("cliente_id", F.col("score_uplift").alias("a"))
+    b = UpliftModel.load(spark, path).transform(pop).select("cliente_id", F.col("score_uplift").alias("b"))
+    return a.join(b, "cliente_id").where("a = b").select("cliente_id")

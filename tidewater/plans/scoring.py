@@ -62,6 +62,18 @@ def score_population(model: UpliftModel, gold: DataFrame, params: Params = Param
     return with_segments(s, params).select(*SCORE_COLS)
 
 
+def imputed_share(population: DataFrame, features) -> DataFrame:
+    """V7: customers scored, and how many of them miss at least one feature, which scoring imputes."""
+    missing = F.greatest(*[F.col(f).isNull().cast("int") for f in features])
+    return population.agg(F.count(F.lit(1)).alias("n"), F.sum(missing).cast("long").alias("n_imputados"),
+                          F.avg(missing).alias("proporcion_imputada"))
+
+
+def current_run(latest: DataFrame, fecha: str, order: str = "dt") -> DataFrame:
+    """Of the latest table only the customers that the run of ``fecha`` scored."""
+    return latest.where(F.col(order) == fecha)
+
+
 def latest_per_key(scores: DataFrame, key: str = "cliente_id", order: str = "dt") -> DataFrame:
     """The row with the greatest ``order`` per key, as a partial aggregate (``max_by``).
 
