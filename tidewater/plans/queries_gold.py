@@ -121,5 +121,5 @@ FROM g_360 GROUP BY grupo_piloto"""))
 def pilot_summary(spark, sf):
     from tidewater.plans.queries_causal import rounded
     money = ["avg_monto_total", "mediana_monto_total", "avg_monto_mensual_pre", "avg_monto_mensual_post"]
-    s = pg.pilot_summary(gold_fresh(spark, sf))
+    s = pg.pilot_summary(gold(spark, sf))
     return rounded(s.withColumns({c: F.round(c, 4) for c in money}))
