@@ -76,6 +76,15 @@ def test_no_local_checkpoint_folder_on_a_cluster(spark, monkeypatch):
         session.checkpoint_dir(Other)
 
 
+def test_staged_tables_are_deleted_when_a_job_is_done(spark, monkeypatch):
+    from tidewater import session
+    from tidewater.sources.io import folder_exists
+    monkeypatch.setattr(session, "_STAGED", [])
+    assert session.materialize(spark.range(3)).count() == 3
+    path = session._STAGED[0]
+    assert folder_exists(spark, path) and session.drop_staged(spark) == 1 and not folder_exists(spark, path)
+
+
 def test_changed_inputs_give_new_zones(spark):
     from tidewater.plans import zones
     base = tempfile.mkdtemp(prefix="tw-zone-")

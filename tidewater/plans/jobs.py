@@ -21,7 +21,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.session import Params, get_session
+from tidewater.session import Params, drop_staged, get_session
 
 RAW_TABLES = ["clientes", "tarjetas", "transacciones", "interacciones_marketing", "catalogo_comercios"]
 
@@ -151,6 +151,7 @@ def main(argv: list[str] | None = None) -> None:
         params = Params(as_of=a.as_of, model_version=a.version_modelo)
         out = score(spark, a.gold, a.model_dir, a.output, a.fecha, params, a.calibrated)
         print(json.dumps([r.asDict() for r in out.collect()], indent=2))
+    drop_staged(spark)
 
 
 if __name__ == "__main__":

@@ -96,6 +96,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_STAGED: list[str] = []
+
+
 def materialize(df):
     """Cut lineage by writing a Parquet table in the shared checkpoint folder and reading it back.
 
@@ -103,9 +106,20 @@ def materialize(df):
     several plan branches), so its upstream runs exactly once. Unlike
     ``checkpoint(eager=True)``, which computes the plan once to count and again
     to save Java-serialised rows, this is one columnar write. A lost executor
-    re-reads the files instead of recomputing the lineage.
+    re-reads the files instead of recomputing the lineage. ``drop_staged``
+    deletes the tables when a job is done.
     """
     import uuid
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _STAGED.append(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables that this process has staged; call it when no DataFrame that reads them is needed any more."""
+    n = len(_STAGED)
+    while _STAGED:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
