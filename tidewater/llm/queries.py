@@ -59,7 +59,17 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attribution.section_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
-@query("op3_embedding_dedup")
+@query("op3_embedding_dedup", """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS rid, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE len(e) > 0 AND len([x for x in e if x IS NULL OR NOT isfinite(x)]) = 0
+       AND len([x for x in e if x <> 0]) > 0),
+link AS (SELECT a.rid AS ra, b.rid AS rb, b.vec_id AS vb FROM ok a JOIN ok b
+         ON a.rid <> b.rid AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(rid, other, vec_id) AS (SELECT rid, rid, vec_id FROM v
+                              UNION SELECT r.rid, l.rb, l.vb FROM reach r JOIN link l ON l.ra = r.other),
+least AS (SELECT rid, min(vec_id) AS component_id FROM reach GROUP BY rid)
+SELECT vec_id, (SELECT count(*) FROM link WHERE ra = rid) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least USING (rid)""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.link(table(spark, sf_dir, "embeddings"))
 
@@ -141,7 +151,24 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.length("formatted").cast("long").alias("formatted_chars"))
 
 
-@query("op10_jaccard_join")
+@query("op10_jaccard_join", r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+g AS (SELECT DISTINCT rid, array_to_string(ws[i:i + 4], ' ') AS gram
+      FROM d, LATERAL (SELECT unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i) WHERE len(ws) > 0),
+size AS (SELECT rid, count(*) AS n FROM g GROUP BY rid),
+shared AS (SELECT a.rid AS ra, b.rid AS rb, count(*) AS n FROM g a JOIN g b ON a.gram = b.gram AND a.rid <> b.rid GROUP BY 1, 2),
+link AS (SELECT ra, rb, d.doc_id AS db, shared.n = x.n AND shared.n = y.n AS same
+         FROM shared JOIN size x ON x.rid = ra JOIN size y ON y.rid = rb JOIN d ON d.rid = rb
+         WHERE shared.n >= 0.8 * (x.n + y.n - shared.n) - 1e-9),
+reach(rid, other, doc_id) AS (SELECT rid, rid, doc_id FROM d
+                              UNION SELECT r.rid, l.rb, l.db FROM reach r JOIN link l ON l.ra = r.other),
+least AS (SELECT rid, min(doc_id) AS component_id FROM reach GROUP BY rid),
+links AS (SELECT ra AS rid, count(*) AS n, min(CASE WHEN same THEN db END) AS twin FROM link GROUP BY ra)
+SELECT doc_id, least(doc_id, coalesce(twin, doc_id)) AS class_id, coalesce(n, 0) AS n_links, component_id,
+       doc_id = component_id AS kept
+FROM d JOIN least USING (rid) LEFT JOIN links USING (rid)""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard.link(table(spark, sf_dir, "documents"))
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
