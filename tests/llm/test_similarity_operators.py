@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.llm import embeddings, jaccard, linkage, suffixes
-from tidewater.llm.textarrays import Words
+from tidewater.llm.textarrays import Words, cut_at_words, in_pieces
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -118,6 +118,21 @@ def test_words_are_those_of_the_pattern():
         assert got == WORDS.findall(t.translate(LOWER))
 
 
+def test_texts_are_cut_between_words():
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("aZ9é -", k=n)).encode() for n in (0, 1, 30, 5000)] + [b"w" * 9000 + b" x", b"", b"q" * 5000]
+    whole = Words(texts)
+    for most in (1, 7, 100, 4096, 1 << 20):
+        assert [b"".join(cut_at_words(t, most)) for t in texts] == texts
+        counts, hashes = np.zeros(len(texts), int), []
+        for who, parts in in_pieces(texts, most):
+            w = Words(parts)
+            np.add.at(counts, who, np.diff(w.first))
+            hashes.append(w.hashes())
+        assert counts.tolist() == np.diff(whole.first).tolist()
+        assert np.concatenate(hashes).tolist() == whole.hashes().tolist()
+
+
 def test_components_of_chains_stars_and_rings(spark):
     rng = random.Random(6)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(200 + i, 200 + (i + 1) % 30) for i in range(30)]
