@@ -40,6 +40,14 @@ def test_pipeline_end_to_end(spark):
     latest = spark.read.parquet(f"{base}/pred/uplift_scores_latest")
     assert latest.count() == latest.select("cliente_id").distinct().count() == per_day["2001-10-01"]
 
+    # new raw files: ingest -> enrich -> score gives what the full jobs gave
+    bronze_tables(spark, SF)["transacciones"].write.parquet(f"{base}/raw")
+    jobs.refresh(spark, f"{base}/raw", f"{base}/silver", f"{base}/work", f"{base}/gold2", f"{base}/models", f"{base}/pred2",
+                 "2001-10-01", p)
+    cols = ["cliente_id", "score_uplift", "segmento_uplift"]
+    a = spark.read.parquet(f"{base}/pred2/uplift_scores_latest").select(*cols)
+    assert a.count() == latest.count() and a.exceptAll(latest.select(*cols)).count() == 0
+
     t = register_scores_table(spark, "uplift_scores_test", f"{base}/pred/uplift_scores")
     assert t.filter(F.col("dt") == "2001-10-01").count() == per_day["2001-10-01"]
     made = register_zone(spark, "silver_test", {"clientes": f"{base}/silver/clientes"})

@@ -5,6 +5,7 @@
     python -m tidewater.plans.jobs train       --gold GOLD --silver SILVER --model-dir DIR
     python -m tidewater.plans.jobs score       --gold GOLD --model-dir DIR --output SCORES --fecha YYYY-MM-DD
     python -m tidewater.plans.jobs ingest      --raw DIR --silver SILVER --work DIR
+    python -m tidewater.plans.jobs refresh     --raw DIR --silver SILVER --work DIR --gold GOLD --model-dir DIR --output SCORES
 
 Raw inputs of ``standardize`` are the five raw tables; ``--from-test-tables``
 derives them from the driver's test tables (``tidewater.sources.bronze``).
@@ -33,11 +34,17 @@ def standardize(spark: SparkSession, raw: dict[str, DataFrame], output: str, qua
     return run_standardize(spark, raw, output, quarantine, params)
 
 
-def enrich(spark: SparkSession, silver_dir: str, gold_dir: str, params: Params = Params()) -> DataFrame:
-    """Job 2: silver -> gold ``cliente_360`` + ``piloto_pilot_summary``; returns the group distribution."""
+def enrich(spark: SparkSession, silver_dir: str, gold_dir: str, params: Params = Params(),
+           transactions: DataFrame | None = None) -> DataFrame:
+    """Job 2: silver -> gold ``cliente_360`` + ``piloto_pilot_summary``; returns the group distribution.
+
+    ``transactions`` takes the place of the silver zone's, e.g. those that ``ingest`` keeps up to date.
+    """
     from tidewater.plans.gold import customer_360, pilot_summary
     from tidewater.sources.io import write_full
-    r = {t: spark.read.parquet(f"{silver_dir}/{t}") for t in RAW_TABLES}
+    r = {t: spark.read.parquet(f"{silver_dir}/{t}") for t in RAW_TABLES if t != "transacciones" or transactions is None}
+    if transactions is not None:
+        r["transacciones"] = transactions
     g = customer_360(r["clientes"], r["tarjetas"], r["transacciones"], r["interacciones_marketing"],
                      r["catalogo_comercios"], params)
     write_full(g, f"{gold_dir}/cliente_360")
@@ -90,6 +97,15 @@ def ingest(spark: SparkSession, raw: str, silver: str, work: str) -> DataFrame:
     return spark.read.parquet(f"{work}/valid").groupBy("batch").agg(F.count(F.lit(1)).alias("filas"))
 
 
+def refresh(spark: SparkSession, raw: str, silver: str, work: str, gold: str, model_dir: str, output: str, fecha: str,
+            params: Params = Params()) -> DataFrame:
+    """What new raw files set off: ingest, enrich on the ingested transactions, score and publish."""
+    from tidewater.streaming.ingest import read_stream_output
+    ingest(spark, raw, silver, work)
+    enrich(spark, silver, gold, params, read_stream_output(spark, work))
+    return score(spark, gold, model_dir, output, fecha, params)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="tidewater.plans.jobs")
     sub = p.add_subparsers(dest="job", required=True)
@@ -122,7 +138,11 @@ def main(argv: list[str] | None = None) -> None:
     s4.add_argument("--fecha", default=dt.date.today().isoformat())
     s4.add_argument("--version-modelo", default=Params.model_version)
     s4.add_argument("--calibrated", action="store_true")
-    for sp in (s1, s2, s3, s4, s5):
+    s6 = sub.add_parser("refresh")
+    for flag in ("raw", "silver", "work", "gold", "model-dir", "output"):
+        s6.add_argument(f"--{flag}", required=True)
+    s6.add_argument("--fecha", default=dt.date.today().isoformat())
+    for sp in (s1, s2, s3, s4, s5, s6):
         sp.add_argument("--as-of", default=Params.as_of)
         sp.add_argument("--master", default=None)
     a = p.parse_args(argv)
@@ -147,6 +167,9 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps(train(spark, a.gold, a.silver, a.model_dir, params), indent=2))
     elif a.job == "ingest":
         print(json.dumps({r["batch"]: r["filas"] for r in ingest(spark, a.raw, a.silver, a.work).collect()}, indent=2))
+    elif a.job == "refresh":
+        out = refresh(spark, a.raw, a.silver, a.work, a.gold, a.model_dir, a.output, a.fecha, params)
+        print(json.dumps([r.asDict() for r in out.collect()], indent=2))
     else:
         params = Params(as_of=a.as_of, model_version=a.version_modelo)
         out = score(spark, a.gold, a.model_dir, a.output, a.fecha, params, a.calibrated)
