@@ -29,12 +29,9 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def windows_at(ws: Column, n: int) -> Column:
-    """(at, hash) of every run of ``n`` words."""
-    last = F.size(ws) - n
-    at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.struct(i.alias("at"),
-                                              F.xxhash64(F.slice(ws, i + 1, n), F.lit(n)).alias("hash")))
+def window_hash(ws: Column, at, n: int) -> Column:
+    """Hash of the ``n`` words from place ``at`` (from 0) of an array of words."""
+    return F.xxhash64(*[F.get(ws, F.lit(at + j) if isinstance(at, int) else at + j) for j in range(n)], F.lit(n))
 
 
 def benchmark_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
@@ -45,7 +42,8 @@ def benchmark_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
     grams = F.transform(F.sequence(F.lit(0), F.size("ws") - size), lambda i: F.slice(F.col("ws"), i + 1, size))
     g = b.select("item", F.explode(grams).alias("gram"))
     g = g.groupBy("gram").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    return g.select(F.xxhash64("gram", F.size("gram")).alias("hash"), F.size("gram").alias("len"), "gram", "items")
+    hashes = F.coalesce(*[F.when(F.size("gram") == k, window_hash(F.col("gram"), 0, k)) for k in range(1, n + 1)])
+    return g.select(hashes.alias("hash"), F.size("gram").alias("len"), "gram", "items")
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N,
@@ -62,17 +60,23 @@ def mark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
         grams = F.broadcast(grams)
     d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                     words(F.col(text_col)).alias("ws"))
-    mark_row = F.array(F.struct(F.lit(-1).alias("at"), F.xxhash64("doc_id", "text_hash").alias("hash")))
-    d = d.select("doc_id", "text_hash", "ws", F.size("ws").alias("n_words"),
-                 F.explode(F.concat(mark_row, *[windows_at(F.col("ws"), k) for k in lengths])).alias("w"))
-    d = d.select("doc_id", "text_hash", "n_words", "ws", F.col("w.at").alias("at"), F.col("w.hash").alias("hash"))
+    # Place -1 is the row that carries the document. Hashes are taken after the explode, inside generated code.
+    last = F.greatest(F.lit(-1), F.size("ws") - min(lengths, default=1))
+    d = d.select("doc_id", "text_hash", "ws", F.explode(F.sequence(F.lit(-1), last)).alias("at"))
+    of_length = [window_hash(F.col("ws"), F.col("at"), k) for k in lengths]
+    carrier = F.when(F.col("at") < 0, F.xxhash64("doc_id", "text_hash"))
+    if len(lengths) == 1:
+        d = d.withColumn("hash", F.coalesce(carrier, of_length[0]))
+    else:  # a window that runs over the text's end holds NULL words; its gram differs from all
+        d = d.withColumn("hash", F.explode(F.when(F.col("at") < 0, F.array(carrier)).otherwise(
+            F.array(*of_length) if lengths else F.array().cast("array<long>"))))
     j = d.join(grams, "hash", "left")
     hit = (F.col("at") >= 0) & F.col("len").isNotNull() & (F.slice("ws", F.col("at") + 1, F.col("len")) == F.col("gram"))
     j = j.where((F.col("at") == -1) | hit)
-    found = j.select("doc_id", "text_hash", "n_words", "at", F.when(hit, F.struct("at", "len")).alias("run"),
-                     F.when(hit, F.col("items")).alias("items"))
+    found = j.select("doc_id", "text_hash", "at", F.when(F.col("at") == -1, F.size("ws")).alias("n_words"),
+                     F.when(hit, F.struct("at", "len")).alias("run"), F.when(hit, F.col("items")).alias("items"))
     per_doc = found.groupBy("doc_id", "text_hash").agg(
-        F.count(F.when(F.col("at") == -1, 1)).alias("copies"), F.max("n_words").alias("n_words"),
+        F.count("n_words").alias("copies"), F.max("n_words").alias("n_words"),
         F.array_sort(F.collect_set("run")).alias("runs"), F.collect_set("items").alias("sets"))
     covered = F.aggregate("runs", F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), lambda acc, r: F.struct(
         F.greatest(acc["end"], r["at"] + r["len"]).alias("end"),
