@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import parts_for, text_bytes
-from tidewater.llm.tokens import encoder, runs
+from tidewater.llm.tokens import encoder, text_runs
 from tidewater.session import checkpoint_dir
 
 EMPTY_FRAME = struct.pack("<II", 0x184D2A50, 0)
@@ -52,10 +52,9 @@ def _shard(batches, path: str, width: int, frame_ids: int):
         return data
 
     for batch in batches:
-        ids_of, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-        doc_ids.append(ids_of)
-        for lo, hi in runs([len(t) for t in texts]):
-            ids, n = enc.encode(texts[lo:hi])
+        doc_ids.append(batch.column(0))
+        for _, _, texts in text_runs(batch.column(1), 2 << 20):
+            ids, n = enc.encode(texts)
             ends = np.cumsum(n)
             parts, held, n_docs, out = [], 0, 0, []
             for k, doc in enumerate(np.split(ids, ends[:-1])):

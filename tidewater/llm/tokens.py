@@ -120,9 +120,17 @@ def runs(sizes, most: int = 4 << 20):
         yield start, len(sizes)
 
 
+def give_back() -> None:
+    """Return the Arrow memory that a worker no longer uses; workers outlive their tasks and would keep it."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+
+
 def text_runs(column, most: int = 4 << 20):
     """(start, end, texts) over an Arrow string column, about ``most`` bytes of text at a time; NULL is empty."""
     import pyarrow.compute as pc
 
     for lo, hi in runs(pc.fill_null(pc.binary_length(column), 0).to_pylist(), most):
         yield lo, hi, [t or "" for t in column.slice(lo, hi - lo).to_pylist()]
+    give_back()
