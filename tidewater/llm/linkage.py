@@ -45,8 +45,9 @@ def tiles(members: DataFrame, block_rows: int, pack_rows: int) -> DataFrame:
     each pair of blocks (``lo`` <= ``hi``) is a tile; nodes in ``block`` lo meet those in hi. Small groups
     share a ``pack`` of about ``pack_rows`` rows, which is the unit of work. Groups of one node are left out.
     """
-    sizes = members.groupBy("group").agg(F.count("*").alias("n")).where("n > 1")
-    packs = max(1, math.ceil(members.count() / pack_rows))
+    # Written, so that a hot group's partition of the join with the members can be split.
+    sizes = stage(members.groupBy("group").agg(F.count("*").alias("n")).where("n > 1"))
+    packs = max(1, math.ceil((sizes.agg(F.sum("n")).first()[0] or 0) / pack_rows))
     m = members.join(sizes, "group").withColumn("blocks", F.ceil(F.col("n") / block_rows))
     m = m.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
