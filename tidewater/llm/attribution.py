@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import bound_batches
 from tidewater.llm.tokens import encoder, runs
 
 RULES = ("first", "last", "most")
@@ -117,6 +118,7 @@ def section_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", fiel
     """One row per document, field and line with its tokens (``SCHEMA``)."""
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
+    bound_batches(docs.sparkSession)
     names = list(fields)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                     *[F.col(f).cast("string").alias(f"f{k}") for k, f in enumerate(names)])

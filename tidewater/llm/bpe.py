@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import parts_for, text_bytes
-from tidewater.llm.tokens import pieces, runs
+from tidewater.llm.common import bound_batches, parts_for, text_bytes
+from tidewater.llm.tokens import give_back, pieces, runs
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 _encodings: dict = {}
 
 
@@ -79,6 +79,7 @@ def _send(block: pa.Table, n_buckets: int) -> pa.Table:
         found.update(pieces(text.as_py() or ""))
     by = dealt(found, n_buckets)
     words = [[p.encode() for p in v] for v in by.values()]
+    give_back()
     return pa.table({"bucket": pa.array(list(by), pa.int64()),
                      "block": pa.array([block.column("block")[0].as_py()] * len(by), pa.int64()),
                      "words": pa.array([pack(np.array(list(map(len, v))), b"".join(v)) for v in words], pa.binary())})
@@ -99,6 +100,7 @@ def _merge(bucket: pa.Table, ranks: str) -> pa.Table:
             lists.append(known[p])
         flat = np.fromiter((i for x in lists for i in x), "<u4")
         out.append(pack(np.fromiter(map(len, lists), np.int64, len(lists)), flat.tobytes()))
+    give_back()
     return pa.table({"bucket": bucket.column("bucket"), "block": bucket.column("block"), "ids": pa.array(out, pa.binary())})
 
 
@@ -130,6 +132,7 @@ def _assemble(block: pa.Table, lists: pa.Table, n_buckets: int) -> pa.Table:
         cut = ends[np.concatenate([[0], np.cumsum(sizes[lo:hi])])]
         rows += [ids[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)]
         counts += np.diff(cut).tolist()
+    give_back()
     return pa.table({"doc_id": block.column("doc_id"), "n_tokens": pa.array(counts, pa.int64()),
                      "ids": pa.array(rows, pa.binary())})
 
@@ -138,6 +141,7 @@ def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str =
            block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, n_tokens, ids`` (u32 little endian) of every row's whole text."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    bound_batches(docs.sparkSession)
     n = parts_for(text_bytes(d), block_bytes)
     # Equal rows are spread by the partition that read them, so that a text repeated without end fills no block.
     d = d.withColumn("block", F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(n)).cast("long"))
@@ -152,6 +156,7 @@ def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str =
 def decode(encoded: DataFrame, ranks: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``encoded`` with the bytes of each row's ids in column ``out`` (no bytes for NULL ids)."""
     held = encoded.sparkSession.sparkContext.broadcast(token_bytes(ranks))
+    bound_batches(encoded.sparkSession)
     columns = [c for c in encoded.columns if c != out]
     at = columns.index(ids_col)
 
@@ -162,6 +167,7 @@ def decode(encoded: DataFrame, ranks: str, ids_col: str = "ids", out: str = "dec
                 part = b.slice(lo, hi - lo)
                 texts = [b"".join(map(of, np.frombuffer(_buffer(x) or b"", "<u4").tolist())) for x in part.column(at)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], [*columns, out])
+            give_back()
 
     return encoded.select(*columns).mapInArrow(run, encoded.select(*columns).schema.add(out, "binary"))
 

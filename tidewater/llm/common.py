@@ -30,5 +30,13 @@ def text_bytes(df: DataFrame, col: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(F.col(col)).cast("long"))).first()[0] or 0
 
 
+def bound_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Let Arrow batches to and from Python hold at most ``size`` bytes, however long the texts are.
+
+    A setting of the session: it changes how rows are cut into batches, never a result.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def parts_for(n_bytes: int, per_part: int) -> int:
     return max(1, math.ceil(n_bytes / per_part))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import stage
+from tidewater.llm.common import bound_batches, stage
 from tidewater.llm.linkage import across, components, roots, spans, tiles
 
 THRESHOLD, RECALL, BOUND = 0.9, 1 - 1e-6, 3.0
@@ -207,6 +207,7 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
          recall: float = RECALL) -> DataFrame:
     """One row per row of ``vectors``: ``vec_id, n_links, component_id, kept``."""
     v = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
+    bound_batches(vectors.sparkSession)
     signed = stage(v.mapInArrow(_classes, "vec_id long, cls binary, vector binary"))
     classes = stage(signed.where("cls IS NOT NULL").groupBy("cls").agg(
         F.count("*").alias("copies"), F.min("vec_id").alias("least_id"), F.first("vector").alias("vector")))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import parts_for, text_bytes
+from tidewater.llm.common import bound_batches, parts_for, text_bytes
 from tidewater.llm.tokens import encoder, text_runs
 from tidewater.session import checkpoint_dir
 
@@ -85,6 +85,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_id", te
     """
     from tokenizers import Tokenizer
 
+    bound_batches(docs.sparkSession)
     width = 2 if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else 4
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     n = parts_for(text_bytes(d), file_bytes)
@@ -194,6 +195,7 @@ def _documents(batches):
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """All documents of a written folder: ``doc_id, start, n_tokens, ids`` (u32 little endian)."""
+    bound_batches(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     totals = files.mapInArrow(_totals, "shard long, total long")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per file

@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import stage
+from tidewater.llm.common import bound_batches, stage
 from tidewater.llm.linkage import across, components, roots, spans, tiles
-from tidewater.llm.textarrays import Words, mix
-from tidewater.llm.tokens import text_runs
+from tidewater.llm.textarrays import mix, word_hashes
+from tidewater.llm.tokens import give_back, text_runs
 
 N, THRESHOLD, RECALL, ROWS = 5, 0.8, 1 - 1e-6, 5
 BLOCK_ROWS, PACK_ROWS = 400, 1_500
@@ -38,11 +38,10 @@ def plan_bands(threshold: float, recall: float, rows: int = ROWS) -> int:
 
 def gram_sets(texts: list[bytes], n: int = N) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct n-gram hashes of each text, strung together, and where each text's begin (plus the end)."""
-    w = Words(texts)
-    h = w.hashes()
-    count = np.diff(w.first)
+    h, count = word_hashes(texts)
+    begin = np.cumsum(count) - count
     owner = np.repeat(np.arange(len(texts)), count)
-    place = np.arange(len(h)) - w.first[:-1][owner]
+    place = np.arange(len(h)) - begin[owner]
     odd = mix(np.arange(1, n + 1, dtype=np.uint64)) | np.uint64(1)
     full = np.flatnonzero(place + n <= count[owner])
     g = np.zeros(len(full), np.uint64)
@@ -51,7 +50,7 @@ def gram_sets(texts: list[bytes], n: int = N) -> tuple[np.ndarray, np.ndarray]:
     who = owner[full]
     short = np.flatnonzero((count > 0) & (count < n))
     if len(short):
-        extra = [np.sum(h[w.first[k]:w.first[k + 1]] * odd[:count[k]], dtype=np.uint64) + np.uint64(count[k]) for k in short]
+        extra = [np.sum(h[begin[k]:begin[k] + count[k]] * odd[:count[k]], dtype=np.uint64) + np.uint64(count[k]) for k in short]
         g, who = np.concatenate([g, np.array(extra, np.uint64)]), np.concatenate([who, short])
     g = mix(g)
     order = np.lexsort((g, who))
@@ -83,7 +82,7 @@ def band_hashes(grams: np.ndarray, first: np.ndarray, bands: int, rows: int) ->
 
 def _signatures(batches, n: int, bands: int, rows: int):
     for batch in batches:
-        for lo, hi, texts in text_runs(batch.column(2), 1 << 20):
+        for lo, hi, texts in text_runs(batch.column(2), 1 << 19):
             g, first = gram_sets([t.encode() for t in texts], n)
             some = np.diff(first) > 0
             hashes = band_hashes(g, first, bands, rows).view(np.int64) if some.any() else np.zeros((0, bands), np.int64)
@@ -134,6 +133,7 @@ def _verify(pack: pa.Table, threshold: float, n: int) -> pa.Table:
         count, root, names = linked @ copies[at], roots(linked), list(rows)
         for k in np.flatnonzero(count).tolist():
             nodes.append(names[k]), counts.append(int(count[k])), others.append(names[root[k]])
+    give_back()
     return pa.table({"node": pa.array(nodes, pa.binary()), "links": pa.array(counts, pa.int64()),
                      "other": pa.array(others, pa.binary())})
 
@@ -146,6 +146,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     smallest id with the same n-gram set; ``kept`` marks the component's smallest id; ``repeats`` is the number
     of rows with this id and text.
     """
+    bound_batches(docs.sparkSession)
     bands = plan_bands(threshold, recall)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                     F.col(text_col).alias("text"))
@@ -157,7 +158,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     banded = classes.select("cls", F.posexplode("bands").alias("band", "value")).select(
         F.xxhash64("band", "value").alias("bucket"), "cls")
     hubs = banded.groupBy("bucket").agg(F.min("cls").alias("hub"), F.max("cls").alias("last")).where("hub < last")
-    edges = banded.join(hubs.select("bucket", "hub"), "bucket").where("cls <> hub").select(
+    hubs = stage(hubs.select("bucket", "hub"))  # a hot band's partition of the join can then be split
+    edges = banded.join(hubs, "bucket").where("cls <> hub").select(
         F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
     groups = components(edges)
     dealt = tiles(groups.select(F.col("component").alias("group"), "node"), BLOCK_ROWS, PACK_ROWS)

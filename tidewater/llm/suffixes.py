@@ -28,15 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import parts_for, stage
+from tidewater.llm.common import bound_batches, parts_for, stage
 from tidewater.llm.linkage import spans
 from tidewater.llm.textarrays import mix, prefix_hash, span_hash
-from tidewater.llm.tokens import runs, text_runs
+from tidewater.llm.tokens import give_back, runs, text_runs
 
 LENGTH, GRAM = 200, 64
-PIECE = 2 << 20  # bytes of windows that are hashed at once
+PIECE = 1 << 20  # bytes of windows that are hashed at once
 V, COVER = 13, (0, 1, 3, 9)  # every difference modulo 13 is one of two members of the cover
-BLOCK_WINDOWS, PACK_BYTES, HOT_CONTEXTS = 500_000, 4 << 20, 20_000
+BLOCK_WINDOWS, PACK_BYTES, HOT_CONTEXTS = 250_000, 4 << 20, 20_000
 NO_ID = -(1 << 63)
 
 
@@ -85,7 +85,7 @@ def _pieces(texts: list[bytes], length: int):
 
 def _runs(batches, length: int, gram: int):
     for b in batches:
-        for at, _, texts in text_runs(b.column(2), 4 << 20):
+        for at, _, texts in text_runs(b.column(2), 2 << 20):
             parts = [(at + k, o, x) for k, o, x in _pieces([t.encode() for t in texts], length) if len(x) >= length]
             for i, j in runs([len(p[2]) for p in parts], PIECE):
                 ends = np.cumsum([len(p[2]) for p in parts[i:j]])
@@ -193,6 +193,7 @@ def _contexts(batches, length: int):
                 got, held = [], 0
         if got:
             yield made(got)
+        give_back()
 
 
 def _stretches(flags: np.ndarray) -> list[dict]:
@@ -221,6 +222,7 @@ def _sort_pack(pack: pa.Table, length: int) -> pa.Table:
         flags = repeats(np.frombuffer(b"".join(parts_), np.uint8), starts, length)
         for k, f in zip(rows.tolist(), np.split(flags, np.cumsum(n)[:-1]), strict=True):
             found.append(_stretches(np.ones(len(f), bool) if copies[k] > 1 else f))
+    give_back()
     kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
     return pa.table({"h": pa.array(h[order]), "c": pa.array(c[order]), "found": pa.array(found, kind)})
 
@@ -240,10 +242,12 @@ def _window_hashes(batches, length: int):
 
 def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """(d, t, lo, hi): byte runs of each text that repeated strings cover; they may overlap. ``docs`` has d, t, text."""
+    bound_batches(docs.sparkSession)
     found = docs.select("d", "t", "text").mapInArrow(
         lambda b: _runs(b, length, gram), "d long, t long, h long, c long, lo long, n int, place int")
     tally = found.groupBy("h").agg(F.count("*").alias("times"), F.min("c").alias("least"), F.max("c").alias("most"))
-    again = tally.where("times > 1").select("h", (F.col("least") < F.col("most")).alias("mixed"))
+    # Written, so that the join's two sides come straight from exchanges and adaptive execution can split a hot anchor.
+    again = stage(tally.where("times > 1").select("h", (F.col("least") < F.col("most")).alias("mixed")))
     marked = stage(found.join(again, "h"))
     same = marked.where("NOT mixed").select("d", "t", "lo", (F.col("lo") + F.col("n") + (length - 1)).alias("hi"))
 
@@ -307,6 +311,7 @@ def _cut(batches, whole: bool):
                      pa.array(kept, pa.binary())],
                     ["doc_id", "rest", "n_bytes", "n_removed", "n_spans", "kept"])
                 rows, held, first = [], 0, k + 1
+        give_back()
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,

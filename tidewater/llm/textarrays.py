@@ -48,6 +48,46 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * inverse[start])
 
 
+def cut_at_words(text: bytes, most: int):
+    """Consecutive pieces of about ``most`` bytes that split no word (a longer word stays whole)."""
+    at = 0
+    while len(text) - at > most:
+        end = at + most
+        while end < len(text):  # the next byte outside words
+            outside = np.flatnonzero(~IS_WORD[LOWERED[np.frombuffer(text, np.uint8, min(4096, len(text) - end), end)]])
+            if len(outside):
+                end += int(outside[0])
+                break
+            end = min(len(text), end + 4096)
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
+def in_pieces(texts: list[bytes], most: int = 1 << 19):
+    """Runs of (text indexes, pieces) of about ``most`` bytes, whatever the length of a text."""
+    who, parts, size = [], [], 0
+    for k, text in enumerate(texts):
+        for part in cut_at_words(text, most):
+            if parts and size + len(part) > most:
+                yield np.array(who), parts
+                who, parts, size = [], [], 0
+            who.append(k), parts.append(part)
+            size += len(part)
+    if parts:
+        yield np.array(who), parts
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, strung together, and the number of words of each text."""
+    counts, hashes = np.zeros(len(texts), np.int64), [np.zeros(0, np.uint64)]
+    for who, parts in in_pieces(texts):
+        w = Words(parts)
+        np.add.at(counts, who, np.diff(w.first))
+        hashes.append(w.hashes())
+    return np.concatenate(hashes), counts
+
+
 class Words:
     """Words of many texts: ``start``, ``end`` (bytes of ``buf``), ``first`` (index of each text's first word)."""
 

@@ -9,8 +9,8 @@ covers every whole text). An unseen misspelling shares most n-grams with the wor
 Scoring a text needs one scalar per bucket (embedding times layer), a table of fixed size that is broadcast.
 
 Defined results: a NULL or wordless text scores by the bias alone; rows whose label is NULL do not train; an
-id labelled more than once counts by its mean label (half or more is toxic); without labelled rows, or with
-one class only, the model is the smoothed share of that class; scores depend on the text alone, so repeated
+id labelled more than once counts by its mean label (half or more is toxic); without labelled rows
+nothing counts as toxic, with one class only the model is the smoothed share of that class; scores depend on the text alone, so repeated
 rows score alike; other columns pass through ``score`` untouched.
 """
 
@@ -23,14 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.textarrays import Words, mix, prefix_hash, span_hash
-from tidewater.llm.tokens import text_runs
+from tidewater.llm.common import bound_batches
+from tidewater.llm.textarrays import Words, in_pieces, mix, prefix_hash, span_hash
+from tidewater.llm.tokens import give_back, text_runs
 
 BUCKETS, DIM, GAIN = 1 << 17, 8, 20.0
 SIZES = (3, 4, 5)
 MAX_TRAIN, STEPS, BATCH, RATE, DECAY = 8_000, 600, 128, 0.2, 0.01
 #: Blank features that each text has besides its own, so that a few words alone decide less; least texts of a bucket.
 BLANKS, MIN_DOCS = 200, 20
+UNTAUGHT = -10.0  # log-odds when there is nothing to learn from
+RUN = 1 << 18  # bytes of text whose features are in memory at once
 HELD_OUT_MOD = 5
 
 
@@ -49,7 +52,7 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     shift = np.uint64(64 - (BUCKETS.bit_length() - 1))
     text_of = np.searchsorted(w.ends, w.start, "right")
-    buckets, owner = [(w.hashes() >> shift).astype(np.int64)], [text_of]
+    buckets, owner = [(w.hashes() >> shift).astype(np.int32)], [text_of.astype(np.int32)]
     # Marked words, strung together: <word><word>...; an n-gram must lie inside one marked word.
     size = w.end - w.start + 2
     last = np.cumsum(size)
@@ -62,23 +65,18 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     pre = prefix_hash(marked)
     for n in SIZES:
         at = np.flatnonzero(place + n <= size[word_of])
-        buckets.append((mix(span_hash(pre, at, at + n) + np.uint64(n)) >> shift).astype(np.int64))
-        owner.append(text_of[word_of[at]])
+        buckets.append((mix(span_hash(pre, at, at + n) + np.uint64(n)) >> shift).astype(np.int32))
+        owner.append(text_of[word_of[at]].astype(np.int32))
     return np.concatenate(buckets), np.concatenate(owner)
 
 
-def bags(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Distinct buckets of each text and their shares."""
-    b, t = features(texts)
-    order = np.lexsort((b, t))
-    b, t = b[order], t[order]
-    new = np.concatenate([[True], (np.diff(b) != 0) | (np.diff(t) != 0)]) if len(b) else np.zeros(0, bool)
-    at = np.flatnonzero(new)
-    n = np.diff(np.concatenate([at, [len(b)]]))
-    total = np.bincount(t, minlength=len(texts))
-    cut = np.searchsorted(t[at], np.arange(len(texts) + 1))
-    return [(b[at[i:j]].astype(np.int32), (n[i:j] / (total[k] + BLANKS)).astype(np.float32))
-            for k, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True))]
+def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of a text and their shares."""
+    counts = np.zeros(BUCKETS, np.int64)
+    for _, parts in in_pieces([text], RUN):
+        counts += np.bincount(features(parts)[0], minlength=BUCKETS)
+    found = np.flatnonzero(counts)
+    return found.astype(np.int32), (counts[found] / (counts.sum() + BLANKS)).astype(np.float32)
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
@@ -119,15 +117,18 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: i
 
 
 def log_odds(texts: list[bytes], scalar: np.ndarray, bias: float) -> np.ndarray:
-    b, t = features(texts)
-    total = np.bincount(t, minlength=len(texts))
-    return bias + GAIN * np.bincount(t, scalar[b], len(texts)) / (total + BLANKS)
+    score, total = np.zeros(len(texts)), np.full(len(texts), float(BLANKS))
+    for who, parts in in_pieces(texts, RUN):
+        b, t = features(parts)
+        np.add.at(score, who, np.bincount(t, scalar[b], len(parts)))
+        np.add.at(total, who, np.bincount(t, minlength=len(parts)))
+    return bias + GAIN * score / total
 
 
 def _bags(batches):
     for b in batches:
         for lo, hi, texts in text_runs(b.column(1), 1 << 20):
-            got = bags([t.encode() for t in texts])
+            got = [bag(t.encode()) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).slice(lo, hi - lo), pa.array([x[0] for x in got], pa.list_(pa.int32())),
                  pa.array([x[1] for x in got], pa.list_(pa.float32()))], ["y", "buckets", "shares"])
@@ -139,7 +140,9 @@ def _train(batches):
         for k in range(b.num_rows):
             rows.append((b.column(1)[k].values.to_numpy(), b.column(2)[k].values.to_numpy()))
         labels.append(b.column(0).to_numpy(zero_copy_only=False))
-    scalar, bias = train(rows, np.concatenate(labels).astype(np.float64)) if rows else (np.zeros(BUCKETS, np.float32), 0.0)
+    scalar, bias = train(rows, np.concatenate(labels).astype(np.float64)) if rows else (np.zeros(BUCKETS, np.float32), UNTAUGHT)
+    del rows
+    give_back()
     yield pa.RecordBatch.from_arrays([pa.array([scalar.tobytes()], pa.binary()), pa.array([bias])], ["scalar", "bias"])
 
 
@@ -150,15 +153,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
          .agg((F.avg(F.col(label_col)) >= 0.5).cast("double").alias("y")).where(~held_out_column(F.col("doc_id"))))
     y = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    bound_batches(docs.sparkSession)
     # A repeated id trains once, by its smallest text.
     sample = texts.join(F.broadcast(y), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     rows = sample.select("y", "text").mapInArrow(_bags, "y double, buckets array<int>, shares array<float>")
     model = rows.coalesce(1).mapInArrow(_train, "scalar binary, bias double").first()
+    if model is None:  # an empty table has no partition that could train
+        return np.zeros(BUCKETS, np.float32), UNTAUGHT
     return np.frombuffer(model["scalar"], np.float32), model["bias"]
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the probability of the toxic class of each whole text in column ``out``."""
+    bound_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
     columns = [c for c in docs.columns if c != out]
     schema = docs.select(*columns).schema.add(out, "double")
