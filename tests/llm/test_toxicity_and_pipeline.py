@@ -48,6 +48,42 @@ def test_held_out_accuracy_and_misspellings(spark, model):
     assert high > low + 1
 
 
+def slurred(n, n_toxic, slurs, seed):
+    """Texts of which the first ``n_toxic`` hold two slurs each, and every text three words of its own."""
+    rng = random.Random(seed)
+    good = [f"{a}{b}{c}" for a in ("bar", "sel", "ton", "mir") for b in ("ga", "lo", "ni", "ve") for c in ("den", "rus", "p")]
+    out = []
+    for k in range(n):
+        words = rng.choices(good, k=rng.randrange(10, 30))
+        for p in rng.sample(range(len(words)), 3):
+            words[p] = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7))
+        if k < n_toxic:
+            for p in rng.sample(range(len(words)), 2):
+                words[p] = rng.choice(slurs)
+        out.append(" ".join(words).encode())
+    return out
+
+
+@pytest.mark.parametrize("n, n_toxic", [(800, 12), (3000, 30), (3000, 300)])
+def test_recall_of_slurs_that_few_texts_hold(n, n_toxic):
+    slurs = ["zwoxkrat", "quibfoj", "hjupsny", "vyxgolm"] if n_toxic < 100 else [f"zw{a}x{b}k" for a in "aeiouy" for b in "qjvfhgwcm"]
+    assert n_toxic * 2 / len(slurs) < 20  # fewer texts than the floor that there once was
+    labels = np.repeat([1.0, 0.0], [n_toxic, n - n_toxic])
+    model = toxicity.train([toxicity.bag(t) for t in slurred(n, n_toxic, slurs, 1)], labels)
+    toxic, clean = (toxicity.log_odds(slurred(300, k, slurs, 2), *model) for k in (300, 0))
+    assert (toxic > np.quantile(clean, 0.99)).mean() > 0.9
+    assert (toxic >= 0).mean() > 0.6 and (clean >= 0).mean() < 0.02
+
+
+def test_sample_keeps_rare_toxic_rows_and_the_share_of_all_labels(spark):
+    rows = [(k, t.decode()) for k, t in enumerate(slurred(4000, 80, ["zwoxkrat"], 4))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") < 80).cast("int").alias("toxic"))
+    scalar, bias = toxicity.fit(docs, labels, max_train=200)  # by hash alone about 4 of the 64 toxic rows outside the fold
+    toxic, clean = (toxicity.log_odds(slurred(300, k, ["zwoxkrat"], 5), scalar, bias) for k in (300, 0))
+    assert (toxic >= 0).mean() > 0.9 and (clean >= 0).mean() < 0.01
+
+
 def test_scores_of_odd_rows(spark, model):
     df = spark.createDataFrame([(None, None), (1, ""), (1, "!!"), (2, "idiot " * 20_000), (2, "idiot " * 20_000)],
                                "doc_id long, text string").withColumn("score", F.lit("clash"))
