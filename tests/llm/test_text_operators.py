@@ -155,3 +155,16 @@ def test_native_paths_have_no_python(spark):
 def test_sha_of_no_items_is_that_of_the_empty_string(spark):
     row = spark.range(1).select(F.sha2(F.array_join(F.array().cast("array<string>"), ","), 256).alias("h")).first()
     assert row.h == hashlib.sha256(b"").hexdigest()
+
+
+def test_ranked_branches_of_a_reply_tree(spark):
+    #  1 -> 2 -> 4, 1 -> 3 -> (5, 6); 8 -> 9 hangs on a missing parent; leaves 5 and 6 tie
+    rows = [(1, None, 1.0), (2, 1, 0.0), (3, 1, 2.0), (4, 2, 4.0), (5, 3, 0.0), (6, 3, 0.0), (8, 7, 0.5), (9, 8, None)]
+    tree = spark.createDataFrame([("t", n, p, "user", f"m{n}", s) for n, p, s in rows],
+                                 "tree string, node long, parent long, role string, text string, score double")
+    want = [[1, 2, 4], [1, 3, 5], [1, 3, 6], [8, 9]]
+    for paths, n in ((None, 4), (2, 2), (9, 4)):
+        got = {r["rank"]: r.formatted for r in chat.format_trees(tree, paths).collect()}
+        assert got == {k + 1: "".join(f"<|im_start|>user\nm{i}<|im_end|>\n" for i in w) for k, w in enumerate(want[:n])}
+    one = chat.format_trees(tree)
+    assert one.columns == ["tree", "formatted", "loss"] and one.count() == 1 and "m4" in one.first().formatted

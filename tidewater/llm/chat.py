@@ -1,8 +1,8 @@
-r"""Chat formatting: reply trees, best branch per tree, one formatted conversation with a loss mask.
+r"""Chat formatting: reply trees, the best branches per tree (one by default), each formatted with a loss mask.
 
 Messages form trees (``tree, node, parent``). Pointer-doubling self-joins give every message its root
 distance and the score of its branch in log2(depth) rounds; the best leaf of each tree is one partial
-aggregate; a second run through the stored jump tables enumerates the chosen root-to-leaf paths. Ids, not
+aggregate, more leaves than one are ranked in a window; a second run through the stored jump tables enumerates the chosen root-to-leaf paths. Ids, not
 texts, move in those rounds; texts join once at the end.
 
 Template: ``<|im_start|>role\ntext<|im_end|>\n``. Inside texts, ``<`` + backslashes + ``|`` gets one more
@@ -54,10 +54,10 @@ def turns_as_tree(turns: DataFrame) -> DataFrame:
                     "role", "text", F.lit(0.0).alias("score"))
 
 
-def best_paths(messages: DataFrame) -> DataFrame:
-    """(key, node, depth) of the messages on the best-scored root-to-leaf path of each tree; depth 0 is the root.
+def best_paths(messages: DataFrame, paths: int | None = 1) -> DataFrame:
+    """(key, node, depth, rank) of the messages on the ``paths`` best-scored root-to-leaf paths of each tree (None: all).
 
-    A branch's score is the sum of its messages' scores (NULL counts as 0).
+    Depth 0 is the root, rank 1 the best path. A branch's score is the sum of its messages' scores (NULL counts as 0).
     """
     ids = messages.select("key", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     known = ids.select("key", F.col("node").alias("parent"), F.lit(True).alias("known")).distinct()
@@ -85,36 +85,46 @@ def best_paths(messages: DataFrame) -> DataFrame:
     first = jumps[0] if jumps else jump
     parents = first.where(F.col("up").isNotNull()).select("key", F.col("up").alias("node")).distinct()
     leaves = done.join(parents, ["key", "node"], "left_anti")
-    best = leaves.groupBy("key").agg(F.max(F.struct("sum", -F.col("node"), F.col("depth"))).alias("b"))
-    path = best.select("key", (-F.col("b.col2")).alias("node"), F.col("b.depth").alias("depth"))
+    if paths == 1:
+        best = leaves.groupBy("key").agg(F.max(F.struct("sum", -F.col("node"), F.col("depth"))).alias("b"))
+        path = best.select("key", (-F.col("b.col2")).alias("node"), F.col("b.depth").alias("depth"),
+                           F.lit(1).alias("rank"))
+    else:
+        order = Window.partitionBy("key").orderBy(F.desc("sum"), "node")
+        path = leaves.withColumn("rank", F.row_number().over(order)).select("key", "node", "depth", "rank")
+        path = path if paths is None else path.where(F.col("rank") <= paths)
     for i in range(len(jumps) - 1, -1, -1):  # each round doubles the path: the message 2**i above every known one
         path = stage(path)
         up = (path.join(jumps[i], ["key", "node"]).where(F.col("up").isNotNull())
-              .select("key", F.col("up").alias("node"), (F.col("depth") - (1 << i)).alias("depth")))
+              .select("key", F.col("up").alias("node"), (F.col("depth") - (1 << i)).alias("depth"), "rank"))
         path = path.unionByName(up)
     return path
 
 
-def format_trees(messages: DataFrame) -> DataFrame:
-    """One row per tree: ``tree``, ``formatted`` and ``loss`` (array of (start, chars) in code points)."""
+def format_trees(messages: DataFrame, paths: int | None = 1) -> DataFrame:
+    """One row per tree: ``tree``, ``formatted`` and ``loss`` (array of (start, chars) in code points).
+
+    With ``paths`` other than 1, one row for each of the tree's so many best branches (None: all), and its ``rank``.
+    """
     m = messages.withColumn("key", F.coalesce(F.col("tree").cast("string"), F.lit("")))
     m = m.withColumn("key", F.concat(F.when(F.col("tree").isNull(), "n").otherwise("t"), "key"))
     m = m.select("key", "tree", "node", "parent", "score", F.coalesce("role", F.lit("")).alias("role"),
                  F.coalesce("text", F.lit("")).alias("text"))
     m = stage(m)
-    turns = best_paths(m).join(m, ["key", "node"])
+    turns = best_paths(m, paths).join(m, ["key", "node"])
     head = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
     turns = (turns.withColumn("head", head).withColumn("body", escape(F.col("text")))
              .withColumn("piece", F.concat("head", "body", F.lit(END + "\n"))))
-    before = Window.partitionBy("key").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("key", "rank").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1)
     turns = turns.withColumn("at", F.coalesce(F.sum(F.length("piece").cast("long")).over(before), F.lit(0)))
     span = F.when(F.col("role") == LOSS_ROLE,
                   F.struct((F.col("at") + F.length("head")).alias("start"), F.length("body").alias("chars")))
-    rows = turns.groupBy("key").agg(
+    rows = turns.groupBy("key", "rank").agg(
         F.first("tree").alias("tree"),
         F.array_sort(F.collect_list(F.struct("depth", "piece"))).alias("pieces"),
         F.array_sort(F.collect_list(span)).alias("loss"))
-    return rows.select("tree", F.array_join(F.col("pieces.piece"), "").alias("formatted"), "loss")
+    return rows.select("tree", F.array_join(F.col("pieces.piece"), "").alias("formatted"), "loss",
+                       *(["rank"] if paths != 1 else []))
 
 
 def read_turns(formatted: Column) -> Column:
