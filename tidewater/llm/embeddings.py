@@ -6,9 +6,9 @@ logarithm of the table, so a bucket of unrelated vectors stays small. Inside a b
 a vector's code is the signs of one more random rotation, its factor the inner product of code and vector; the
 other vector comes as rotated components in 4-bit steps with unbiased rounding. Inner product over factor is an
 unbiased estimate of the cosine, with a confidence bound from the factor. Pairs whose upper bounds reach the
-threshold are kept as candidates (linear in the bucket: one edge per row); pairs below are never recomputed.
-Within each group of candidates the vectors meet in tiles of bounded size and the cosine is computed exactly,
-in double precision, so counts and links are exact there.
+threshold are kept as candidates (linear in the bucket: one edge per row), which connect into groups. Within each
+group all vectors meet in tiles of bounded size and the cosine is computed exactly, in double precision, so
+counts and links are exact there; that includes pairs of a group whose own upper bound is below the threshold.
 
 Defined results: vectors that are NULL, empty, zero or hold NULL or non-finite components link with nothing;
 vectors of different lengths never link; repeated vectors are copies and link with each other; NULL ids take
