@@ -137,5 +137,5 @@ def test_pipeline_stages_against_brute_force(spark):
 
 
 def test_every_operator_is_registered_once():
-    assert sorted(int(k[2:].split("_")[0]) for k in Q) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in Q) == list(range(1, 14))
     assert len(RULES) == 5

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import attribution, bpe, chat, decontam, embeddings, frames, jaccard, suffixes, toxicity, urls
+from tidewater.llm import (attribution, bpe, chat, decontam, embeddings, frames, importance, jaccard, langid, negatives,
+                           suffixes, toxicity, urls)
 from tidewater.llm.common import stage, table
 
 Q, SQL = {}, {}
@@ -173,3 +174,61 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard.link(table(spark, sf_dir, "documents"))
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
     return out.select("doc_id", "class_id", "n_links", "component_id", "kept")
+
+
+@query("op11_hard_negatives", """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.rid AS ra, a.vec_id AS anchor_id, b.rid AS rb, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.rid <> b.rid AND len(a.e) = len(b.e) WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ra ORDER BY score DESC, id NULLS LAST, rb) AS r
+                     FROM s WHERE same) WHERE r <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, p.score AS positive_score, s.id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.ra, p.rb ORDER BY s.score DESC, s.id NULLS LAST, s.rb) AS r
+    FROM p JOIN s ON s.ra = p.ra AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE r <= 5""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+@query("op12_importance_resampling", r"""
+WITH RECURSIVE steps(b, k, c) AS (SELECT b, 0, CAST(b AS UBIGINT) FROM range(256) r(b) UNION ALL
+    SELECT b, k + 1, xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END) FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS table_ FROM steps WHERE k = 8),
+d AS (SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+dw AS (SELECT rid, unnest(ws) AS w FROM d),
+bw AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+bytes AS (SELECT w, list_transform(range(1, octet_length(encode(w)) * 2, 2),
+    lambda i: CAST('0x' || substr(hex(w), i, 2) AS UBIGINT)) AS bs FROM (SELECT w FROM dw UNION SELECT w FROM bw)),
+bucket AS (SELECT w, CAST(xor(list_reduce(bs, lambda c, b: xor(c >> 8, table_[CAST(xor(c, b) & 255 AS BIGINT) + 1]),
+    4294967295::UBIGINT), 4294967295::UBIGINT) % 10000 AS BIGINT) AS k FROM bytes, crc),
+s AS (SELECT k, count(*) AS n FROM dw JOIN bucket USING (w) GROUP BY k),
+t AS (SELECT k, count(*) AS n FROM bw JOIN bucket USING (w) GROUP BY k),
+gain AS (SELECT k, CAST(floor(1000 * ln(CAST((coalesce(t.n, 0) + 1) * ((SELECT count(*) FROM dw) + 10000) AS DOUBLE)
+    / CAST((coalesce(s.n, 0) + 1) * ((SELECT count(*) FROM bw) + 10000) AS DOUBLE))) AS BIGINT) AS g
+    FROM s FULL JOIN t USING (k)),
+weight AS (SELECT rid, count(*) AS n, sum(g) AS w FROM dw JOIN bucket USING (w) JOIN gain USING (k) GROUP BY rid),
+scored AS (SELECT rid, doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features, CAST(coalesce(weight.w, 0) AS BIGINT) AS weight,
+    len(ws) AS n_words, CAST(coalesce(weight.w, 0) AS BIGINT) + CAST(floor(-1000 * ln(-ln((
+    CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / 4294967296))) AS BIGINT) AS score
+    FROM d LEFT JOIN weight USING (rid)),
+place AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS r, count(*) OVER () AS n
+    FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= n * 10 // 100 THEN r END AS rank
+FROM scored LEFT JOIN place USING (rid)""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_language_id")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = langid.languages(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", langid.held_out_column(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
