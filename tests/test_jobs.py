@@ -5,6 +5,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from tidewater.plans import jobs
+from tidewater.plans.scoring import published_latest
 from tidewater.session import Params
 from tidewater.sources.bronze import bronze_tables
 from tidewater.sources.io import read_json_metrics, register_scores_table, register_zone
@@ -37,7 +38,7 @@ def test_pipeline_end_to_end(spark):
     scores = spark.read.parquet(f"{base}/pred/uplift_scores")
     per_day = {r.dt: r["count"] for r in scores.groupBy(F.col("dt").cast("string").alias("dt")).count().collect()}
     assert set(per_day) == {"2001-09-01", "2001-10-01"} and len(set(per_day.values())) == 1
-    latest = spark.read.parquet(f"{base}/pred/uplift_scores_latest")
+    latest = published_latest(spark, f"{base}/pred/uplift_scores_latest")
     assert latest.count() == latest.select("cliente_id").distinct().count() == per_day["2001-10-01"]
 
     # new raw files: ingest -> enrich -> score gives what the full jobs gave
@@ -45,8 +46,11 @@ def test_pipeline_end_to_end(spark):
     jobs.refresh(spark, f"{base}/raw", f"{base}/silver", f"{base}/work", f"{base}/gold2", f"{base}/models", f"{base}/pred2",
                  "2001-10-01", p)
     cols = ["cliente_id", "score_uplift", "segmento_uplift"]
-    a = spark.read.parquet(f"{base}/pred2/uplift_scores_latest").select(*cols)
+    a = published_latest(spark, f"{base}/pred2/uplift_scores_latest").select(*cols)
     assert a.count() == latest.count() and a.exceptAll(latest.select(*cols)).count() == 0
+    some = [r[0] for r in latest.select("cliente_id").orderBy("cliente_id").limit(3).collect()]
+    got = {r.cliente_id: r.encontrado for r in jobs.lookup(spark, f"{base}/pred", [*some, "nadie"]).collect()}
+    assert got == {**dict.fromkeys(some, True), "nadie": False}
 
     t = register_scores_table(spark, "uplift_scores_test", f"{base}/pred/uplift_scores")
     assert t.filter(F.col("dt") == "2001-10-01").count() == per_day["2001-10-01"]

@@ -39,12 +39,10 @@ def erfc(x: Column) -> Column:
     """
     z = F.abs(x)
     bell = F.exp(-z * z) / F.lit(math.sqrt(math.pi))
-    series = F.lit(1.0)
-    for k in range(SERIES_TERMS, 0, -1):
-        series = F.lit(1.0) + z * z * F.lit(2.0 / (2 * k + 1)) * series
-    fraction = z
-    for k in range(FRACTION_TERMS, 0, -1):
-        fraction = z + F.lit(k / 2.0) / fraction
+    # From the innermost term outwards. A fold over its numbers keeps the plan as small as one term.
+    inner = F.lit([2.0 / (2 * k + 1) for k in range(SERIES_TERMS, 0, -1)])
+    series = F.aggregate(inner, F.lit(1.0), lambda rest, c: F.lit(1.0) + z * z * c * rest)
+    fraction = F.aggregate(F.lit([k / 2.0 for k in range(FRACTION_TERMS, 0, -1)]), z, lambda rest, c: z + c / rest)
     upper = F.when(z < F.lit(SPLIT), F.lit(1.0) - F.lit(2.0) * z * bell * series).otherwise(bell / fraction)
     return F.when(x >= 0, upper).otherwise(F.lit(2.0) - upper)
 
@@ -59,28 +57,37 @@ def upper_tail_p(z: Column) -> Column:
 
 # --------------------------------------------------------------------- rank tests
 
-def tail_p(center: Column, sd: Column, correction: float, alternative: str) -> tuple[Column, Column]:
-    """(z, p) of a statistic's distance from its mean, with a continuity correction towards it."""
+def tail_z(center: Column, sd: Column, correction: float, alternative: str) -> Column:
+    """z of a statistic's distance from its mean, with a continuity correction towards it."""
     if alternative not in ALTERNATIVES:
         raise ValueError(f"alternative must be one of {ALTERNATIVES}")
-    if alternative == "greater":
-        z = (center - correction) / sd
-        return z, upper_tail_p(z)
-    if alternative == "less":
-        z = (center + correction) / sd
-        return z, upper_tail_p(-z)
-    z = (center - F.signum(center) * correction) / sd
-    return z, two_sided_p(z)
+    towards = {"greater": F.lit(1.0), "less": F.lit(-1.0), "two-sided": F.signum(center)}[alternative]
+    return (center - towards * correction) / sd
+
+
+def tail_p(z: Column, alternative: str) -> Column:
+    if alternative == "two-sided":
+        return two_sided_p(z)
+    return upper_tail_p(z if alternative == "greater" else -z)
+
+
+def whole_table_exact(test, df: DataFrame, *args, **options) -> DataFrame:
+    """An exact test of one group, the whole table."""
+    return test(df.withColumn("_todo", F.lit(1)), ["_todo"], *args, **options).drop("_todo")
 
 
 def mann_whitney(df: DataFrame, value_col: str, group1: Column, n_buckets: int | None = None,
-                 alternative: str = "greater") -> DataFrame:
+                 alternative: str = "greater", method: str = "normal") -> DataFrame:
     """Mann-Whitney U of group 1 vs the rest, normal approximation, by default one-sided 'greater'.
 
+    ``method="exact"`` takes p from the exact distribution instead (``exact.mann_whitney_exact``; no z, small tables).
     U = R1 - n1(n1+1)/2; var = n1 n2 / 12 * ((N+1) - Σ(t³-t) / (N(N-1)));
     z = (U - n1 n2 / 2 - 0.5) / sqrt(var) (continuity correction); p = upper tail.
     """
+    from tidewater.operators.exact import mann_whitney_exact
     from tidewater.operators.ranks import average_ranks, tie_term
+    if method == "exact":
+        return whole_table_exact(mann_whitney_exact, df, value_col, group1, alternative)
     d = df.select(F.col(value_col), group1.cast("long").alias("_g"))
     r = average_ranks(d, value_col, {"n1": F.col("_g")}, n_buckets)
     a = r.agg(F.sum(F.col("n1") * F.col("avg_rank")).alias("r1"), F.sum("n1").alias("n1"),
@@ -89,18 +96,22 @@ def mann_whitney(df: DataFrame, value_col: str, group1: Column, n_buckets: int |
     n2 = n - n1
     u = F.col("r1") - n1 * (n1 + 1) / 2
     var = n1 * n2 / 12 * ((n + 1) - F.col("ties") / (n * (n - 1)))
-    z, p = tail_p(u - n1 * n2 / 2, F.sqrt(var), 0.5, alternative)
-    return a.select(F.col("n1").alias("n1"), (F.col("n") - F.col("n1")).alias("n2"), u.alias("u"), z.alias("z"),
-                    p.alias("p_value"))
+    z = tail_z(u - n1 * n2 / 2, F.sqrt(var), 0.5, alternative)
+    a = a.select(F.col("n1").alias("n1"), (F.col("n") - F.col("n1")).alias("n2"), u.alias("u"), z.alias("z"))
+    return a.withColumn("p_value", tail_p(F.col("z"), alternative))
 
 
 def wilcoxon_signed_rank(df: DataFrame, x_col: str, y_col: str, n_buckets: int | None = None,
-                         alternative: str = "two-sided") -> DataFrame:
+                         alternative: str = "two-sided", method: str = "normal") -> DataFrame:
     """Paired signed-rank test of x - y, zero differences dropped, normal approximation, by default two-sided.
 
+    ``method="exact"`` takes p from the exact distribution instead (``exact.wilcoxon_exact``; no z, small tables).
     W = min(R+, R-), or R+ for a one-sided alternative; mean n(n+1)/4; var = n(n+1)(2n+1)/24 - Σ(t³-t)/48.
     """
+    from tidewater.operators.exact import wilcoxon_exact
     from tidewater.operators.ranks import average_ranks, tie_term
+    if method == "exact":
+        return whole_table_exact(wilcoxon_exact, df, x_col, y_col, alternative)
     d = (df.select((F.col(x_col) - F.col(y_col)).alias("_d"))
            .filter(F.col("_d").isNotNull() & (F.col("_d") != 0))
            .select(F.abs("_d").alias("_a"), (F.col("_d") > 0).cast("long").alias("_pos")))
@@ -111,8 +122,9 @@ def wilcoxon_signed_rank(df: DataFrame, x_col: str, y_col: str, n_buckets: int |
     n = F.col("n").cast("double")
     w = F.least("r_mas", "r_menos") if alternative == "two-sided" else F.col("r_mas")
     var = n * (n + 1) * (2 * n + 1) / 24 - F.col("ties") / 48
-    z, p = tail_p(w - n * (n + 1) / 4, F.sqrt(var), 0.0, alternative)
-    return a.select("n", "r_mas", "r_menos", w.alias("estadistico"), z.alias("z"), p.alias("p_value"))
+    z = tail_z(w - n * (n + 1) / 4, F.sqrt(var), 0.0, alternative)
+    a = a.select("n", "r_mas", "r_menos", w.alias("estadistico"), z.alias("z"))
+    return a.withColumn("p_value", tail_p(F.col("z"), alternative))
 
 
 def auc(df: DataFrame, score_col: str, label_col: str, n_buckets: int | None = None) -> DataFrame:
@@ -177,9 +189,9 @@ def did_hc1(panel: DataFrame, treat_col: str, pre_col: str, post_col: str) -> Da
     n = sum((F.col(f"n{t}{p}") for t in (0, 1) for p in (0, 1)), F.lit(0)).cast("double")
     hc0 = sum((F.col(f"v{t}{p}") / F.col(f"n{t}{p}") for t in (0, 1) for p in (0, 1)), F.lit(0.0))
     se = F.sqrt(n / (n - 4) * hc0)
-    z = coef / se
-    return a.select(coef.alias("coef_did"), se.alias("se_hc1"), z.alias("z"), two_sided_p(z).alias("p_value"),
-                    n.cast("long").alias("n_obs"), "m00", "m01", "m10", "m11")
+    a = a.select(coef.alias("coef_did"), se.alias("se_hc1"), (coef / se).alias("z"), n.cast("long").alias("n_obs"),
+                 "m00", "m01", "m10", "m11")
+    return a.withColumn("p_value", two_sided_p(F.col("z")))
 
 
 # Fixed value: 97.5 % quantile of the standard normal (two-sided 95 % interval).

@@ -1,10 +1,11 @@
-"""End-to-end jobs with command-line parameters.
+"""End-to-end jobs with command-line parameters.
 
     python -m tidewater.plans.jobs standardize --input DIR --output DIR --quarantine DIR
     python -m tidewater.plans.jobs enrich      --input SILVER --output GOLD
     python -m tidewater.plans.jobs train       --gold GOLD --silver SILVER --model-dir DIR
     python -m tidewater.plans.jobs score       --gold GOLD --model-dir DIR --output SCORES --fecha YYYY-MM-DD
     python -m tidewater.plans.jobs ingest      --raw DIR --silver SILVER --work DIR
+    python -m tidewater.plans.jobs lookup      --output SCORES --cliente-id ID --cliente-id ID
     python -m tidewater.plans.jobs refresh     --raw DIR --silver SILVER --work DIR --gold GOLD --model-dir DIR --output SCORES
 
 Raw inputs of ``standardize`` are the five raw tables; ``--from-test-tables``
@@ -70,10 +71,9 @@ def score(spark: SparkSession, gold_dir: str, model_dir: str, output: str, fecha
           params: Params = Params(), calibrated: bool = False) -> DataFrame:
     """Job 4: score the untreated population, publish under ``dt=fecha`` (K5), refresh latest-per-key (K4)."""
     from tidewater.operators.uplift import UpliftModel
-    from tidewater.plans.scoring import imputed_share, merge_latest, score_population, segment_distribution
-    from tidewater.sources.io import write_metrics
-    from tidewater.session import materialize
-    from tidewater.sources.io import folder_exists, write_by_date, write_full
+    from tidewater.plans.scoring import imputed_share, publish_latest, score_population, segment_distribution
+    from tidewater.sources.io import write_by_date, write_metrics
+    from tidewater.sources.snapshots import expire
     model = UpliftModel.load(spark, f"{model_dir}/modelo_uplift_tlearner")
     gold = spark.read.parquet(f"{gold_dir}/cliente_360")
     scores = score_population(model, gold, params, calibrated=calibrated).withColumn("dt", F.lit(fecha))
@@ -82,9 +82,8 @@ def score(spark: SparkSession, gold_dir: str, model_dir: str, output: str, fecha
     write_metrics(spark, imputed_share(population, params.numeric_features).first().asDict(), f"{output}/uplift_imputados")
     # the run's partition alone is read back; earlier dates stay untouched
     run = spark.read.parquet(f"{output}/uplift_scores").withColumn("dt", F.col("dt").cast("string")).filter(F.col("dt") == fecha)
-    latest = f"{output}/uplift_scores_latest"
-    before = spark.read.parquet(latest) if folder_exists(spark, latest) else run.limit(0)
-    write_full(materialize(merge_latest(before, run)), latest)
+    publish_latest(spark, f"{output}/uplift_scores_latest", run)
+    expire(spark, f"{output}/uplift_scores_latest")
     return segment_distribution(run)
 
 
@@ -106,6 +105,12 @@ def refresh(spark: SparkSession, raw: str, silver: str, work: str, gold: str, mo
     return score(spark, gold, model_dir, output, fecha, params)
 
 
+def lookup(spark: SparkSession, output: str, ids: list[str]) -> DataFrame:
+    """What is published of some customers (J13): one row an id, found or not."""
+    from tidewater.plans.scoring import lookup_published
+    return lookup_published(spark.createDataFrame([(i,) for i in ids], "cliente_id string"), f"{output}/uplift_scores_latest")
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="tidewater.plans.jobs")
     sub = p.add_subparsers(dest="job", required=True)
@@ -142,7 +147,10 @@ def main(argv: list[str] | None = None) -> None:
     for flag in ("raw", "silver", "work", "gold", "model-dir", "output"):
         s6.add_argument(f"--{flag}", required=True)
     s6.add_argument("--fecha", default=dt.date.today().isoformat())
-    for sp in (s1, s2, s3, s4, s5, s6):
+    s7 = sub.add_parser("lookup")
+    s7.add_argument("--output", required=True)
+    s7.add_argument("--cliente-id", action="append", required=True)
+    for sp in (s1, s2, s3, s4, s5, s6, s7):
         sp.add_argument("--as-of", default=Params.as_of)
         sp.add_argument("--master", default=None)
     a = p.parse_args(argv)
@@ -165,6 +173,9 @@ def main(argv: list[str] | None = None) -> None:
                         post_end=a.post_end, treated_group=a.treated_group, control_group=a.control_group,
                         smd_alert=a.smd_alert)
         print(json.dumps(train(spark, a.gold, a.silver, a.model_dir, params), indent=2))
+    elif a.job == "lookup":
+        found = lookup(spark, a.output, a.cliente_id)
+        print(json.dumps([r.asDict() for r in found.collect()], ensure_ascii=False, indent=2))
     elif a.job == "ingest":
         print(json.dumps({r["batch"]: r["filas"] for r in ingest(spark, a.raw, a.silver, a.work).collect()}, indent=2))
     elif a.job == "refresh":

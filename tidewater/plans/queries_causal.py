@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.operators import stats as st
+from tidewater.operators.exact import mann_whitney_exact, wilcoxon_exact
 from tidewater.plans import causal as pcz
 from tidewater.plans import oracle as o
 from tidewater.plans.queries_clean import silver_zone
@@ -155,8 +156,69 @@ def auc_sql(arm: int, score: str) -> str:
             f"CAST(sum(n) AS BIGINT) AS n FROM ({rk}))")
 
 
+EXACT_ROWS = 20
+
+
+def exact_sql(src: str, of_size: bool, alternative: str) -> str:
+    """Per group ``k`` of (k, x, g): n, n1 and r2 (doubled rank sum of g = 1) and p by counting subsets of the ranks, one rank a
+    step of a recursion. Takes the place of a CTE list: rk, grp, dp, fin."""
+    width, size = ("n * (n + 1) + 1", "n1 + 1") if of_size else ("n * (n + 1) + 1", "1")
+    back, inside = ("w + r", "p > w AND (p - 1) % w >= r") if of_size else ("r", "p - 1 >= r")
+    upper = "list_sum(c[r2 + 1:]) / list_sum(c)"
+    lower = "list_sum(c[:r2 + 1]) / list_sum(c)"
+    p = {"greater": upper, "two-sided": f"least(1.0, 2.0 * least({upper}, {lower}))"}[alternative]
+    return f"""
+rk AS (SELECT k, g, 2 * rank() OVER (PARTITION BY k ORDER BY x) - 1 + count(*) OVER (PARTITION BY k, x) AS r2,
+         row_number() OVER (PARTITION BY k ORDER BY x) AS i FROM {src}),
+grp AS (SELECT k, count(*) AS n, CAST(sum(g) AS BIGINT) AS n1, CAST(sum(g * r2) AS BIGINT) AS r2 FROM rk GROUP BY k),
+dp(k, i, n, w, st) AS (
+  SELECT k, 0, n, {width}, list_transform(range(({size}) * ({width})), lambda j: CASE WHEN j = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
+  FROM grp WHERE n <= {EXACT_ROWS}
+  UNION ALL
+  SELECT dp.k, dp.i + 1, dp.n, dp.w, list_transform(range(1, len(st) + 1), lambda p: st[p] + CASE WHEN {inside.replace("r", "rk.r2")}
+    THEN st[p - ({back.replace("r", "rk.r2")})] ELSE 0.0::DOUBLE END)
+  FROM dp JOIN rk ON rk.k = dp.k AND rk.i = dp.i + 1),
+fin AS (SELECT grp.*, {p} AS p FROM grp LEFT JOIN
+  (SELECT dp.k, {"st[grp.n1 * w + 1:(grp.n1 + 1) * w]" if of_size else "st"} AS c FROM dp JOIN grp ON grp.k = dp.k WHERE dp.i = dp.n) d
+  ON d.k = grp.k)"""
+
+
+def recursive(deps: list[str], ctes: str, select: str) -> str:
+    """``sql_for`` with CTEs of the query's own, one of them recursive."""
+    return o.sql_for(deps, "-- own" + ctes + select).replace("WITH ", "WITH RECURSIVE ", 1).replace("\n-- own", ",", 1)
+
+
 # ---------------------------------------------------------------- queries
 
+@register("exact_amount_shift", recursive(["s_transacciones"], f"""
+v AS (SELECT cliente_id AS k, monto AS x, CAST(fecha >= DATE '{P.cut}' AS BIGINT) AS g FROM s_transacciones
+      WHERE monto IS NOT NULL AND fecha IS NOT NULL),""" + exact_sql("v", True, "greater"), f"""
+SELECT k AS cliente_id, n1, n - n1 AS n2, CAST(r2 / 2.0 - n1 * (n1 + 1) / 2.0 AS DOUBLE) AS u,
+  {r("CASE WHEN n1 > 0 AND n1 < n THEN p END", "p_value")} FROM fin"""))
+def exact_amount_shift(spark, sf):
+    """C7 exact: per customer, are amounts from the cut on larger than before? (customers of up to 20 amounts)"""
+    _, tx = data(spark, sf)
+    v = tx.where("monto IS NOT NULL AND fecha IS NOT NULL")
+    return rounded(mann_whitney_exact(v, ["cliente_id"], "monto", F.col("fecha") >= F.lit(P.cut).cast("date"),
+                                      max_rows=EXACT_ROWS))
+
+
+@register("exact_frequency_shift", recursive(["g_360"], f"""
+v AS (SELECT coalesce(ciudad, '-') || '|' || coalesce(canal_adquisicion, '-') AS k,
+        abs(frecuencia_mensual_post - frecuencia_mensual_pre) AS x,
+        CAST(frecuencia_mensual_post > frecuencia_mensual_pre AS BIGINT) AS g FROM g_360
+      WHERE grupo_piloto = '{P.treated_group}' AND frecuencia_mensual_post <> frecuencia_mensual_pre),"""
+    + exact_sql("v", False, "two-sided"), f"""
+SELECT k AS segmento, n, CAST(r2 / 2.0 AS DOUBLE) AS r_mas, CAST(n * (n + 1) / 2.0 - r2 / 2.0 AS DOUBLE) AS r_menos,
+  {r("p", "p_value")} FROM fin"""))
+def exact_frequency_shift(spark, sf):
+    """C6 exact: per city and channel, did the monthly frequency of treated customers change? (up to 20 of them)"""
+    g, _ = data(spark, sf)
+    t = g.where(F.col("grupo_piloto") == P.treated_group).withColumn("segmento", F.concat_ws(
+        "|", F.coalesce("ciudad", F.lit("-")), F.coalesce("canal_adquisicion", F.lit("-"))))
+    return rounded(wilcoxon_exact(t, ["segmento"], "frecuencia_mensual_post", "frecuencia_mensual_pre", max_rows=EXACT_ROWS))
+
+
 @register("treated_control_panel", o.sql_for(["c_panel"], """
 SELECT cliente_id, grupo_piloto, tratado, pre, post, aumento_uso FROM c_panel"""))
 def treated_control_panel(spark, sf):

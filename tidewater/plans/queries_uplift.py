@@ -173,6 +173,46 @@ def score_lookup(spark, sf):
     return ps.lookup(gold(spark, sf).select("cliente_id"), ps.latest_per_key(dated_scores(spark, sf)))
 
 
+def _published(spark, sf):
+    """Root of a latest-score table into which every date's run was published in turn."""
+    root = _folder(spark)
+    for d in DATES:
+        ps.publish_latest(spark, root, stand_in_scores(gold(spark, sf), d))
+    return root
+
+
+@register("published_latest", o.sql_for(["u_latest"], "SELECT * FROM u_latest"))
+def published_latest(spark, sf):
+    """K4: the serving table after three runs, each published as a snapshot; two of them have expired."""
+    from tidewater.sources.snapshots import expire
+    root = _published(spark, sf)
+    expire(spark, root, keep=1)
+    return ps.published_latest(spark, root)
+
+
+@register("campaign_lookup", o.sql_for(["u_heur", "u_latest"], f"""
+SELECT q.cliente_id, l.score_uplift, l.p_tratamiento, l.p_control, l.segmento_uplift, l.razones_principales,
+  l.version_modelo, l.dt, l.segmento_uplift IS NOT NULL AS encontrado,
+  CASE WHEN l.segmento_uplift IS NOT NULL THEN coalesce(CASE l.segmento_uplift {_desc} END, '') END
+    AS segmento_descripcion
+FROM (SELECT cliente_id FROM u_heur WHERE segmento_uplift IN ('persuadible', 'sure_thing')
+      ORDER BY CASE WHEN segmento_uplift = 'persuadible' THEN 1 ELSE 2 END, score_uplift DESC, cliente_id LIMIT 100) q
+LEFT JOIN u_latest l ON q.cliente_id = l.cliente_id"""))
+def campaign_lookup(spark, sf):
+    """The customers of the budgeted wave (O5) looked up in the published table by their keys."""
+    asked = ps.budget_topk(heuristic_population(spark, sf), 100).select("cliente_id")
+    return ps.lookup_published(asked, _published(spark, sf))
+
+
+@register("published_lookup", o.sql_for(["g_360", "u_latest"], f"""
+SELECT q.cliente_id, l.score_uplift, l.dt, l.segmento_uplift IS NOT NULL AS encontrado
+FROM (SELECT DISTINCT cliente_id FROM g_360) q LEFT JOIN u_latest l ON q.cliente_id = l.cliente_id"""))
+def published_lookup(spark, sf):
+    """Every customer looked up in the published table, bucket by bucket."""
+    found = ps.lookup_published(gold(spark, sf).select("cliente_id"), _published(spark, sf))
+    return found.select("cliente_id", "score_uplift", "dt", "encontrado")
+
+
 @register("scores_by_date", o.sql_for(["u_dated"], "SELECT * FROM u_dated WHERE dt = '2001-04-01'"))
 def scores_by_date(spark, sf):
     """K5 + K7: write scores partitioned by ``dt`` to the shared folder, read back one date (pruned)."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.segments import (PERSUADABLE, SEGMENTS, SURE_THING, describe_segment, reason_text,
@@ -11,6 +11,7 @@ from tidewater.operators import stats as st
 from tidewater.operators.uplift import UpliftModel, fit_tlearner
 from tidewater.plans import causal as pcz
 from tidewater.session import Params, materialize
+from tidewater.sources import snapshots
 
 SCORE_COLS = ["cliente_id", "score_uplift", "p_tratamiento", "p_control", "segmento_uplift",
               "razones_principales", "version_modelo"]
@@ -110,6 +111,26 @@ def lookup(requests: DataFrame, latest: DataFrame, key: str = "cliente_id") -> D
                                                          describe_segment("segmento_uplift"))})
 
 
+def publish_latest(spark: SparkSession, root: str, run: DataFrame, key: str = "cliente_id") -> snapshots.Version:
+    """K4: the latest-score table with one run's rows put in, published as a new snapshot of ``root``."""
+    upsert = lambda before: merge_latest(run.limit(0) if before is None else before, run, key)
+    return snapshots.publish(spark, root, upsert, key)
+
+
+def published_latest(spark: SparkSession, root: str) -> DataFrame | None:
+    """The latest-score table that was published last, None if there is none."""
+    return snapshots.read(spark, root)
+
+
+def lookup_published(requests: DataFrame, root: str, key: str = "cliente_id",
+                     pushed_keys: int = snapshots.PUSHED_KEYS) -> DataFrame:
+    """``lookup`` in the published table, of which only what may hold the requested keys is read."""
+    found = snapshots.find(requests.sparkSession, root, requests, pushed_keys)
+    if found is None:
+        raise FileNotFoundError(f"nothing is published in {root}")
+    return lookup(requests, found, key)
+
+
 def budget_topk(scores: DataFrame, k: int) -> DataFrame:
     """Persuadables first, then sure things, by score; sleeping dogs and lost causes never.
 

@@ -146,5 +146,49 @@ def list_folder(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _folder(spark, path)
+    fs.delete(p, True)
+
+
+def write_small(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    """A short text (a version, a pointer) as one file, in any store that Spark reaches."""
+    fs, p = _folder(spark, path)
+    out = fs.create(p, overwrite)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file to a name that must be free; False if it is taken. One step in stores that rename in one step."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs, there = _folder(spark, target)
+    fs.mkdirs(there.getParent())
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(there.toUri(), conf)
+    plain = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    from py4j.protocol import Py4JJavaError
+    try:
+        files.rename(jvm.org.apache.hadoop.fs.Path(source), there, plain)
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" in str(e.java_exception):
+            return False
+        raise
+    return True
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """The text of ``write_small``, None if there is no such file."""
+    fs, p = _folder(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 __all__ = ["read_table", "require", "write_full", "write_quarantine", "write_by_date",
            "register_scores_table", "register_zone", "write_metrics", "write_table_csv", "schema_report", "F"]
