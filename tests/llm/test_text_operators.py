@@ -130,6 +130,19 @@ def test_chat_round_trip(spark):
     assert chat.format_trees(chat.turns_as_tree(df.limit(0))).count() == 0
 
 
+def test_every_role_and_text_comes_back(spark):
+    """Random strings over the characters that the template and its escapes use, NUL and other control characters included."""
+    rng = random.Random(8)
+    some = lambda: "".join(rng.choices("\\\\\\nn\n\0\x01\r\t<<||im_end>é𝄞", k=rng.randrange(0, 9)))
+    rows = [(k // 3, k % 3, some(), some()) for k in range(3000)] + [(5000, 0, "a\0b", "a\0b"), (5000, 1, "\\n", "\\n"), (5000, 2, "\\\n", "<\\|")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.tree: [(t.role, t.text) for t in r.turns] for r in read_back(chat.format_trees(chat.turns_as_tree(df))).collect()}
+    want = {}
+    for c, _, role, text in rows:
+        want.setdefault(c, []).append((role, text))
+    assert got == want
+
+
 def test_best_branch_of_a_tree(spark):
     rows = [("t", 1, None, "user", "root", 0.0), ("t", 2, 1, "assistant", "a", 1.0), ("t", 3, 1, "assistant", "b", 0.5),
             ("t", 4, 3, "user", "c", 0.1), ("t", 5, 4, "assistant", "d", 2.0), ("t", 6, 2, "user", "e", None),

@@ -39,8 +39,9 @@ def escape_role(c: Column) -> Column:
 
 
 def unescape_role(c: Column) -> Column:
-    c = F.regexp_replace(unescape(c), r"\\\\", "\u0000")
-    return F.regexp_replace(F.regexp_replace(c, r"\\n", "\n"), "\u0000", r"\\")
+    # Read from the left, doubled backslashes come first: between them every backslash begins a newline.
+    parts = F.transform(F.split(unescape(c), r"\\\\"), lambda p: F.replace(p, F.lit("\\n"), F.lit("\n")))
+    return F.array_join(parts, "\\")
 
 
 def turns_as_tree(turns: DataFrame) -> DataFrame:
