@@ -32,7 +32,8 @@ def inputs(spark):
 
 
 def run(spark, base, raw, **options):
-    return clean_transactions_stream(spark, f"{base}/raw", raw.schema, f"{base}/clientes", f"{base}/out", f"{base}/ck", **options)
+    return clean_transactions_stream(spark, f"{base}/raw", raw.schema, f"{base}/clientes", f"{base}/out", f"{base}/ck",
+                                     grain="yyyy", **options)
 
 
 def test_stream_equals_batch(spark):

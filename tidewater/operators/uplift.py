@@ -2,7 +2,7 @@
 
 * preprocessing (M1, M2): median imputation + standardisation of the numeric
   features, constant fill + one-hot of the categorical ones (unseen -> all
-  zeros), fitted once on the training rows of both arms;
+  zeros; or hashed to a fixed number of columns), fitted once on the training rows of both arms;
 * per-arm balanced class weights (M3) joined from a 4-row count table;
 * one random forest per arm (M4), distributed by MLlib (trees grown level by
   level across executors);
@@ -18,7 +18,8 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (FeatureHasher, Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer,
+                                VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,16 @@ from tidewater.session import Params
 UNKNOWN_CATEGORY = "desconocido"
 
 
-def preprocessor(numeric: list[str], categorical: list[str]) -> Pipeline:
+def collision_share(labels: int, buckets: int) -> float:
+    """Expected share of ``labels`` different labels that share a bucket with another one."""
+    return 1.0 - (1.0 - 1.0 / buckets) ** (labels - 1)
+
+
+def preprocessor(numeric: list[str], categorical: list[str], buckets: int | None = None) -> Pipeline:
+    """M1 + M2. Without ``buckets`` categories are code lists: every label reaches the driver and gets a column of its own.
+    With it labels of any number are hashed to so many columns (``collision_share`` of them meet another), and no
+    label is kept anywhere.
+    """
     imp = [f"_imp_{c}" for c in numeric]
     filled = [f"_fill_{c}" for c in categorical]
     idx = [f"_idx_{c}" for c in categorical]
@@ -43,11 +53,16 @@ def preprocessor(numeric: list[str], categorical: list[str]) -> Pipeline:
         Imputer(strategy="median", inputCols=numeric, outputCols=imp),
         VectorAssembler(inputCols=imp, outputCol="_num", handleInvalid="keep"),
         StandardScaler(inputCol="_num", outputCol="_num_z", withMean=True, withStd=True),
+    ]
+    if buckets:
+        hashed = [FeatureHasher(inputCols=filled, outputCol="_hash", numFeatures=buckets, categoricalCols=filled)]
+        return Pipeline(stages=[*stages, *hashed, VectorAssembler(inputCols=["_num_z", "_hash"], outputCol="features")])
+    return Pipeline(stages=[
+        *stages,
         StringIndexer(inputCols=filled, outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep"),
         VectorAssembler(inputCols=["_num_z", *ohe], outputCol="features"),
-    ]
-    return Pipeline(stages=stages)
+    ])
 
 
 def with_class_weights(train: DataFrame, y: str, w: str) -> DataFrame:
@@ -111,7 +126,7 @@ def fit_tlearner(train: DataFrame, params: Params = Params(), y: str = "aumento_
     num, cat = list(params.numeric_features), list(params.categorical_features)
     from tidewater.session import checkpoint_dir
     checkpoint_dir(train.sparkSession)  # node-id cache checkpoints go to the shared folder
-    prep = preprocessor(num, cat).fit(train)
+    prep = preprocessor(num, cat, params.category_buckets).fit(train)
     x = with_class_weights(prep.transform(train).select("features", y, w), y, w) \
         .withColumn(y, F.col(y).cast("double"))
     from tidewater.session import materialize
@@ -120,7 +135,7 @@ def fit_tlearner(train: DataFrame, params: Params = Params(), y: str = "aumento_
     m_t = _forest(params, y, "t").fit(x.filter(F.col(w) == 1))
     m_c = _forest(params, y, "c").fit(x.filter(F.col(w) == 0))
     meta = {"numeric_features": num, "categorical_features": cat, "treatment_name": 1, "control_name": 0,
-            "pi_t": rates.get(1), "pi_c": rates.get(0), "version": params.model_version}
+            "pi_t": rates.get(1), "pi_c": rates.get(0), "category_buckets": params.category_buckets, "version": params.model_version}
     return UpliftModel(prep, m_t, m_c, meta)
 
 

@@ -44,6 +44,7 @@ class Params:
         "feat_antiguedad_dias",
     )
     categorical_features: tuple = ("feat_ciudad", "feat_canal_adquisicion")
+    category_buckets: int | None = None  # None: code lists; a number: labels are hashed to so many columns
 
     def days(self, a: str, b: str) -> int:
         return (_dt.date.fromisoformat(b) - _dt.date.fromisoformat(a)).days

@@ -6,11 +6,13 @@ filters and prune columns into the Parquet scan of whatever plan uses it.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class MissingColumns(ValueError):
@@ -94,11 +96,27 @@ def register_scores_table(spark: SparkSession, name: str, location: str) -> Data
     return spark.table(name)
 
 
+def read_dates(spark: SparkSession, path: str, schema, start: str, end: str, step_days: int = 1,
+               date_col: str = "dt") -> DataFrame:
+    """K7: the rows of a date range of a date-partitioned folder, without listing the other dates.
+
+    The folders are named from the range (``start`` to ``end``, both included, every ``step_days``); absent dates are skipped. ``schema``
+    is that of the files, without ``date_col``, which comes back as a string.
+    """
+    first, last = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
+    days = [first + dt.timedelta(days=k) for k in range(0, (last - first).days + 1, step_days)]
+    present = [d for d in (f"{path.rstrip('/')}/{date_col}={day.isoformat()}" for day in days) if folder_exists(spark, d)]
+    whole = T.StructType([f for f in schema.fields if f.name != date_col] + [T.StructField(date_col, T.StringType())])
+    if not present:
+        return spark.createDataFrame([], whole)
+    return spark.read.schema(whole).option("basePath", path).parquet(*present)
+
+
 def register_zone(spark: SparkSession, zone: str, tables: dict[str, str]) -> list[str]:
     """K8: one database per zone and one external table per folder.
 
     Schemas are read from the files with ``mergeSchema`` so added columns show
-    up; dropped columns are only reported, never removed from old files.
+    up. ``catalog.register`` does the same with a history of schemas and a log of changes.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {zone}")
     made = []

@@ -27,14 +27,17 @@ MERGED = "~"  # a merged folder is named after its last step, and sorts between
 
 
 class SeenRows:
-    """The index in ``path``; its ``grain`` (a date pattern) and ``digits`` are fixed by its first step."""
+    """The index in ``path``; its ``grain`` (a date pattern, months by default) and ``digits`` are fixed by its first step."""
 
-    def __init__(self, spark: SparkSession, path: str, grain: str = "yyyy-MM", digits: int = 0):
-        self.spark, self.path, self.grain, self.digits = spark, path.rstrip("/"), grain, digits
+    def __init__(self, spark: SparkSession, path: str, grain: str | None = None, digits: int | None = None):
+        self.spark, self.path = spark, path.rstrip("/")
         told = read_small(spark, f"{self.path}/_layout")
-        if told is not None and json.loads(told) != self._layout():
-            raise ValueError(f"{path} is laid out by {told}, not by {self._layout()}")
+        known = json.loads(told) if told else {}
+        self.grain = grain or known.get("grain", "yyyy-MM")
+        self.digits = digits if digits is not None else known.get("digits", 0)
         self.empty = told is None
+        if known and known != self._layout():
+            raise ValueError(f"{path} is laid out by {told}, not by {self._layout()}")
 
     def _layout(self) -> dict:
         return {"grain": self.grain, "digits": self.digits}
