@@ -59,6 +59,40 @@ def test_decontamination_equals_brute_force(spark, limit):
     assert sorted((r.doc_id for r in clean.collect()), key=str) == sorted((w[0] for w in want if not w[2]), key=str)
 
 
+def test_no_window_carries_its_document_through_a_shuffle(spark):
+    """Without the broadcast a text of w words sends w places and hashes, not w times its words."""
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k l m")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "c d e f g h i j k l"), (2, "x y")], "item_id long, text string")
+    seen, stage = [], decontam.stage
+
+    def planned(df):
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        seen.append(df._jdf.queryExecution().explainString(mode))
+        return stage(df)
+
+    decontam.stage, limit = planned, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = decontam.mark(docs, bench, broadcast_bytes=-1).collect()
+    finally:
+        decontam.stage = stage
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert [(r.n_hit, r["items"]) for r in got] == [(10, ["1"])]
+    dealt = re.findall(r"Exchange\nInput \[\d+\]: \[([^\]]*)\]\nArguments: hashpartitioning\(hash#", seen[-1])
+    names = [[c.split("#")[0].strip() for c in x.split(",")] for x in dealt]
+    assert ["doc_id", "text_hash", "at", "n_words", "hash"] in names and not any("ws" in n for n in names)
+
+
+@pytest.mark.parametrize("limit", [decontam.BROADCAST_BYTES, -1])
+def test_equal_hashes_of_other_words_are_no_hit(spark, monkeypatch, limit):
+    """All windows share one hash: the words alone decide."""
+    monkeypatch.setattr(decontam, "window_hash", lambda ws, at, n: F.lit(7).cast("long") + F.size(ws) * 0)
+    docs = spark.createDataFrame([(1, "a b c"), (2, "b c d"), (2, "b c d"), (None, "q a b c q"), (3, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "a b c"), (2, "x y z")], "item_id long, text string")
+    got = {r.doc_id: (r.copies, r.n_hit, r["items"]) for r in decontam.mark(docs, bench, broadcast_bytes=limit).collect()}
+    assert got == {1: (1, 3, ["1"]), 2: (2, 0, []), None: (1, 3, ["1"]), 3: (1, 0, [])}
+
+
 def test_decontamination_of_empty_tables(spark):
     d = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     b = spark.createDataFrame([], "item_id long, text string")

@@ -4,9 +4,10 @@ Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-c
 consecutive words of an item; an item with fewer words, but not none, is one window. Every document position
 is hashed for each window length that occurs; hashes meet the benchmark's, the words confirm the hit.
 
-The benchmark's distinct windows are broadcast only when their measured size is below ``broadcast_bytes``;
-beyond it the same plan shuffles both sides on the window hash and adaptive execution splits hot windows.
-Hits are aggregated per document; a document's row is carried by one sentinel, so texts are read once.
+The benchmark's distinct windows are broadcast only when their measured size is below ``broadcast_bytes``. Beyond
+it both sides are shuffled on the window hash, where adaptive execution splits hot windows: of a document's window its
+place and hash go, not its words, so that the shuffle is linear in the text; the words of the documents where
+hashes have met are read again, once, to confirm. A document's row is carried by one sentinel.
 
 Defined results: a NULL or wordless text has no words and no hits; rows that repeat one (id, text) pair each
 get the same result; an empty benchmark hits nothing; an empty table gives no rows; NULL items are ignored;
@@ -46,6 +47,24 @@ def benchmark_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
     return g.select(hashes.alias("hash"), F.size("gram").alias("len"), "gram", "items")
 
 
+def same_words(ws: Column, at: Column, length: Column, gram: Column) -> Column:
+    return F.slice(ws, at + 1, length) == gram
+
+
+def confirm(per_doc: DataFrame, rows: DataFrame) -> DataFrame:
+    """``per_doc`` with those of its ``found`` places only whose words are the gram's, not merely their hash.
+
+    The texts of documents with places are read again, one copy of each; all places of a text are judged in one row.
+    """
+    hit = per_doc.where(F.size("found") > 0).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "found")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    again = rows.join(hit, same).groupBy("_id", "_hash").agg(F.first(F.struct("text", "found")).alias("b"))
+    sure = again.select("_id", "_hash", words(F.col("b.text")).alias("ws"), "b.found").select("_id", "_hash", F.filter(
+        "found", lambda m: same_words(F.col("ws"), m["at"], m["len"], m["gram"])).alias("sure"))
+    out = per_doc.join(sure, same, "left").drop("_id", "_hash")
+    return out.withColumn("found", F.coalesce("sure", F.filter("found", lambda m: F.lit(False)))).drop("sure")
+
+
 def mark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N,
          broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row per distinct (id, text): ``doc_id, text_hash, copies, n_words, n_hit, items, hit_at, hit_len``.
@@ -56,28 +75,34 @@ def mark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     lengths = sorted(r[0] for r in grams.select("len").distinct().collect())  # at most n values
     weight = grams.agg(F.sum(F.octet_length(F.concat_ws(" ", "gram")) + 16 * F.size("gram")
                              + 32 * F.size("items") + 64)).first()[0] or 0
-    if weight <= broadcast_bytes:
-        grams = F.broadcast(grams)
-    d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
-                    words(F.col(text_col)).alias("ws"))
+    small = weight <= broadcast_bytes
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    d = rows.select("doc_id", "text_hash", words(F.col("text")).alias("ws"))
     # Place -1 is the row that carries the document. Hashes are taken after the explode, inside generated code.
     last = F.greatest(F.lit(-1), F.size("ws") - min(lengths, default=1))
     d = d.select("doc_id", "text_hash", "ws", F.explode(F.sequence(F.lit(-1), last)).alias("at"))
     of_length = [window_hash(F.col("ws"), F.col("at"), k) for k in lengths]
     carrier = F.when(F.col("at") < 0, F.xxhash64("doc_id", "text_hash"))
     if len(lengths) == 1:
-        d = d.withColumn("hash", F.coalesce(carrier, of_length[0]))
+        hashes = F.coalesce(carrier, of_length[0])
     else:  # a window that runs over the text's end holds NULL words; its gram differs from all
-        d = d.withColumn("hash", F.explode(F.when(F.col("at") < 0, F.array(carrier)).otherwise(
-            F.array(*of_length) if lengths else F.array().cast("array<long>"))))
-    j = d.join(grams, "hash", "left")
-    hit = (F.col("at") >= 0) & F.col("len").isNotNull() & (F.slice("ws", F.col("at") + 1, F.col("len")) == F.col("gram"))
-    j = j.where((F.col("at") == -1) | hit)
-    found = j.select("doc_id", "text_hash", "at", F.when(F.col("at") == -1, F.size("ws")).alias("n_words"),
-                     F.when(hit, F.struct("at", "len")).alias("run"), F.when(hit, F.col("items")).alias("items"))
-    per_doc = found.groupBy("doc_id", "text_hash").agg(
-        F.count("n_words").alias("copies"), F.max("n_words").alias("n_words"),
-        F.array_sort(F.collect_set("run")).alias("runs"), F.collect_set("items").alias("sets"))
+        hashes = F.explode(F.when(F.col("at") < 0, F.array(carrier)).otherwise(
+            F.array(*of_length) if lengths else F.array().cast("array<long>")))
+    n_words = F.when(F.col("at") < 0, F.size("ws")).alias("n_words")
+    # Only beside a broadcast table do the words stay in a window's row; what is shuffled is a place and a hash.
+    d = d.select("doc_id", "text_hash", "at", n_words, *(["ws"] if small else []), hashes.alias("hash"))
+    j = d.join(F.broadcast(grams) if small else grams, "hash", "left")
+    met = (F.col("at") >= 0) & F.col("len").isNotNull()
+    if small:
+        met = met & same_words(F.col("ws"), F.col("at"), F.col("len"), F.col("gram"))
+    found = F.struct("at", "len", "items", *([] if small else ["gram"]))
+    per_doc = j.where((F.col("at") == -1) | met).groupBy("doc_id", "text_hash").agg(
+        F.count("n_words").alias("copies"), F.max("n_words").alias("n_words"), F.collect_set(F.when(met, found)).alias("found"))
+    if not small:
+        per_doc = confirm(stage(per_doc), rows)
+    runs = F.transform("found", lambda m: F.struct(m["at"].alias("at"), m["len"].alias("len")))
+    per_doc = per_doc.select("doc_id", "text_hash", "copies", "n_words", F.array_sort(F.array_distinct(runs)).alias("runs"),
+                             F.col("found.items").alias("sets"))
     covered = F.aggregate("runs", F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), lambda acc, r: F.struct(
         F.greatest(acc["end"], r["at"] + r["len"]).alias("end"),
         (acc["n"] + F.greatest(F.lit(0), r["at"] + r["len"] - F.greatest(acc["end"], r["at"]))).alias("n")))
