@@ -1,6 +1,7 @@
 """Token files, counts by section and BPE against the tokenizer libraries, with the odd rows."""
 
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -121,6 +122,44 @@ def test_sections_against_offsets(spark, rule):
         assert sum(r.n_tokens for r in secs) == len(e.ids)
 
 
+def brute_sections(tokenizer, values, rule):
+    """(field, section, start, chars, tokens, crossing) of each line, from the tokenizer's own character offsets."""
+    names, text, ends = [], "", []
+    for f, value in enumerate(values):
+        lines = re.findall(r"[^\n]*\n|[^\n]+", value) or [""]
+        lines[-1] += "\n" if f < len(values) - 1 else ""
+        for k, line in enumerate(lines):
+            names.append((f, k, len(text), len(line)))
+            text += line
+            ends.append(len(text))
+    counts, crossing = [0] * len(names), [0] * len(names)
+    for a, b in tokenizer.encode(text, add_special_tokens=False).offsets:
+        section_of = [next(k for k, e in enumerate(ends) if c < e) for c in range(a, b)]
+        met = sorted(set(section_of))
+        weight = {k: sum(len(text[c].encode()) for c, own in zip(range(a, b), section_of) if own == k) for k in met}
+        chosen = {"first": met[0], "last": met[-1], "most": min(met, key=lambda k: (-weight[k], k))}[rule]
+        counts[chosen] += 1
+        if len(met) > 1:
+            for k in range(met[0], met[-1] + 1):
+                crossing[k] += 1
+    return sorted((*n, c, x) for n, c, x in zip(names, counts, crossing))
+
+
+@pytest.mark.parametrize("rule", attribution.RULES)
+def test_each_section_against_the_tokenizers_offsets(spark, rule):
+    rng, t = random.Random(12), Tokenizer.from_file(VOCAB)
+    some = lambda: "".join(rng.choices(["\n", "\n\n", " ", "  ", "a", "word", "é", "日本", "😀", ".", "\t", "}\n", "\r\n"], k=rng.randrange(25)))
+    rows = [(k, some(), some()) for k in range(150)]
+    rows += [(200, None, None), (201, "", "\n\n\n"), (202, "\n", ""), (None, "x\n", "y"), (203, "a\n\n\n\nb\n\n", "\n\nc")]
+    df = spark.createDataFrame(rows, "doc_id long, title string, text string").repartition(3)
+    got = {}
+    for r in attribution.section_tokens(df, VOCAB, fields=("title", "text"), rule=rule).collect():
+        got.setdefault(r.doc_id, []).append((int(r.field == "text"), r.section, r.start_char, r.n_chars, r.n_tokens, r.n_crossing))
+    want = {i: brute_sections(t, [a or "", b or ""], rule) for i, a, b in rows}
+    assert {i: sorted(v) for i, v in got.items()} == want
+    assert sum(x[5] > 0 for v in want.values() for x in v) > 50  # tokens do cross lines here
+
+
 def test_allocation_rules():
     bounds = np.array([3, 5, 9])
     start, end = np.array([0, 2, 2, 4, 8]), np.array([2, 4, 9, 9, 9])
