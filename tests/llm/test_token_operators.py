@@ -41,6 +41,40 @@ def test_safe_characters_split_alike():
                 assert spans == [x[1] for x in split(s)]
 
 
+def test_pattern_splits_all_assigned_characters_as_the_library():
+    split = Tokenizer.from_file(VOCAB).pre_tokenizer.pre_tokenize_str
+    some = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and tokens.UNSAFE.match(chr(c))]
+    clear = [c for c in some if not tokens.doubtful(c)]
+    assert len(clear) > 100_000  # emoji, ideographs of all planes, private use, historic scripts
+    for c in clear:
+        if 0xE000 <= ord(c) < 0xF900 or ord(c) >= 0xF0000:
+            if ord(c) % 97:  # private use
+                continue
+        s = f"a{c}1{c} {c}.{c}{c} {c}"
+        assert tokens.pieces(s) == [s[i:j] for _, (i, j) in split(s)], hex(ord(c))
+
+
+def test_unusual_characters_take_the_distinct_words(spark):
+    import tiktoken
+
+    rng = random.Random(4)
+    odd = "🙂🚀™②½ঝ𠮷\u0378\U0003d001\u0558 \n\t\x1c\u3000ab1.'"
+    texts = [f"{rng.choice('🙂™𠮷')} said the text number {k}: {''.join(rng.choices(odd, k=40))}" for k in range(300)]
+    whole = [p for t in texts for p in tokens.pieces(t)]
+    assert all("".join(tokens.pieces(t)) == t for t in texts) and len(set(whole)) < len(whole) / 2
+    assert all(regex.fullmatch(r"\s*\S*", p) for p in whole)  # no text goes whole
+    enc, t = tokens.PieceEncoder(VOCAB), Tokenizer.from_file(VOCAB)
+    mixed = [*texts, "🙂<|endoftext|> x<|endoftext|>", "<|endoftext|>"]
+    ids, counts = enc.encode(mixed)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [
+        t.encode(x, add_special_tokens=False).ids for x in mixed]
+    lib = tiktoken.Encoding("r", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (bytes(r.ids), bytes(r.decoded)) for r in
+           bpe.decode(bpe.encode(df, RANKS, block_bytes=2_000), RANKS).collect()}
+    assert got == {k: (np.array(lib.encode_ordinary(x), "<u4").tobytes(), x.encode()) for k, x in enumerate(texts)}
+
+
 def test_encoder_equals_the_library():
     enc, t = tokens.PieceEncoder(VOCAB, cache_pieces=10), Tokenizer.from_file(VOCAB)
     texts = [x or "" for x in TEXTS]

@@ -10,8 +10,8 @@ second use reuses the exchange).
 Decoding joins ids with the token-byte table, a broadcast of the vocabulary's fixed size.
 
 Defined results: a NULL text is empty (no ids, no bytes); NULL ids and repeated rows are kept; equal texts get
-equal ids; an empty table gives no rows; other columns are ignored by ``encode``. A text with characters on
-which pattern libraries may differ is one piece, split and merged by the tokenizer library itself.
+equal ids; an empty table gives no rows; other columns are ignored by ``encode``. A stretch of visible characters
+with one that Unicode has not assigned is one piece, split and merged by the tokenizer library itself.
 """
 
 from __future__ import annotations

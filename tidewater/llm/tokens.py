@@ -2,16 +2,22 @@
 
 A byte-level BPE tokenizer splits a text by a fixed pattern and merges inside each piece only, so a piece
 encodes the same alone and in its text. Pieces are looked up in a bounded cache (emptied when full; results do
-not depend on it), new ones go to the tokenizer's merge model. Texts with characters outside ``SAFE`` (where
-the Unicode tables of pattern libraries may differ) or with a special string go to the tokenizer whole.
+not depend on it), new ones go to the tokenizer's merge model. Texts of ``SAFE`` characters are split by the
+standard library, all others by the tokenizers' own pattern. Pattern libraries differ only on characters that
+Unicode has not assigned, or not long ago; since no piece goes on from a visible character to white space, a
+text with such characters is cut there, and only the stretches that hold them go to the tokenizer as they are.
+A special string is a piece of its own.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
+import unicodedata
 
 import numpy as np
+import regex
 
 #: The split pattern of the tokenizer files for texts of SAFE characters, in terms of the standard library.
 PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
@@ -22,9 +28,34 @@ UNSAFE = re.compile(f"[^{SAFE}]")
 CACHE_PIECES = 700_000
 
 
+#: White space with the visible characters after it: every piece lies in one stretch.
+STRETCH = regex.compile(r"\s*\S+|\s+")
+
+
+@functools.cache
+def exact_pattern():
+    """The split pattern of the tokenizer files."""
+    import public_tokenizers
+
+    return regex.compile(public_tokenizers.PATTERN)
+
+
+def doubtful(text: str) -> bool:
+    """Does the text hold characters on which pattern libraries differ?"""
+    return bool(UNSAFE.search(text)) and any(unicodedata.category(c) == "Cn" for c in set(text))
+
+
 def pieces(text: str) -> list[str]:
-    """The pieces that encode independently; a text with unsafe characters is one piece."""
-    return [text] if UNSAFE.search(text) else PIECE.findall(text)
+    """The pieces that encode independently; a stretch with doubtful characters is one piece."""
+    if not UNSAFE.search(text):
+        return PIECE.findall(text)
+    split = exact_pattern().findall
+    if not doubtful(text):
+        return split(text)
+    found = []
+    for stretch in STRETCH.findall(text):
+        found.extend([stretch] if doubtful(stretch) else split(stretch))
+    return found
 
 
 def byte_names() -> dict[int, str]:
@@ -62,13 +93,23 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
         self.names = byte_names()
         self.cache_pieces = cache_pieces
         self.index: dict[str, int] = {}
         self.pool = Pool()
 
+    def _pieces(self, text: str) -> list[str]:
+        found, at = [], 0
+        for m in self.special.finditer(text):
+            found += [*pieces(text[at:m.start()]), m.group()]
+            at = m.end()
+        return found + pieces(text[at:]) if at else pieces(text)
+
     def _merge(self, piece: str) -> list[int]:
+        if doubtful(piece) or self.special.fullmatch(piece):
+            return self.tokenizer.encode(piece, add_special_tokens=False).ids
         return [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.names))]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -76,26 +117,16 @@ class PieceEncoder:
         if len(self.index) > self.cache_pieces:
             self.index, self.pool = {}, Pool()
         index, known = self.index, len(self.index)
-        codes, sizes, whole = [], [], {}
-        for k, text in enumerate(texts):
-            if UNSAFE.search(text) or any(s in text for s in self.special):
-                whole[k] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-                sizes.append(0)
-                continue
-            found = PIECE.findall(text)
+        codes, sizes = [], []
+        for text in texts:
+            found = self._pieces(text)
             for p in set(found).difference(index):
                 index[p] = len(index)
             codes.extend(map(index.__getitem__, found))
             sizes.append(len(found))
         if len(index) > known:
             self.pool.add([self._merge(p) for p in itertools.islice(index, known, None)])
-        ids, counts = self.pool.take(np.array(codes, np.int64), np.array(sizes, np.int64))
-        if whole:
-            runs = np.split(ids, np.cumsum(counts)[:-1])
-            for k, v in whole.items():
-                runs[k], counts[k] = v, len(v)
-            ids = np.concatenate(runs)
-        return ids, counts
+        return self.pool.take(np.array(codes, np.int64), np.array(sizes, np.int64))
 
 
 _encoders: dict[str, PieceEncoder] = {}
