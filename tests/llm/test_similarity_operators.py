@@ -219,7 +219,7 @@ def brute_cut(docs, length):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("hot", [suffixes.HOT_CONTEXTS, 1])
+@pytest.mark.parametrize("hot", [suffixes.BUCKET_CONTEXTS, 1, 4])
 def test_suffix_dedup_equals_brute_force(spark, monkeypatch, hot):
     monkeypatch.setattr(suffixes, "PIECE", 700)
     rng = random.Random(12)
@@ -233,9 +233,9 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, hot):
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6).withColumns(
         {c: F.lit("q") for c in ("h", "c", "d", "t", "rest", "kept", "lo")})
     want = brute_cut([(d, (t or "").encode()) for d, t in docs], 200)
-    got = suffixes.cut_repeats(df, hot_contexts=hot).collect()
+    got = suffixes.cut_repeats(df, bucket_contexts=hot).collect()
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got), key=str) == want
-    if hot > 1:
+    if hot == suffixes.BUCKET_CONTEXTS:
         left = suffixes.remove(df)
         assert left.columns == df.columns and left.first().h == "q"
         texts = sorted(((r.doc_id, r.text or "") for r in left.collect()), key=str)
@@ -243,6 +243,47 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, hot):
         assert suffixes.cut_repeats(df.limit(0)).count() == 0
 
 
+def test_passage_in_all_texts_is_dealt_to_small_buckets(spark, monkeypatch):
+    """A passage with other surroundings everywhere: every bucket that is sorted stays small, results are exact."""
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    shared = {n: word(n) for n in (150, 205, 230)}
+    docs = [(k, word(150) + shared[n] + word(150)) for k, n in enumerate(rng.choices(list(shared), k=240))]
+    docs += [(1000 + k, word(149) + docs[0][1][150 - k:]) for k in range(20)]  # shares k more bytes before the passage
+    sort = suffixes._sort_pack
+
+    def watched(pack, length):
+        h = pack.column("h").to_numpy()
+        most = int(np.unique(h, return_counts=True)[1].max()) if len(h) else 0
+        out = sort(pack, length)
+        assert most <= 30 or bool((pack.column("n").to_numpy() == 1).all())
+        return out
+
+    monkeypatch.setattr(suffixes, "_sort_pack", watched)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = suffixes.cut_repeats(df, bucket_contexts=30).collect()
+    want = brute_cut([(d, t.encode()) for d, t in docs], 200)
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got), key=str) == want
+    assert sum(w[2] > 0 for w in want) > 100
+
+
+def test_rows_repeated_in_bulk_bring_their_contexts_once(spark, monkeypatch):
+    rng = random.Random(8)
+    base = "".join(rng.choices("abcdefgh ", k=420))
+    sort = suffixes._sort_pack
+
+    def watched(pack, length):
+        assert pack.num_rows < 200 and pack.nbytes < 1 << 20
+        return sort(pack, length)
+
+    monkeypatch.setattr(suffixes, "_sort_pack", watched)
+    bulk = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(base).alias("text"))
+    other = spark.createDataFrame([(1, "x" + base[:300] + "y"), (2, base[100:] + "zz")], "doc_id long, text string")
+    got = suffixes.cut_repeats(bulk.unionByName(other)).groupBy("doc_id", "n_removed", "n_spans", F.length("kept")).count()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(None, 420, 1, 0, 100_000), (1, 300, 1, 2, 1), (2, 320, 1, 2, 1)], key=str)
+
+
 def test_order_by_the_difference_cover():
     rng = np.random.default_rng(5)
     assert {(a - b) % suffixes.V for a in suffixes.COVER for b in suffixes.COVER} == set(range(suffixes.V))

@@ -6,13 +6,16 @@ string of least hash (the rightmost of equals), so equal windows have equal anch
 of one anchor occurrence are consecutive; together they are its context, a run of bytes.
 
 1. Anchors are counted by partial aggregates. An anchor that occurs once repeats nothing. If all contexts of an
-   anchor are one string, all their windows repeat. No text moves for either.
+   anchor are one string, all their windows repeat. No text moves for either. That two whole contexts are one string
+   is judged by two 64-bit hashes, of the anchor and of the context with the anchor's place; nothing else is.
 2. Only distinct contexts of the remaining anchors are sorted, a pack of buckets at a time. ``repeats`` builds the order of
    a block's window suffixes by a difference cover modulo ``V``: the ranks of the cover sample come first, by
    doubling; windows are sorted by their first ``V`` bytes; longer ties are resolved by the sample ranks at the shift
    where both positions lie in the cover. Neighbours in that order are compared byte by byte.
-3. An anchor with more than ``HOT_CONTEXTS`` distinct contexts (a passage in a large share of all texts, at its
-   edges) is not gathered: its windows are counted by their hashes with partial aggregates instead.
+3. A bucket of more than ``BUCKET_CONTEXTS`` distinct contexts (a passage in a large share of all texts) is dealt on by
+   a longer key: windows with the anchor at nearly one place share nearly all of their bytes, so the bytes that
+   ``block`` neighbouring windows have in common (``length - block + 1``, for ever smaller blocks of ``FINER``) divide it.
+   Equal windows stay together; every bucket goes through the same sort. In the last one all windows are one string.
 
 Memory is bounded by the pack, whatever the corpus. Texts are shuffled once by document, for contexts and cuts.
 
@@ -36,7 +39,8 @@ from tidewater.llm.tokens import give_back, runs, text_runs
 LENGTH, GRAM = 200, 64
 PIECE = 1 << 20  # bytes of windows that are hashed at once
 V, COVER = 13, (0, 1, 3, 9)  # every difference modulo 13 is one of two members of the cover
-BLOCK_WINDOWS, PACK_BYTES, HOT_CONTEXTS = 250_000, 4 << 20, 20_000
+BLOCK_WINDOWS, PACK_BYTES, BUCKET_CONTEXTS = 250_000, 4 << 20, 2_000
+FINER = (32, 8, 1)  # windows that share a key, level by level
 NO_ID = -(1 << 63)
 
 
@@ -178,7 +182,7 @@ def repeats(text: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
 def _contexts(batches, length: int):
     """Context bytes that a document was asked for."""
     kinds = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("copies", pa.int64()), ("n", pa.int32()),
-                       ("hot", pa.bool_()), ("bytes", pa.binary())])
+                       ("place", pa.int32()), ("hot", pa.bool_()), ("bytes", pa.binary())])
     made = lambda got: pa.RecordBatch.from_pylist([dict(zip(kinds.names, x, strict=True)) for x in got], kinds)
     for b in batches:
         got, held = [], 0
@@ -186,7 +190,8 @@ def _contexts(batches, length: int):
         for k, wanted in enumerate(b.column("wanted")):
             text = (texts[k].as_py() or "").encode()
             for w in wanted.as_py():
-                got.append((w["h"], w["c"], w["copies"], w["n"], w["hot"], text[w["lo"]:w["lo"] + w["n"] + length - 1]))
+                got.append((w["h"], w["c"], w["copies"], w["n"], w["place"], w["hot"],
+                            text[w["lo"]:w["lo"] + w["n"] + length - 1]))
                 held += w["n"] + length
             if held > 4 << 20:
                 yield made(got)
@@ -204,8 +209,7 @@ def _stretches(flags: np.ndarray) -> list[dict]:
 def _sort_pack(pack: pa.Table, length: int) -> pa.Table:
     """Stretches of repeated windows in each context of a pack, one block of buckets at a time."""
     h, c = pack.column("h").to_numpy(), pack.column("c").to_numpy()
-    order, parts = spans(h, c)
-    order = order[[i for i, _ in parts]] if parts else order  # a document that is a repeated row brings contexts again
+    order = spans(h, c)[0]
     count, copies = pack.column("n").to_numpy(), pack.column("copies").to_numpy()
     texts = pack.column("bytes")
     bucket = np.flatnonzero(np.concatenate([[True], np.diff(h[order]) != 0])) if len(order) else order
@@ -227,20 +231,66 @@ def _sort_pack(pack: pa.Table, length: int) -> pa.Table:
     return pa.table({"h": pa.array(h[order]), "c": pa.array(c[order]), "found": pa.array(found, kind)})
 
 
-def _window_hashes(batches, length: int):
-    """(h, c, at, hash) of each window of hot contexts."""
+def _finer(batches, block: int, length: int):
+    """Contexts of large buckets cut where the anchor's place in the window passes a multiple of ``block``.
+
+    ``h`` is the hash of the bytes that all windows of such a stretch share, whatever lies around them.
+    """
     for b in batches:
-        for k in range(b.num_rows):
-            n, text = b.column("n")[k].as_py(), np.frombuffer(b.column("bytes")[k].as_buffer(), np.uint8)
-            at = np.arange(n)
-            hashes = span_hash(prefix_hash(text), at, at + length).view(np.int64)
+        n_all, place_all = (b.column(x).to_numpy().astype(np.int64) for x in ("n", "place"))
+        pieces = place_all // block - (place_all - n_all + 1) // block + 1
+        for i, j in runs((pieces * (length + block)).tolist()):
+            n, place, raw = n_all[i:j], place_all[i:j], b"".join(b.column("bytes").slice(i, j - i).to_pylist())
+            base = np.cumsum(n + length - 1) - (n + length - 1)
+            who = np.repeat(np.arange(j - i), pieces[i:j])
+            k = np.arange(len(who)) - np.repeat(np.cumsum(pieces[i:j]) - pieces[i:j], pieces[i:j])
+            k += ((place - n + 1) // block)[who]
+            near, far = place[who] - k * block, place[who] - k * block - block + 1  # starts of the block's windows
+            lo, hi = np.maximum(far, 0), np.minimum(near, n[who] - 1)
+            prefix = prefix_hash(np.frombuffer(raw, np.uint8))
+            at = base[who]
+            parent = b.column("h").to_numpy()[i:j][who].view(np.uint64)
+            h = mix(span_hash(prefix, at + near, at + far + length) + mix(parent + k.astype(np.uint64)))
+            around = (place[who] - lo).astype(np.uint64) << np.uint64(32) | (hi - lo).astype(np.uint64)
+            c = mix(span_hash(prefix, at + lo, at + hi + length) + mix(around))
+            take = pa.array(who + i)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, b.column("h")[k].as_py())), pa.array(np.full(n, b.column("c")[k].as_py())),
-                 pa.array(np.full(n, b.column("copies")[k].as_py(), np.int64)), pa.array(at), pa.array(hashes)],
-                ["h", "c", "copies", "at", "hash"])
-
-
-def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
+                [b.column("h").take(take), b.column("c").take(take), pa.array(lo), pa.array(h.view(np.int64)),
+                 pa.array(c.view(np.int64)), b.column("copies").take(take), pa.array((hi - lo + 1).astype(np.int32)),
+                 pa.array((place[who] - lo).astype(np.int32)),
+                 pa.array([raw[x:y] for x, y in zip((at + lo).tolist(), (at + hi + length).tolist(), strict=True)],
+                          pa.binary())],
+                ["of_h", "of_c", "off", "h", "c", "copies", "n", "place", "bytes"])
+
+
+def _in_order(contexts: DataFrame, n_bytes: int, large: bool, length: int, most: int, blocks: tuple) -> DataFrame:
+    """``h, c, found``: stretches of repeated windows in each context (distinct by ``h, c``); ``large``: are some ``hot``?"""
+    contexts = stage(contexts) if large else contexts
+    packs = parts_for(n_bytes, PACK_BYTES)
+    pack = contexts.where("NOT hot").withColumn("pack", F.pmod(F.xxhash64("h"), F.lit(packs)))
+    found = pack.groupBy("pack").applyInArrow(lambda t: _sort_pack(t, length),
+                                              "h long, c long, found array<struct<lo:long,hi:long>>")
+    if not large:
+        return found
+    block = blocks[0]
+    cut = stage(contexts.where("hot").mapInArrow(
+        lambda b: _finer(b, block, length),
+        "of_h long, of_c long, off long, h long, c long, copies long, n int, place int, bytes binary"))
+    distinct = stage(cut.groupBy("h", "c").agg(F.sum("copies").alias("copies"), F.first("n").alias("n"),
+                                               F.first("place").alias("place"), F.first("bytes").alias("bytes")))
+    # A bucket of one context that occurs once repeats nothing. Written, so that a large bucket can be split.
+    sizes = stage(distinct.groupBy("h").agg(F.count("*").alias("contexts"), F.sum("copies").alias("times")).where("times > 1")
+                  .select("h", (F.lit(len(blocks) > 1) & (F.col("contexts") > most)).alias("hot")))
+    size = distinct.join(sizes, "h").agg(F.sum(F.octet_length("bytes")).cast("long")).first()[0] or 0
+    finer = _in_order(distinct.join(sizes, "h"), size, bool(sizes.where("hot").limit(1).count()), length, most, blocks[1:])
+    back = finer.join(cut.select("of_h", "of_c", "off", "h", "c"), ["h", "c"]).select(
+        F.col("of_h").alias("h"), F.col("of_c").alias("c"),
+        F.expr("transform(found, f -> named_struct('lo', f.lo + off, 'hi', f.hi + off))").alias("found"))
+    return found.unionByName(back)
+
+
+def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
+                  bucket_contexts: int = BUCKET_CONTEXTS) -> DataFrame:
     """(d, t, lo, hi): byte runs of each text that repeated strings cover; they may overlap. ``docs`` has d, t, text."""
     bound_batches(docs.sparkSession)
     found = docs.select("d", "t", "text").mapInArrow(
@@ -252,26 +302,18 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_c
     same = marked.where("NOT mixed").select("d", "t", "lo", (F.col("lo") + F.col("n") + (length - 1)).alias("hi"))
 
     mixed = marked.where("mixed")
-    distinct = mixed.groupBy("h", "c").agg(F.count("*").alias("copies"), F.min(F.struct("d", "t", "lo", "n")).alias("at"))
+    distinct = mixed.groupBy("h", "c").agg(F.count("*").alias("copies"),
+                                           F.min(F.struct("d", "t", "lo", "n", "place")).alias("at"))
     distinct = stage(distinct)
-    hot = distinct.groupBy("h").count().where(F.col("count") > hot_contexts).select("h", F.lit(True).alias("hot"))
+    hot = stage(distinct.groupBy("h").count().where(F.col("count") > bucket_contexts).select("h", F.lit(True).alias("hot")))
     wanted = distinct.join(hot, "h", "left").groupBy(F.col("at.d").alias("d"), F.col("at.t").alias("t")).agg(
         F.collect_list(F.struct("h", "c", "copies", F.col("at.lo").alias("lo"), F.col("at.n").alias("n"),
-                                F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted"))
-    contexts = docs.join(wanted, ["d", "t"]).mapInArrow(
-        lambda b: _contexts(b, length), "h long, c long, copies long, n int, hot boolean, bytes binary")
+                                F.col("at.place").alias("place"), F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted"))
+    once = docs.groupBy("d", "t").agg(F.first("text").alias("text"))  # a row that repeats brings its contexts once
+    contexts = once.join(wanted, ["d", "t"]).mapInArrow(
+        lambda b: _contexts(b, length), "h long, c long, copies long, n int, place int, hot boolean, bytes binary")
     weight = distinct.agg(F.sum(F.col("at.n") + F.lit(length)).cast("long")).first()[0] or 0
-    packs = parts_for(weight, PACK_BYTES)
-    stretches = "array<struct<lo:long,hi:long>>"
-    cold = contexts.where("NOT hot").withColumn("pack", F.pmod(F.xxhash64("h"), F.lit(packs)))
-    sorted_ = cold.groupBy("pack").applyInArrow(lambda t: _sort_pack(t, length), f"h long, c long, found {stretches}")
-    if hot.limit(1).count():
-        w = contexts.where("hot").dropDuplicates(["h", "c"]).mapInArrow(
-            lambda b: _window_hashes(b, length), "h long, c long, copies long, at long, hash long")
-        times = w.groupBy("h", "hash").agg(F.count("*").alias("times"), F.max("copies").alias("most"))
-        w = w.join(times, ["h", "hash"]).where("times > 1 OR most > 1")
-        sorted_ = sorted_.unionByName(w.groupBy("h", "c").agg(F.collect_set(
-            F.struct(F.col("at").alias("lo"), (F.col("at") + 1).alias("hi"))).alias("found")))
+    sorted_ = _in_order(contexts, weight, bool(hot.limit(1).count()), length, bucket_contexts, FINER)
     part = mixed.join(sorted_, ["h", "c"]).select("d", "t", "lo", F.explode("found").alias("f"))
     part = part.select("d", "t", (F.col("lo") + F.col("f.lo")).alias("lo"),
                        (F.col("lo") + F.col("f.hi") + (length - 1)).alias("hi"))
@@ -315,7 +357,7 @@ def _cut(batches, whole: bool):
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                hot_contexts: int = HOT_CONTEXTS, carry: tuple = (), whole: bool = False) -> DataFrame:
+                bucket_contexts: int = BUCKET_CONTEXTS, carry: tuple = (), whole: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, rest`` (struct of the ``carry`` columns), counts and ``kept`` (bytes).
 
     ``whole`` also drops bytes of ``kept`` that a cut has left of a split character.
@@ -323,7 +365,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("d"),
                     F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"),
                     F.struct(F.col(text_col).isNull().alias("was_null"), *[F.col(c) for c in carry]).alias("rest"))
-    found = repeated_runs(d, length, hot_contexts=hot_contexts)
+    found = repeated_runs(d, length, bucket_contexts=bucket_contexts)
     cuts = found.groupBy("d", "t").agg(F.collect_set(F.struct("lo", "hi")).alias("cuts"))
     rest = d.schema["rest"].dataType.simpleString()
     return d.join(cuts, ["d", "t"], "left").mapInArrow(
