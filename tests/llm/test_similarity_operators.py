@@ -95,6 +95,21 @@ def test_hot_group_of_copies_is_one_class(spark):
     assert {(r.n_links, r.component_id) for r in rows if r.doc_id < 500} == {(499, 0)}
 
 
+def test_rows_repeated_in_bulk_bring_their_text_once(spark, monkeypatch):
+    words = [f"w{k}" for k in range(60)]
+    verify = jaccard._verify
+
+    def watched(pack, threshold, n):
+        assert pack.num_rows <= 2
+        return verify(pack, threshold, n)
+
+    monkeypatch.setattr(jaccard, "_verify", watched)
+    bulk = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(" ".join(words)).alias("text"))
+    other = spark.createDataFrame([(1, " ".join(words[1:]))], "doc_id long, text string")
+    got = jaccard.link(bulk.unionByName(other)).select("doc_id", "n_links", "component_id", "repeats").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, 100_000, 1, 100_000), (1, 100_000, 1, 1)], key=str)
+
+
 def test_bands_meet_the_recall():
     for threshold in (0.5, 0.8, 0.9):
         bands = jaccard.plan_bands(threshold, 1 - 1e-6)
@@ -206,6 +221,24 @@ def test_estimates_are_unbiased_and_bounded():
     assert outside == 0
 
 
+@pytest.mark.parametrize("dim", [2, 3, 5, 16, 64, 300])
+def test_bounds_leave_every_link_open_and_spare_most_pairs(dim):
+    rng = np.random.default_rng(dim)
+    base = rng.standard_normal((60, dim))
+    near = base + rng.uniform(0.05, 0.47, (60, 1)) * rng.standard_normal((60, dim))
+    u = embeddings.unit(np.concatenate([base, near, rng.standard_normal((200, dim))]))
+    code = embeddings.unpack_code(embeddings.pack_code(*embeddings.codes(u, rng)), dim)
+    open_ = embeddings.upper(*code) >= 0.9
+    exact = u @ u.T >= 0.9
+    np.fill_diagonal(open_, False), np.fill_diagonal(exact, False)
+    assert not (exact & ~open_).any() and exact.any()
+    assert (embeddings.confirmed(open_, u, 0.9) == exact).all()
+    i, j = np.nonzero(np.triu(open_))
+    assert (embeddings.bounds(*code, i, j)[1] >= 0.9 - 1e-5).all()
+    if dim >= 64:
+        assert open_.sum() < 0.05 * open_.size
+
+
 def brute_cut(docs, length):
     times = Counter(b[i:i + length] for _, b in docs for i in range(len(b) - length + 1))
     out = []

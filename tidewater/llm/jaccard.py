@@ -126,7 +126,7 @@ def _verify(pack: pa.Table, threshold: float, n: int) -> pa.Table:
     block, copies = pack.column("block").to_numpy(), pack.column("copies").to_numpy()
     nodes, counts, others = [], [], []
     for i, j in parts:
-        rows = {cls[k]: k for k in order[i:j].tolist()}  # a repeated row brings its class once
+        rows = {cls[k]: k for k in order[i:j].tolist()}
         at = np.array(list(rows.values()))
         linked = links_of([(texts[k].as_py() or "").encode() for k in at.tolist()], threshold, n)
         linked = across(linked, block[at], lo[at[0]], hi[at[0]])
@@ -163,10 +163,13 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
         F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
     groups = components(edges)
     dealt = tiles(groups.select(F.col("component").alias("group"), "node"), BLOCK_ROWS, PACK_ROWS)
-    reps = classes.select(F.col("cls").alias("node"), "copies", F.col("rep.doc_id").alias("doc_id"),
-                          F.col("rep.text_hash").alias("text_hash"))
-    wanted = dealt.join(reps, "node")
-    met = wanted.join(d, wanted["text_hash"].eqNullSafe(d["text_hash"]) & wanted["doc_id"].eqNullSafe(d["doc_id"]))
+    # Keys without NULLs, so that one exchange serves the aggregate and the join; a row that repeats comes once.
+    key = lambda i: (F.coalesce(i, F.lit(0)).alias("id0"), i.isNull().alias("no_id"))
+    reps = classes.select(F.col("cls").alias("node"), "copies", F.col("rep.text_hash").alias("text_hash"),
+                          *key(F.col("rep.doc_id")))
+    once = d.select("text_hash", *key(F.col("doc_id")), "text").groupBy("text_hash", "id0", "no_id").agg(
+        F.first("text").alias("text"))
+    met = dealt.join(reps, "node").join(once, ["text_hash", "id0", "no_id"])
     met = met.select("pack", "group", "lo", "hi", "block", "node", "copies", "text")
     found = stage(met.groupBy("pack").applyInArrow(lambda t: _verify(t, threshold, n),
                                                    "node binary, links long, other binary"))
