@@ -151,7 +151,8 @@ def _bags(batches):
             got = [bag(t.encode()) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).slice(lo, hi - lo), pa.array([x[0] for x in got], pa.list_(pa.int32())),
-                 pa.array([x[1] for x in got], pa.list_(pa.float32()))], ["y", "buckets", "shares"])
+                 pa.array([x[1] for x in got], pa.list_(pa.float32())), b.column(2).slice(lo, hi - lo)],
+                ["y", "buckets", "shares", "place"])
 
 
 def _train(batches, totals: tuple[int, int]):
@@ -184,8 +185,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     bound_batches(docs.sparkSession)
     # A repeated id trains once, by its smallest text.
     sample = texts.join(F.broadcast(y), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
-    rows = sample.select("y", "text").mapInArrow(_bags, "y double, buckets array<int>, shares array<float>")
-    model = rows.coalesce(1).mapInArrow(lambda b: _train(b, totals), "scalar binary, bias double").first()
+    # Bags are made where the texts are; only they meet in the training task, in a fixed order.
+    rows = sample.select("y", "text", F.xxhash64("doc_id").alias("place")).mapInArrow(
+        _bags, "y double, buckets array<int>, shares array<float>, place long")
+    rows = rows.repartition(1).sortWithinPartitions("place")
+    model = rows.mapInArrow(lambda b: _train(b, totals), "scalar binary, bias double").first()
     if model is None:  # an empty table has no partition that could train
         return np.zeros(BUCKETS, np.float32), UNTAUGHT
     return np.frombuffer(model["scalar"], np.float32), model["bias"]
