@@ -1,5 +1,6 @@
 """Near-duplicates by n-grams, vectors and byte strings, against brute force, with the odd rows."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -124,6 +125,54 @@ def test_bands_meet_the_recall():
     assert hits == 300
 
 
+def test_sketches_keep_pairs_at_the_threshold_and_drop_weak_ones():
+    need = jaccard.plan_matches(175, 0.8)
+    assert sum(math.comb(175, k) * 0.8 ** k * 0.2 ** (175 - k) for k in range(need)) <= jaccard.MISS
+    assert jaccard.plan_matches(175, 1.0) == 175
+    rng = np.random.default_rng(6)
+    agree = {}
+    for shared, own in ((8, 1), (80, 10), (800, 100), (60, 30)):  # three of similarity 0.8, one of 0.5
+        for _ in range(200):
+            g = rng.integers(0, 1 << 63, shared + 2 * own).astype(np.uint64)
+            sets = [np.sort(g[:shared + own]), np.sort(np.concatenate([g[:shared], g[shared + own:]]))]
+            low = np.zeros((2, 175), np.uint8)
+            jaccard.band_hashes(np.concatenate(sets), np.array([0, shared + own, 2 * (shared + own)]), 35, 5, low)
+            agree.setdefault(shared, []).append(int((low[0] == low[1]).sum()))
+    assert all(min(agree[k]) >= need for k in (8, 80, 800))
+    assert sum(x >= need for x in agree[60]) <= 4
+
+
+def test_reached_rows_are_the_components_of_agreeing_sketches():
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 3, 40):
+        sketch = rng.integers(0, 3, (n, 12)).astype(np.uint8)
+        same = (sketch[:, None, :] == sketch[None, :, :]).sum(2) >= 7
+        assert (jaccard.reached(sketch, 7) == linkage.roots(same)).all()
+
+
+def test_chains_of_weak_candidates_do_not_grow_into_groups(spark, monkeypatch):
+    """Each text shares half of its 5-grams with the next: candidates by their bands, links of nothing."""
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 20)
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefghij", k=9)) for _ in range(400 * 22 + 100)]
+    texts = [" ".join(words[k * 22:k * 22 + 70]) for k in range(400)]
+    one, two = ({tuple(t.split()[i:i + 5]) for i in range(66)} for t in texts[:2])
+    assert 0.5 <= len(one & two) / len(one | two) <= 0.51
+    seen = []
+
+    def watched(members, block_rows, pack_rows):
+        seen.append(tiles(members, block_rows, pack_rows))
+        return seen[-1]
+
+    tiles = linkage.tiles
+    monkeypatch.setattr(jaccard, "tiles", watched)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert jaccard.link(df).where("n_links > 0 OR component_id <> doc_id").count() == 0
+    buckets, groups = seen
+    assert buckets.select("node").distinct().count() > 200  # most texts share a band with a neighbour
+    assert groups.count() < 40  # few go on to the full sets; a chain of all would bring 400 x 20 rows
+
+
 def test_words_are_those_of_the_pattern():
     rng = random.Random(4)
     texts = ["".join(rng.choices("aZ9é -_\n中@[`{", k=rng.randrange(30))) for _ in range(200)]

@@ -2,9 +2,11 @@
 
 A document's set holds the hashes of its word 5-grams (a text of fewer words, but not none, is one gram).
 Documents with one set form a class; classes, not copies, are compared. ``plan_bands`` chooses bands and rows
-for a target recall at the threshold. Band hashes are shuffled; classes that share one are joined to the
-band's least class, which keeps the number of candidate edges linear. Within each connected group of candidates the full
-sets meet in tiles of bounded size and every pair is judged exactly, so no link inside a group depends on its band.
+for a target recall at the threshold. Band hashes are shuffled; in a band's bucket, cut into tiles of bounded size, classes
+meet with a sketch, the low byte of each of their MinHashes. Only pairs whose sketches agree in at least ``plan_matches``
+places become candidates (a pair at the threshold falls short with probability ``MISS``), so texts that merely share a band do
+not chain into large groups; a bucket gives one edge per class, not its pairs. Within each connected group of candidates
+the full sets meet in tiles and every pair is judged exactly, so no link inside a group depends on its band or its sketch.
 
 Defined results: NULL, empty and wordless texts link with nothing and are their own component; repeated rows
 are copies; NULL ids take part, but are nobody's component id unless all of the component are NULL; an empty table gives no rows; other
@@ -27,7 +29,9 @@ from tidewater.llm.textarrays import mix, word_hashes
 from tidewater.llm.tokens import give_back, text_runs
 
 N, THRESHOLD, RECALL, ROWS = 5, 0.8, 1 - 1e-6, 5
+MISS = 1e-7  # chance that the sketches of a pair at the threshold agree in too few places
 BLOCK_ROWS, PACK_ROWS = 400, 1_500
+SKETCH_BLOCK_ROWS, SKETCH_PACK_ROWS = 2_000, 20_000
 COLUMNS = 4096  # n-grams that a tile's matrix holds at once
 
 
@@ -36,6 +40,17 @@ def plan_bands(threshold: float, recall: float, rows: int = ROWS) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - threshold ** rows))
 
 
+def plan_matches(hashes: int, threshold: float, miss: float = MISS) -> int:
+    """Most places in which sketches must agree so that a pair at the threshold falls short with probability ``miss``."""
+    below, need = 0.0, 0
+    while need < hashes:
+        below += math.comb(hashes, need) * threshold ** need * (1 - threshold) ** (hashes - need)
+        if below > miss:
+            break
+        need += 1
+    return need
+
+
 def gram_sets(texts: list[bytes], n: int = N) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct n-gram hashes of each text, strung together, and where each text's begin (plus the end)."""
     h, count = word_hashes(texts)
@@ -61,8 +76,8 @@ def gram_sets(texts: list[bytes], n: int = N) -> tuple[np.ndarray, np.ndarray]:
     return g, np.searchsorted(who, np.arange(len(texts) + 1))
 
 
-def band_hashes(grams: np.ndarray, first: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One hash per text and band; texts without grams are left out."""
+def band_hashes(grams: np.ndarray, first: np.ndarray, bands: int, rows: int, sketch: np.ndarray | None = None) -> np.ndarray:
+    """One hash per text and band; texts without grams are left out. ``sketch`` takes the low byte of each MinHash."""
     rng = np.random.default_rng(12345)
     flip = rng.integers(0, 1 << 32, bands * rows, np.uint32)
     odd = rng.integers(0, 1 << 32, bands * rows, np.uint32) | np.uint32(1)
@@ -75,7 +90,10 @@ def band_hashes(grams: np.ndarray, first: np.ndarray, bands: int, rows: int) ->
             k = b * rows + j
             np.bitwise_xor(x, flip[k], out=value)
             np.multiply(value, odd[k], out=value)
-            out[:, b] = mix(out[:, b] + np.minimum.reduceat(value, start) + np.uint64(j))
+            least = np.minimum.reduceat(value, start)
+            if sketch is not None:
+                sketch[:, k] = least & np.uint32(255)
+            out[:, b] = mix(out[:, b] + least + np.uint64(j))
         out[:, b] = mix(out[:, b] + np.uint64(b))
     return out
 
@@ -85,14 +103,50 @@ def _signatures(batches, n: int, bands: int, rows: int):
         for lo, hi, texts in text_runs(batch.column(2), 1 << 19):
             g, first = gram_sets([t.encode() for t in texts], n)
             some = np.diff(first) > 0
-            hashes = band_hashes(g, first, bands, rows).view(np.int64) if some.any() else np.zeros((0, bands), np.int64)
+            low = np.zeros((int(some.sum()), bands * rows), np.uint8)
+            hashes = band_hashes(g, first, bands, rows, low).view(np.int64) if some.any() else np.zeros((0, bands), np.int64)
+            sketches = iter(low)
             keys = [hashlib.md5(g[i:j].tobytes()).digest() if j > i else None
                     for i, j in zip(first[:-1], first[1:], strict=True)]
             offsets = np.concatenate([[0], np.cumsum(np.where(some, bands, 0))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(keys, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes.reshape(-1)))],
-                ["doc_id", "text_hash", "cls", "bands"])
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes.reshape(-1))),
+                 pa.array([next(sketches).tobytes() if x else None for x in some], pa.binary())],
+                ["doc_id", "text_hash", "cls", "bands", "sketch"])
+
+
+def reached(sketch: np.ndarray, need: int) -> np.ndarray:
+    """For each row a row that it is connected to by sketches that agree in ``need`` places (itself if to none before it).
+
+    Rows already reached are not compared with each other, so a bucket of near copies costs about one comparison a row.
+    """
+    root, left = np.arange(len(sketch)), np.arange(len(sketch))
+    while len(left):
+        start, left = left[0], left[1:]
+        queue = [start]
+        while queue and len(left):
+            hit = (sketch[left] == sketch[queue.pop()]).sum(1) >= need
+            root[left[hit]] = start
+            queue.extend(left[hit].tolist())
+            left = left[~hit]
+    return root
+
+
+def _near(pack: pa.Table, need: int) -> pa.Table:
+    """Candidate edges of the pack's buckets, at most one per row: to a row that it reaches by sketches."""
+    lo, hi, group = (pack.column(c).to_numpy() for c in ("lo", "hi", "group"))
+    order, parts = spans(group, lo, hi)
+    node, raw = pack.column("node").take(pa.array(order)), pack.column("sketch").take(pa.array(order)).to_pylist()
+    sketch = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)
+    root = np.repeat([i for i, _ in parts], [j - i for i, j in parts])
+    alike = (sketch == sketch[root]).sum(1) >= need
+    root = np.where(alike, root, np.arange(len(root)))
+    for i, j in parts:
+        if j - i > 2 and not alike[i:j].all():
+            root[i:j] = i + reached(sketch[i:j], need)
+    edge = np.flatnonzero(root != np.arange(len(root)))
+    return pa.table({"a": node.take(pa.array(edge)), "b": node.take(pa.array(root[edge]))})
 
 
 def links_of(texts: list[bytes], threshold: float, n: int) -> np.ndarray:
@@ -151,17 +205,17 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                     F.col(text_col).alias("text"))
     signed = stage(d.mapInArrow(lambda b: _signatures(b, n, bands, ROWS),
-                                "doc_id long, text_hash long, cls binary, bands array<long>"))
+                                "doc_id long, text_hash long, cls binary, bands array<long>, sketch binary"))
     classes = stage(signed.where("cls IS NOT NULL").groupBy("cls").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("class_id"),
-        F.min(F.struct("text_hash", "doc_id")).alias("rep"), F.first("bands").alias("bands")))
-    banded = classes.select("cls", F.posexplode("bands").alias("band", "value")).select(
-        F.xxhash64("band", "value").alias("bucket"), "cls")
-    hubs = banded.groupBy("bucket").agg(F.min("cls").alias("hub"), F.max("cls").alias("last")).where("hub < last")
-    hubs = stage(hubs.select("bucket", "hub"))  # a hot band's partition of the join can then be split
-    edges = banded.join(hubs, "bucket").where("cls <> hub").select(
-        F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
-    groups = components(edges)
+        F.min(F.struct("text_hash", "doc_id")).alias("rep"), F.first("bands").alias("bands"),
+        F.first("sketch").alias("sketch")))
+    nodes = classes.withColumnRenamed("cls", "node")
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(
+        F.xxhash64("band", "value").alias("group"), "node")
+    need = plan_matches(bands * ROWS, threshold)
+    near = tiles(banded, SKETCH_BLOCK_ROWS, SKETCH_PACK_ROWS).join(nodes.select("node", "sketch"), "node")
+    groups = components(near.groupBy("pack").applyInArrow(lambda t: _near(t, need), "a binary, b binary"))
     dealt = tiles(groups.select(F.col("component").alias("group"), "node"), BLOCK_ROWS, PACK_ROWS)
     # Keys without NULLs, so that one exchange serves the aggregate and the join; a row that repeats comes once.
     key = lambda i: (F.coalesce(i, F.lit(0)).alias("id0"), i.isNull().alias("no_id"))
