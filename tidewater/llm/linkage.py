@@ -15,8 +15,10 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, component`` (the least node reachable) for all nodes of ``edges`` (``a``, ``b``).
 
     Alternating large-star and small-star steps: each is a partial aggregate and a join, the edge set never
-    grows, and the number of rounds is about the logarithm of the longest chain. Each round is written to the
-    shared checkpoint folder; nothing is gathered on the driver but a count and a checksum.
+    grows, and the number of rounds is about the logarithm of the longest chain. An edge keeps its larger end as
+    key of the aggregates, so a hub's edges meet only in the large-star's join, whose other side is written before: its
+    hot partition can be split. Each round is written to the shared checkpoint folder; nothing is gathered on the driver
+    but a count and a checksum.
     """
     e = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     e = stage(e.distinct())
@@ -26,10 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
         if tuple(seen) == before or not seen[0]:
             break
         before = tuple(seen)
-        both = e.union(e.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where(F.col("a") != F.col("b")).distinct()
+        least = stage(e.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("m")))
+        large = e.join(least, "b", "left").select("a", F.coalesce("m", "b").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         e = stage(small.union(least.select("a", F.col("m").alias("b"))).distinct())
