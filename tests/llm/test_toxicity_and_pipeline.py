@@ -136,6 +136,18 @@ def test_pipeline_stages_against_brute_force(spark):
                 r.doc_id: len(enc.encode_ordinary(r.text or "")) for r in rows}
 
 
+def test_run_keeps_only_the_tables_that_its_result_reads(spark):
+    from tidewater import session
+    with session.staged_tables() as own:
+        out = corpus_pipeline.run(spark, SF)
+        fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        there = [fs.Path(p).getFileSystem(conf).exists(fs.Path(p)) for p in own]
+    ids = {r.doc_id for r in out.select("doc_id").collect()}
+    assert ids and len(ids) < spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert there.count(True) <= 2 and there.count(False) > 10
+
+
 def test_every_operator_is_registered_once():
     assert sorted(int(k[2:].split("_")[0]) for k in Q) == list(range(1, 14))
     assert len(RULES) == 5
