@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidewater.llm import bpe, decontam, jaccard, suffixes, toxicity
 from tidewater.llm.common import stage, table
 from tidewater.llm.queries import vocabulary
+from tidewater.session import drop_tables, staged_tables
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -57,9 +58,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. Once a stage is written, all that it and the ones before it had staged is deleted."""
     docs = table(spark, sf_dir, "documents")
-    for k, (_, f) in enumerate(STAGES):
-        docs = f(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stage(docs)
+    with staged_tables() as own:
+        for k, (_, f) in enumerate(STAGES):
+            docs = f(spark, docs, sf_dir)
+            if k < len(STAGES) - 1:
+                docs = stage(docs)
+                drop_tables(spark, own[:-1])
+                del own[:-1]
     return docs

@@ -121,3 +121,27 @@ def test_ingest_and_training_flags(spark, monkeypatch, capsys):
     monkeypatch.setattr(jobs, "train", lambda s, g, v, m, params: seen.update(p=params) or {})
     jobs.main(["train", "--gold", "g", "--silver", "s", "--model-dir", "m", "--pre-start", "2025-01-01", "--cut", "2026-05-01"])
     assert (seen["p"].pre_start, seen["p"].cut, seen["p"].post_end) == ("2025-01-01", "2026-05-01", Params.post_end)
+
+
+def test_a_job_drops_the_tables_of_its_own_block_and_thread_only(spark):
+    import os
+    import threading
+
+    from tidewater import session
+    path = lambda df: df.inputFiles()[0].removeprefix("file:").replace("///", "/").rsplit("/", 1)[0]
+    before = session.materialize(spark.range(3))
+    with session.staged_tables() as own:
+        mine = session.materialize(spark.range(4))
+        others = []
+        t = threading.Thread(target=lambda: others.append(session.materialize(spark.range(5))))
+        t.start()
+        t.join()
+        with session.staged_tables() as inner:
+            session.materialize(spark.range(6))
+        assert len(own) == 2 and own[1:] == inner
+        at = path(mine)
+        assert os.path.exists(at)
+        session.drop_tables(spark, own)
+    session.materialize(spark.range(7))
+    assert len(own) == 2
+    assert not os.path.exists(at) and before.count() == 3 and others[0].count() == 5

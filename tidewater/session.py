@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as _dt
 import os
 import tempfile
+import threading
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -98,6 +100,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 _STAGED: list[str] = []
+_OWN = threading.local()
 
 
 def materialize(df):
@@ -114,13 +117,34 @@ def materialize(df):
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     _STAGED.append(path)
+    for own in getattr(_OWN, "scopes", ()):
+        own.append(path)
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def staged_tables():
+    """The paths that this thread stages inside the block, in order, so that a job can drop its own tables and no others."""
+    scopes = _OWN.__dict__.setdefault("scopes", [])
+    own: list[str] = []
+    scopes.append(own)
+    try:
+        yield own
+    finally:
+        scopes[:] = [x for x in scopes if x is not own]
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete these staged tables; no DataFrame that reads them may be needed any more."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    gone = set(paths)
+    _STAGED[:] = [x for x in _STAGED if x not in gone]
+
+
 def drop_staged(spark: SparkSession) -> int:
     """Delete the tables that this process has staged; call it when no DataFrame that reads them is needed any more."""
-    n = len(_STAGED)
-    while _STAGED:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    return n
+    paths = list(_STAGED)
+    drop_tables(spark, paths)
+    return len(paths)
