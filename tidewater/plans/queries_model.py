@@ -43,6 +43,12 @@ def training_rows(spark, sf):
     return split_flag_quota(cc_panel(spark, sf), STRATA).where(~F.col("en_test"))
 
 
+def beside(a, b):
+    """Two tables of one row each as one row, without a join."""
+    both = a.unionByName(b, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
 _numeric = " UNION ALL ".join(f"""
 SELECT '{c}' AS variable, (SELECT count(*) FROM g_360 WHERE {c} IS NULL) AS n_imputados,
   {r(f'avg(CAST({c} AS DOUBLE))', 'media')}, {r(f'stddev_samp(CAST({c} AS DOUBLE))', 'desviacion')},
@@ -67,9 +73,7 @@ def numeric_preprocessing(spark, sf):
                      F.lit(float(scaler.mean[k])).alias("media"), F.lit(float(scaler.std[k])).alias("desviacion"),
                      ((F.col(f"below_{k}") <= F.col("n") / 2 + error) & (F.col(f"upto_{k}") >= F.col("n") / 2 - error))
                      .alias("mediana_en_cota"), F.col(f"left_{k}").alias("n_nulos_despues")) for k, c in enumerate(NUM)]
-    # Two one-row tables side by side.
-    both = after.withColumn("uno", F.lit(1)).join(middle.withColumn("uno", F.lit(1)), "uno")
-    return rounded(both.select(F.inline(F.array(*rows))))
+    return rounded(beside(after, middle).select(F.inline(F.array(*rows))))
 
 
 _categorical = " UNION ALL ".join(f"""
@@ -128,8 +132,7 @@ def forests_by_arm(spark, sf):
                  "profundidad_en_cota": max(t.depth for t in trees) <= P.max_depth,
                  "arboles_difieren": len({t.numNodes for t in trees}) > 1,
                  "variables_coinciden": forest.numFeatures == columns, "importancias_coinciden": bool(fair_shares)}
-        one = whole.withColumn("uno", F.lit(1)).join(a.withColumn("uno", F.lit(1)), "uno").drop("uno")
-        out.append(one.withColumns({k: F.lit(v) for k, v in facts.items()}).withColumn("arboles", F.col("arboles").cast("long")))
+        out.append(beside(whole, a).withColumns({k: F.lit(v) for k, v in facts.items()}).withColumn("arboles", F.col("arboles").cast("long")))
     return rounded(out[0].unionByName(out[1]))
 
 
