@@ -100,3 +100,16 @@ def test_erfc_keeps_the_plan_small(spark):
     assert len(plan) < 8_000
     p = [r.p for r in df.select(st.two_sided_p(F.col("z")).alias("p")).collect()]
     assert all(abs(x - math.erfc(abs(k / 3.0 - 1) / math.sqrt(2))) < 1e-13 for k, x in enumerate(p))
+
+
+def test_a_distribution_is_counted_once_for_all_groups_of_the_same_ranks(spark, monkeypatch):
+    """60 customers of six different amounts have the same ranks: their choices are counted once, not 60 times."""
+    counted, real, rng = spark.sparkContext.accumulator(0), ex.subset_sums_of, random.Random(5)
+    tick = F.udf(lambda r: counted.add(1) or r, "array<int>")
+    monkeypatch.setattr(ex, "subset_sums_of", lambda ranks, size, most: real(tick(ranks), size, most))
+    groups = {f"k{i}": rng.sample(range(10 ** 6), 6) for i in range(60)}
+    df = spark.createDataFrame([(k, float(v), int(i < 3)) for k, vs in groups.items() for i, v in enumerate(vs)], "k string, x double, g int")
+    got = {r.k: r.p_value for r in ex.mann_whitney_exact(df, ["k"], "x", F.col("g")).collect()}
+    for k, vs in groups.items():
+        assert abs(got[k] - brute_mann_whitney(vs[:3], vs[3:], "greater")[1]) < 1e-12
+    assert counted.value <= 4
