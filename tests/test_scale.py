@@ -5,6 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from tidewater.operators import stats as st
 from tidewater.sources.bronze import bronze_cards, bronze_customers, bronze_transactions
 
 SF = "/root/testdata/sf0.001"
@@ -37,3 +38,13 @@ def test_text_of_customers_in_one_file_is_made_by_many_tasks(spark):
 def test_amount_is_rounded_once_a_row(spark):
     plan = bronze_transactions(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"\bround\(", plan)) == 1
+
+
+def test_distribution_passes_over_its_rows_once(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("a",), (None,), ("z",)], "s string")
+    out = st.ordered_distribution(df, "s", ["b", "c", "a"])
+    assert [tuple(r) for r in out.orderBy("orden").collect()] == [("b", 1, 1, 0.2), ("c", 2, 0, 0.0), ("a", 3, 2, 0.4)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "Join" not in plan and "subquery" not in plan.lower()
+    none = st.ordered_distribution(df.where("s = 'q'"), "s", ["a"]).collect()
+    assert [tuple(r) for r in none] == [("a", 1, 0, None)]

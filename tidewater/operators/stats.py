@@ -16,18 +16,14 @@ SPLIT, SERIES_TERMS, FRACTION_TERMS = 1.5, 34, 60
 def ordered_distribution(df: DataFrame, col: str, order: Sequence[str]) -> DataFrame:
     """Count per value of a fixed, ordered list (missing -> 0) and share of all rows.
 
-    The value list is a literal table of known size (broadcast is bounded by
-    the code, not the data); counts are one partial aggregate.
+    The rows are passed over once, into one row of counts of a size that the code fixes. Unlisted and NULL values
+    count towards the total only.
     """
-    lit = df.sparkSession.createDataFrame([(v, i + 1) for i, v in enumerate(order)], f"{col} string, orden int")
-    # one pass: unlisted and NULL values count towards the total under no place in the order
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    j = counts.join(F.broadcast(lit), col, "left").groupBy("orden").agg(F.sum("_n").alias("_n"))
-    listed = F.broadcast(lit).withColumnRenamed("orden", "_o")
-    total = j.agg(F.sum("_n")).scalar()
-    return (listed.join(j, F.col("_o") == F.col("orden"), "left")
-            .select(col, F.col("_o").alias("orden"), F.coalesce("_n", F.lit(0)).alias("n"))
-            .withColumn("proporcion", F.col("n") / total))
+    counts = [F.count_if(F.col(col) == v).alias(f"_n{i}") for i, v in enumerate(order)]
+    places = F.array(*[F.struct(F.lit(v).alias(col), F.lit(i + 1).alias("orden"), F.col(f"_n{i}").alias("n")) for i, v in enumerate(order)])
+    one = df.agg(F.count(F.lit(1)).alias("_total"), *counts)
+    return (one.select(F.explode(places).alias("p"), "_total").select("p.*", "_total")
+            .withColumn("proporcion", F.try_divide(F.col("n"), F.col("_total"))).drop("_total"))
 
 
 def erfc(x: Column) -> Column:
