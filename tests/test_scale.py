@@ -6,6 +6,8 @@ import tempfile
 from pyspark.sql import functions as F
 
 from tidewater.operators import stats as st
+from tidewater.operators.uplift import effect_importance, fit_tlearner
+from tidewater.session import Params
 from tidewater.sources.bronze import bronze_cards, bronze_customers, bronze_transactions
 
 SF = "/root/testdata/sf0.001"
@@ -48,3 +50,15 @@ def test_distribution_passes_over_its_rows_once(spark):
     assert plan.count("Aggregate") == 1 and "Join" not in plan and "subquery" not in plan.lower()
     none = st.ordered_distribution(df.where("s = 'q'"), "s", ["a"]).collect()
     assert [tuple(r) for r in none] == [("a", 1, 0, None)]
+
+
+def test_importance_scores_each_row_once(spark):
+    p = Params(n_trees=3, max_depth=2)
+    base = spark.range(300).withColumns({f: F.rand(3) for f in p.numeric_features}).withColumns(
+        {c: F.lit("x") for c in p.categorical_features})
+    base = base.withColumn("tratado", (F.col("id") % 2).cast("int")).withColumn("aumento_uso", (F.col("id") % 3 == 0).cast("int"))
+    model, scored = fit_tlearner(base, p), spark.sparkContext.accumulator(0)
+    tick = F.udf(lambda x: scored.add(1) or x, "double")
+    out = effect_importance(model, base.withColumn("score_uplift", tick(F.col("feat_edad"))), p).collect()
+    assert scored.value == 300
+    assert abs(sum(r.importancia for r in out) - 1) < 1e-9

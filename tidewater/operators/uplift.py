@@ -142,9 +142,11 @@ def fit_tlearner(train: DataFrame, params: Params = Params(), y: str = "aumento_
 def effect_importance(model: UpliftModel, scored: DataFrame, params: Params = Params()) -> DataFrame:
     """M8: surrogate forest regressor on the individual effect; importances by encoded feature name."""
     x = model.prep.transform(scored).select("features", "score_uplift")
+    attrs = x.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
+    x = x.persist()  # the fit passes over its rows several times, and would score them anew; their places, which it draws by, stay
     rf = RandomForestRegressor(featuresCol="features", labelCol="score_uplift", numTrees=50,
                                maxDepth=params.max_depth, seed=params.seed).fit(x)
-    attrs = x.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
+    x.unpersist()
     names = {}
     for group in attrs.values():
         for a in group:

@@ -12,7 +12,7 @@ from tidewater.plans import oracle as o
 from tidewater.plans import scoring as ps
 from tidewater.plans.queries_causal import cc_panel, data, r, rounded
 from tidewater.plans.queries_gold import gold
-from tidewater.session import Params, checkpoint_dir
+from tidewater.session import Params, checkpoint_dir, materialize
 
 Q: dict = {}
 SQL: dict = {}
@@ -285,7 +285,8 @@ def model_invariants(spark, sf):
                   ("metricas_en_rango", int(0 <= metrics["auc_control"] <= 1 and 0 <= metrics["auc_tratamiento"] <= 1
                                             and metrics["ate_lb"] <= metrics["ate"] <= metrics["ate_ub"]))]
     pop = g.filter(F.col("grupo_piloto") == P.scoring_group)
-    s = ps.with_segments(model.transform(pop), P)
+    columns = ["score_uplift", "p_tratamiento", "p_control", "p_tratamiento_otra", "segmento_uplift"]
+    s = materialize(ps.with_segments(model.transform(pop), P).select(*columns))  # counted twice, scored once
     pt, pc = F.col("p_tratamiento"), F.col("p_control")
     fair = F.try_divide(pt * model.meta["pi_t"], pt * model.meta["pi_t"] + (1 - pt) * (1 - model.meta["pi_t"]))
     named = F.concat(F.when(pt >= P.segment_threshold, "t").otherwise("-"), F.when(pc >= P.segment_threshold, "c").otherwise("-"))
