@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import stats as st
 from tidewater.operators.uplift import effect_importance, fit_tlearner
-from tidewater.session import Params
+from tidewater.plans import queries_stream as qs
+from tidewater.session import Params, checkpoint_dir
 from tidewater.sources.bronze import bronze_cards, bronze_customers, bronze_transactions
+from tidewater.sources.io import list_folder
 
 SF = "/root/testdata/sf0.001"
 
@@ -62,3 +64,11 @@ def test_importance_scores_each_row_once(spark):
     out = effect_importance(model, base.withColumn("score_uplift", tick(F.col("feat_edad"))), p).collect()
     assert scored.value == 300
     assert abs(sum(r.importancia for r in out) - 1) < 1e-9
+
+
+def test_each_trigger_of_the_stream_takes_files_of_many_tasks(spark):
+    out = qs._streamed(spark, SF)
+    assert out.startswith(checkpoint_dir(spark))
+    files = [n for n, size, _ in list_folder(spark, f"{out[:-len('/out')]}/raw") if n.startswith("part-")]
+    assert len(files) == qs.TRIGGERS * qs.FILES
+    assert len(list_folder(spark, f"{out}/pending")) == qs.TRIGGERS

@@ -14,6 +14,7 @@ from tidewater.streaming.ingest import clean_transactions_stream, read_stream_ou
 from tidewater.streaming.seen import CELL, UNDATED, SeenRows
 
 GRAIN = "yyyy"  # the test tables hold some thousand transactions a year
+TRIGGERS, FILES = 4, 12  # a trigger takes so many files, which as many tasks write and read
 Q: dict = {}
 SQL: dict = {}
 
@@ -28,14 +29,14 @@ def register(name, sql=None):
 
 
 def _streamed(spark, sf):
-    """Output folder of an availableNow stream over the raw transactions, which land as 4 files, one a trigger."""
+    """Output folder of an availableNow stream over the raw transactions, which land as ``FILES`` files for each of ``TRIGGERS`` triggers."""
     base = f"{checkpoint_dir(spark)}/stream_{uuid.uuid4().hex[:8]}"
     b = bronze_tables(spark, sf)
     raw = b["transacciones"]
-    raw.repartition(4, "transaccion_id").write.mode("overwrite").parquet(f"{base}/raw")
+    raw.repartition(TRIGGERS * FILES, "transaccion_id").write.mode("overwrite").parquet(f"{base}/raw")
     pc.customer_keys(b["clientes"]).write.parquet(f"{base}/clientes")
     clean_transactions_stream(spark, f"{base}/raw", raw.schema, f"{base}/clientes", f"{base}/out", f"{base}/ckpt",
-                              max_files_per_trigger=1, grain=GRAIN)
+                              max_files_per_trigger=FILES, grain=GRAIN)
     return f"{base}/out"
 
 
