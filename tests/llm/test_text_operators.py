@@ -83,6 +83,30 @@ def test_no_window_carries_its_document_through_a_shuffle(spark):
     assert ["doc_id", "text_hash", "at", "n_words", "hash"] in names and not any("ws" in n for n in names)
 
 
+@pytest.mark.parametrize("limit", [decontam.BROADCAST_BYTES, -1])
+def test_no_words_are_grouped_and_a_text_is_cut_once(spark, monkeypatch, limit):
+    """A task's aggregate keeps rows of all its documents: they hold no words. No lambda over places cuts a text."""
+    text = " ".join(f"w{k}" for k in range(40))
+    docs = spark.createDataFrame([(k, text) for k in range(300)] + [(k, "x y") for k in range(300, 600)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, text), (2, text)], "item_id long, text string")
+    seen, stage = [], decontam.stage
+
+    def planned(df):
+        seen.append(df)
+        return stage(df)
+
+    monkeypatch.setattr(decontam, "stage", planned)
+    got = decontam.mark(docs, bench, broadcast_bytes=limit)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plans = [df._jdf.queryExecution().explainString(mode) for df in [*seen[1:], got]]
+    grouped = [x for p in plans for x in re.findall(r"ObjectHashAggregate\nInput \[\d+\]: \[([^\]]*)\]", p)]
+    names = [{c.split("#")[0].strip() for c in x.split(",")} for x in grouped]
+    assert any("at" in n for n in names) and not any("ws" in n or "gram" in n and limit > 0 for n in names)
+    assert not any("slice(regexp_extract_all" in p for p in plans)
+    assert {(r.doc_id < 300, r.copies, r.n_words, r.n_hit, tuple(r["items"]), tuple(r.hit_at)) for r in got.collect()} == {
+        (True, 1, 40, 40, ("1", "2"), tuple(range(31))), (False, 1, 2, 0, (), ())}
+
+
 @pytest.mark.parametrize("limit", [decontam.BROADCAST_BYTES, -1])
 def test_equal_hashes_of_other_words_are_no_hit(spark, monkeypatch, limit):
     """All windows share one hash: the words alone decide."""

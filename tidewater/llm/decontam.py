@@ -7,7 +7,8 @@ is hashed for each window length that occurs; hashes meet the benchmark's, the w
 The benchmark's distinct windows are broadcast only when their measured size is below ``broadcast_bytes``. Beyond
 it both sides are shuffled on the window hash, where adaptive execution splits hot windows: of a document's window its
 place and hash go, not its words, so that the shuffle is linear in the text; the words of the documents where
-hashes have met are read again, once, to confirm. A document's row is carried by one sentinel.
+hashes have met are read again, once, to confirm. A document's row is carried by one sentinel. A document's words end
+at the filter: what is grouped by document is places, lengths and item ids (beyond the bound also the hits' grams).
 
 Defined results: a NULL or wordless text has no words and no hits; rows that repeat one (id, text) pair each
 get the same result; an empty benchmark hits nothing; an empty table gives no rows; NULL items are ignored;
@@ -59,8 +60,9 @@ def confirm(per_doc: DataFrame, rows: DataFrame) -> DataFrame:
     hit = per_doc.where(F.size("found") > 0).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "found")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
     again = rows.join(hit, same).groupBy("_id", "_hash").agg(F.first(F.struct("text", "found")).alias("b"))
-    sure = again.select("_id", "_hash", words(F.col("b.text")).alias("ws"), "b.found").select("_id", "_hash", F.filter(
-        "found", lambda m: same_words(F.col("ws"), m["at"], m["len"], m["gram"])).alias("sure"))
+    # The outer lambda binds the words of a text: named by a column they would be cut anew for every place.
+    sure = again.select("_id", "_hash", F.transform(F.array(words(F.col("b.text"))), lambda ws: F.filter(
+        "b.found", lambda m: same_words(ws, m["at"], m["len"], m["gram"])))[0].alias("sure"))
     out = per_doc.join(sure, same, "left").drop("_id", "_hash")
     return out.withColumn("found", F.coalesce("sure", F.filter("found", lambda m: F.lit(False)))).drop("sure")
 
@@ -95,14 +97,19 @@ def mark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     met = (F.col("at") >= 0) & F.col("len").isNotNull()
     if small:
         met = met & same_words(F.col("ws"), F.col("at"), F.col("len"), F.col("gram"))
-    found = F.struct("at", "len", "items", *([] if small else ["gram"]))
-    per_doc = j.where((F.col("at") == -1) | met).groupBy("doc_id", "text_hash").agg(
-        F.count("n_words").alias("copies"), F.max("n_words").alias("n_words"), F.collect_set(F.when(met, found)).alias("found"))
-    if not small:
-        per_doc = confirm(stage(per_doc), rows)
+    # Of the rows left, those with a place are hits. To name ``met`` again below would send the words of a document's
+    # row, and of each of its hits, into the aggregate, which sorts its rows once a task has more than a few documents.
+    left = j.where((F.col("at") == -1) | met).groupBy("doc_id", "text_hash")
+    each = lambda *cols: F.collect_set(F.when(F.col("at") >= 0, F.struct(*cols)))
+    counts = [F.count("n_words").alias("copies"), F.max("n_words").alias("n_words")]
+    if small:
+        per_doc = left.agg(*counts, each("at", "len").alias("found"), each("items").alias("sets"))
+    else:
+        per_doc = confirm(stage(left.agg(*counts, each("at", "len", "items", "gram").alias("found"))), rows)
+        per_doc = per_doc.withColumn("sets", F.col("found"))
     runs = F.transform("found", lambda m: F.struct(m["at"].alias("at"), m["len"].alias("len")))
     per_doc = per_doc.select("doc_id", "text_hash", "copies", "n_words", F.array_sort(F.array_distinct(runs)).alias("runs"),
-                             F.col("found.items").alias("sets"))
+                             F.col("sets.items").alias("sets"))
     covered = F.aggregate("runs", F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), lambda acc, r: F.struct(
         F.greatest(acc["end"], r["at"] + r["len"]).alias("end"),
         (acc["n"] + F.greatest(F.lit(0), r["at"] + r["len"] - F.greatest(acc["end"], r["at"]))).alias("n")))
