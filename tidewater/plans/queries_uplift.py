@@ -240,7 +240,7 @@ def tlearner_train(spark, sf):
 def tlearner_score(spark, sf):
     """Raw and calibrated scores of the untreated population with segments and reasons."""
     g, model, _, _ = _trained(spark, sf)
-    return ps.score_population(model, g, P)
+    return materialize(ps.score_population(model, g, P))  # a scoring job's written rows
 
 
 @register("effect_importance")
@@ -256,14 +256,14 @@ def effect_importance(spark, sf):
 def tlearner_score_calibrated(spark, sf):
     """M6b + M7: scores with the per-arm class weights undone (true-probability scale)."""
     g, model, _, _ = _trained(spark, sf)
-    return ps.score_population(model, g, P, calibrated=True)
+    return materialize(ps.score_population(model, g, P, calibrated=True))
 
 
 @register("quadrant_table")
 def quadrant_table(spark, sf):
     """M9: customers per uplift quadrant of the forest scores, fixed order, with shares."""
     g, model, _, _ = _trained(spark, sf)
-    return ps.segment_distribution(ps.score_population(model, g, P))
+    return ps.segment_distribution(materialize(ps.score_population(model, g, P).select("segmento_uplift")))
 
 
 _cc = "(SELECT count(*) FROM c_cc)"
@@ -368,6 +368,6 @@ def model_roundtrip(spark, sf):
     path = _folder(spark)
     model.save(spark, path)
     pop = g.filter(F.col("grupo_piloto") == P.scoring_group)
-    a = model.transform(pop).select("cliente_id", F.col("score_uplift").alias("a"))
-    b = UpliftModel.load(spark, path).transform(pop).select("cliente_id", F.col("score_uplift").alias("b"))
+    a = materialize(model.transform(pop).select("cliente_id", F.col("score_uplift").alias("a")))
+    b = materialize(UpliftModel.load(spark, path).transform(pop).select("cliente_id", F.col("score_uplift").alias("b")))
     return a.join(b, "cliente_id").where("a = b").select("cliente_id")
